@@ -17,7 +17,13 @@ from ..operators import aggregates as A
 from ..operators import clean as C
 from ..operators import quality as Q
 from ..operators import windows as W
+from ..session import scratch_path
+from ..sources.schemas import STUDENT
+from ..streaming import events as S
+from .extracts import envelopes
+from .pipeline import run_pipeline
 from .testbed import kpi, kpi_rows, pupil, read_table
+from .validation import silver_checks
 
 ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -336,6 +342,55 @@ def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
     return r.withColumn("regras_falhas", F.array_join("regras_falhas", "; "))
 
 
+# --- ST1-ST11, K2 -----------------------------------------------------------------------------
+
+CLOCK_COLUMNS = ["_timestamp_ingestao", "data_ingestao", "_timestamp_silver", "_timestamp_gold"]
+
+
+def stream_decode(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch twin of the stream: decode, split off malformed records, type, stamp."""
+    good, _ = S.split_rejects(S.decode_events(envelopes(read_table(spark, sf, "events"))))
+    return S.to_student_event(good).drop(*CLOCK_COLUMNS)
+
+
+def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    good, rejects = S.split_rejects(S.decode_events(envelopes(read_table(spark, sf, "events"))))
+    return S.ingest_metrics(S.to_student_event(good), rejects).drop("data_ingestao")
+
+
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """``events.parquet`` read as a stream, encoded, ingested to bronze, read back."""
+    schema = read_table(spark, sf, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    root = scratch_path(spark, "stream-ingest")
+    S.run_until_done(S.start_ingest(envelopes(source), f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoints"))
+    return spark.read.schema(STUDENT).parquet(f"{root}/bronze").drop(*CLOCK_COLUMNS)
+
+
+# --- B1-B2, V1-V6, G1-G9 on extracts of the shared tables ------------------------------------------
+
+GOLD_TABLES = ["panorama_alfabetizacao", "evolucao_proficiencia", "ranking_municipios", "indicadores_alunos",
+               "indicadores_alunos_municipio", "features_ml", "desigualdade_regional", "municipios_criticos",
+               "tendencia_temporal"]
+
+
+def _gold_reader(table: str):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        root = run_pipeline(spark, sf)
+        return spark.read.parquet(f"{root}/gold/{table}").drop(*CLOCK_COLUMNS)
+    query.__name__ = f"gold_{table}"
+    return query
+
+
+def roundtrip_layers(spark: SparkSession, sf: str) -> DataFrame:
+    root = run_pipeline(spark, sf)
+    return spark.read.parquet(f"{root}/silver/Meta_uf").drop(*CLOCK_COLUMNS)
+
+
+def silver_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return silver_checks(spark, f"{run_pipeline(spark, sf)}/silver")
+
+
 QUERIES = {
     "gap_attainment": gap_attainment,
     "criticality": criticality,
@@ -374,4 +429,10 @@ QUERIES = {
     "key_mismatch": key_mismatch,
     "quality_report": quality_report,
     "quality_summary": quality_summary,
+    "stream_decode": stream_decode,
+    "stream_metrics": stream_metrics,
+    "stream_ingest": stream_ingest,
+    "roundtrip_layers": roundtrip_layers,
+    "silver_quality": silver_quality,
+    **{f"gold_{t}": _gold_reader(t) for t in GOLD_TABLES},
 }

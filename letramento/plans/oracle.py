@@ -337,4 +337,40 @@ SELECT count(*) AS total_regras, count(*) FILTER (WHERE status = 'PASSOU') AS pa
 FROM res""",
 }
 
+
+UF_CODE_LIST = "[11, 12, 13, 14, 15, 16, 17, 21, 22, 23, 24, 25, 26, 27, 28, 29, 31, 32, 33, 35, 41, 42, 43, 50, 51, 52, 53]"
+
+EVENTS = "WITH " + UF_VALUES + f""",
+ev AS (SELECT *, json_extract_string(props, '$.k') AS k, event_type <> 'error' AS present,
+              {UF_CODE_LIST}[CAST(user_id % 27 AS INTEGER) + 1] AS code FROM events),
+sc AS (SELECT ev.*, d.sigla_uf AS sigla,
+              CASE WHEN present THEN {R("CAST(400 AS DOUBLE) + value * CAST(1.5 AS DOUBLE)", 2)} END AS score
+       FROM ev LEFT JOIN uf_dim d ON ev.code = d.co_uf)"""
+
+_BLOCKS = ",\n".join(
+    f"""CASE WHEN present THEN CAST((event_id + {b}) % 30 + 1 AS INTEGER) END AS co_bloco_{b},
+       CASE WHEN present THEN upper(substr(sha256(CAST(event_id AS VARCHAR)), 1, 9)) END AS tx_resposta_bloco_{b},
+       CASE WHEN present THEN 'ABCDEABCD' END AS tx_gabarito_bloco_{b}""" for b in range(1, 5))
+
+STUDENT_RECORD = EVENTS + f"""
+SELECT CAST(year(ts) AS INTEGER) AS nu_ano_avaliacao, CAST(code AS INTEGER) AS co_uf, ' ' || lower(sigla) AS sg_uf,
+       event_id AS id_aluno, 2 AS tp_serie, user_id * 10 + 1 AS id_escola, CAST(event_id % 5 AS INTEGER) AS tp_dependencia,
+       CAST(code * 100000 + user_id AS INTEGER) AS co_municipio,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE 'Cidade ' || CAST(user_id AS VARCHAR) END AS no_municipio,
+       CASE WHEN present THEN 1 ELSE 0 END AS in_presenca_lp, CASE WHEN present THEN 1 ELSE 0 END AS in_preenchimento_lp,
+       CASE WHEN present THEN CAST(TRY_CAST(k AS INTEGER) % 24 + 1 AS INTEGER) END AS co_caderno_lp,
+       {_BLOCKS},
+       CASE WHEN present THEN CAST(1.2 AS DOUBLE) END AS vl_peso_aluno_lp, score AS vl_proficiencia_lp,
+       CASE WHEN score IS NOT NULL THEN CASE WHEN score >= 743 THEN 1 ELSE 0 END END AS in_alfabetizado,
+       'kinesis_streaming' AS _fonte, 'stream_kinesis' AS _arquivo_original
+FROM sc WHERE coalesce(k, '') NOT IN ('0', '1')"""
+
+SQL["stream_decode"] = STUDENT_RECORD
+SQL["stream_ingest"] = STUDENT_RECORD
+SQL["stream_metrics"] = EVENTS + """
+SELECT count(*) AS registros, count(*) FILTER (WHERE coalesce(k, '') IN ('0', '1')) AS rejeitados,
+       CAST(count(*) FILTER (WHERE coalesce(k, '') IN ('0', '1')) AS DOUBLE) / count(*) AS taxa_erro,
+       CAST(count(*) FILTER (WHERE coalesce(k, '') IN ('0', '1')) AS DOUBLE) / count(*) > 0.05 AS acima_limite
+FROM sc"""
+
 SQL = {k: (v if v.lstrip().upper().startswith(("WITH", "SELECT")) else "WITH " + v) for k, v in SQL.items()}

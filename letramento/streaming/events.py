@@ -22,10 +22,14 @@ STREAM_SOURCE = "kinesis_streaming"
 STREAM_FILE = "stream_kinesis"
 
 
-def to_envelope(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Producer side of the wire format: base64(JSON(fields)) in column ``data``."""
+def envelope_data(fields: dict[str, Column]) -> Column:
+    """Producer side of the wire format: base64(UTF-8(JSON(fields)))."""
     body = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
-    return df.select(F.base64(F.encode(body, "UTF-8")).alias("data"))
+    return F.base64(F.encode(body, "UTF-8"))
+
+
+def to_envelope(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    return df.select(envelope_data(fields).alias("data"))
 
 
 def decode_events(df: DataFrame, col: str = "data") -> DataFrame:
