@@ -37,11 +37,13 @@ def decode_events(df: DataFrame, col: str = "data") -> DataFrame:
 
     Adds ``_payload`` (the decoded text, null when the base64 is invalid) and ``_e``
     (the parsed struct, with ``_corrupt`` holding text that is not a JSON object).
+    Both come out of a one-row ``inline`` generator: filters on them cannot be
+    pushed below it, so each record is decoded and parsed once, not once per use.
     """
     text = F.decode(F.try_to_binary(F.col(col), F.lit("base64")), "UTF-8")
-    parsed = F.from_json(F.col("_payload"), schemas.EVENT_TEXT,
+    parsed = F.from_json(text, schemas.EVENT_TEXT,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return df.withColumn("_payload", text).withColumn("_e", parsed)
+    return df.select("*", F.inline(F.array(F.struct(text.alias("_payload"), parsed.alias("_e")))))
 
 
 def is_malformed(decoded: DataFrame | None = None) -> Column:
