@@ -92,7 +92,7 @@ def conditional_counts(df: DataFrame, predicates: Mapping[str, Column], keys: Se
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None) -> DataFrame:
+              names: Sequence[str] | None = None, slice_rows: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation, per group.
 
     For probability p with n values, h = (n-1)p; the result interpolates between the
@@ -101,7 +101,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     """
     by = list(by)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    pos = value_positions(df.where(F.col(value).isNotNull()), by, value)
+    pos = value_positions(df.where(F.col(value).isNotNull()), by, value, slice_rows=slice_rows)
     last = F.col("_total") - 1
     cols, aggs = [], [F.max("_total").alias("_n")]
     for p, name in zip(probs, names):

@@ -1,11 +1,12 @@
 """Ordered operators within groups: W1-W4 and O1-O4.
 
 A plain ``Window.partitionBy(group)`` sends a whole group to one task, so a group
-holding a third of the table would run in one task. The operators here instead
-range-partition on (group, order key): a large group is cut into value slices that
-run in parallel, each slice computes its local part, and a small table with one
-row per (slice, group) carries the offsets between slices. The result equals the
-plain window function.
+holding a third of the table would run in one task. Here a large group is cut into
+value slices that run in parallel; a small table with one row per (group, slice)
+carries what earlier slices contribute (row offsets, the last value). Slices are a
+pure function of the row and of exact group statistics (count, min, max), so any
+recomputation after a lost executor assigns every row to the same slice again.
+The results equal the plain window functions.
 """
 
 from __future__ import annotations
@@ -14,11 +15,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.numeric import round_half_up
 
 _SLICE = "_slice"
+_GROUP = "_g"
+SLICE_ROWS_CONF = "letramento.window.sliceRows"
+DEFAULT_SLICE_ROWS = 1_000_000
 
 
 def _order_expr(c: str, descending: bool) -> Column:
@@ -26,84 +31,115 @@ def _order_expr(c: str, descending: bool) -> Column:
     return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
 
 
-def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Range-partition on (group, order) and tag every row with its slice number."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return (df.repartitionByRange(n, *[F.col(g) for g in group], *order)
-            .withColumn(_SLICE, F.spark_partition_id()))
+def _as_number(df: DataFrame, c: str) -> Column | None:
+    t = df.schema[c].dataType
+    if isinstance(t, T.NumericType):
+        return F.col(c).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(F.col(c)).cast("double")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    return None
+
 
+def _with_slices(df: DataFrame, group: Sequence[str], order_col: str, descending: bool,
+                 slice_rows: int | None = None) -> DataFrame:
+    """Add ``_g`` (the group columns packed in a struct) and ``_slice``.
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on keys treating null = null (window groups keep null keys together)."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+    A group with n rows gets ceil(n / slice_rows) equal-width value slices (at most
+    ``spark.sql.shuffle.partitions``), numbered in the order direction; equal values
+    share a slice, so ties never straddle two slices. Smaller groups are one slice.
+    Struct equality treats null fields as equal, so null group keys stay together.
+    """
+    spark = df.sparkSession
+    rows = slice_rows or int(spark.conf.get(SLICE_ROWS_CONF, str(DEFAULT_SLICE_ROWS)))
+    cap = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    keyed = df.withColumn(_GROUP, F.struct(*[F.col(c) for c in group]))
+    v = _as_number(df, order_col)
+    if v is None or cap == 1:
+        return keyed.withColumn(_SLICE, F.lit(0))
+    # exact and order-independent, so identical on every recomputation
+    stats = keyed.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("_gn"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    k = F.least(F.ceil(F.col("_gn") / F.lit(rows)), F.lit(cap)).cast("int")
+    frac = F.try_divide(v - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    pos = F.least(F.floor(frac * k), k - 1).cast("int")
+    pos = (k - 1 - pos) if descending else pos
+    null_slice = F.lit(cap) if descending else F.lit(-1)
+    sl = (F.when((k <= 1) | (F.col("_hi") == F.col("_lo")), F.lit(0))
+          .when(v.isNull(), null_slice).otherwise(pos))
+    return keyed.join(stats, _GROUP).withColumn(_SLICE, sl.cast("int")).drop("_gn", "_lo", "_hi")
+
+
+def _slice_offsets(sliced: DataFrame, weight: Column) -> DataFrame:
+    """Per (group, slice): the weight of earlier slices of the group and the group total."""
+    per_slice = sliced.groupBy(_GROUP, _SLICE).agg(F.sum(weight).alias("_slice_n"))
+    ahead = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return (per_slice.withColumn("_offset", F.coalesce(F.sum("_slice_n").over(ahead), F.lit(0)))
+            .withColumn("_total", F.sum("_slice_n").over(Window.partitionBy(_GROUP)))
+            .drop("_slice_n"))
 
 
 def value_positions(df: DataFrame, group: Sequence[str], order_col: str,
-                    descending: bool = False) -> DataFrame:
+                    descending: bool = False, slice_rows: int | None = None) -> DataFrame:
     """Distinct values per group with their position in the group's order.
 
     Returns ``group + [order_col, _cnt, _before, _total]``: ``_cnt`` rows carry the
     value, ``_before`` rows sort strictly ahead of it, ``_total`` rows are in the group.
-    Duplicates collapse in a partial aggregate before any shuffle.
+    Duplicates collapse in a partial aggregate before any shuffle, so even a value
+    shared by a third of the table is a single row here.
     """
     group = list(group)
     order = [_order_expr(order_col, descending)]
     counts = df.groupBy(*group, order_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    sliced = _sliced(counts, group, order)
-    local = Window.partitionBy(_SLICE, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sliced = _with_slices(counts, group, order_col, descending, slice_rows)
+    local = Window.partitionBy(_GROUP, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     sliced = sliced.withColumn("_local", F.coalesce(F.sum("_cnt").over(local), F.lit(0)))
-    per_slice = sliced.groupBy(_SLICE, *group).agg(F.sum("_cnt").alias("_slice_n"))
-    ahead = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = (per_slice
-                 .withColumn("_offset", F.coalesce(F.sum("_slice_n").over(ahead), F.lit(0)))
-                 .withColumn("_total", F.sum("_slice_n").over(Window.partitionBy(*group)))
-                 .drop("_slice_n"))
-    out = _null_safe_join(sliced, per_slice, [_SLICE, *group])
+    out = sliced.join(_slice_offsets(sliced, F.col("_cnt")), [_GROUP, _SLICE])
     return (out.withColumn("_before", F.col("_offset") + F.col("_local"))
             .select(*group, order_col, "_cnt", "_before", "_total"))
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order_col: str, descending: bool = True,
                 rank_col: str = "ranking", percentile_col: str | None = "percentil",
-                percentile_scale: int = 2) -> DataFrame:
+                percentile_scale: int = 2, slice_rows: int | None = None) -> DataFrame:
     """W1 + W2: ``rank()`` and ``round(percent_rank() * 100)`` within ``partition``.
 
     Ties share a rank and leave gaps; percentile 0 is the first row in the order
-    (the best, for a descending order).
+    (the best, for a descending order). Ranks are computed on the distinct values
+    (``value_positions``) and joined back on (group, value); a hot key there is one
+    row on the rank side, which adaptive execution splits as a skewed join.
     """
-    pos = value_positions(df, partition, order_col, descending)
-    ranks = pos.select(*partition, order_col,
-                       (F.col("_before") + 1).cast("int").alias(rank_col),
-                       F.when(F.col("_total") > 1, F.col("_before") / (F.col("_total") - 1))
-                        .otherwise(F.lit(0.0)).alias("_pr"))
-    out = _null_safe_join(df, ranks, [*partition, order_col], "left")
+    partition = list(partition)
+    pos = value_positions(df, partition, order_col, descending, slice_rows)
+    key = F.struct(*[F.col(c) for c in partition], F.col(order_col))
+    pr = F.when(F.col("_total") > 1, F.col("_before") / (F.col("_total") - 1)).otherwise(F.lit(0.0))
+    cols = [key.alias("_k"), (F.col("_before") + 1).cast("int").alias(rank_col)]
     if percentile_col:
-        out = out.withColumn(percentile_col, round_half_up(F.col("_pr") * 100, percentile_scale))
-    return out.drop("_pr")
+        cols.append(round_half_up(pr * 100, percentile_scale).alias(percentile_col))
+    return df.withColumn("_k", key).join(pos.select(*cols), "_k", "left").drop("_k")
 
 
 def lag_within(df: DataFrame, partition: Sequence[str], order_cols: Sequence[str], value_col: str,
-               out_col: str) -> DataFrame:
+               out_col: str, slice_rows: int | None = None) -> DataFrame:
     """Value of the previous row in ``order_cols`` order within ``partition``.
 
     ``order_cols`` must be unique within a partition (as (state, network, year) is).
-    The first row of a group gets null.
+    The first row of a group gets null. Large groups are sliced on the first order
+    column; each slice starts from the last value of the previous non-empty slice.
     """
     partition, order_cols = list(partition), list(order_cols)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    sliced = _sliced(df, partition, order)
-    w = Window.partitionBy(_SLICE, *partition).orderBy(*order)
+    sliced = _with_slices(df, partition, order_cols[0], False, slice_rows)
+    w = Window.partitionBy(_GROUP, _SLICE).orderBy(*order)
     sliced = (sliced.withColumn(out_col, F.lag(value_col, 1).over(w))
               .withColumn("_head", F.row_number().over(w) == 1))
     key = F.struct(*[F.col(c) for c in order_cols])
-    tails = sliced.groupBy(_SLICE, *partition).agg(F.max_by(F.col(value_col), key).alias("_tail"))
-    tails = tails.withColumn("_carry", F.lag("_tail", 1).over(Window.partitionBy(*partition).orderBy(_SLICE)))
-    out = _null_safe_join(sliced, tails.drop("_tail"), [_SLICE, *partition])
+    tails = sliced.groupBy(_GROUP, _SLICE).agg(F.max_by(F.col(value_col), key).alias("_tail"))
+    carry = F.lag("_tail", 1).over(Window.partitionBy(_GROUP).orderBy(_SLICE))
+    tails = tails.select(_GROUP, _SLICE, carry.alias("_carry"))
+    out = sliced.join(tails, [_GROUP, _SLICE])
     return (out.withColumn(out_col, F.when(F.col("_head"), F.col("_carry")).otherwise(F.col(out_col)))
-            .drop("_head", "_carry", _SLICE))
+            .drop("_head", "_carry", _SLICE, _GROUP))
 
 
 def first_last(df: DataFrame, group: Sequence[str], order_col: str, cols: Sequence[str],

@@ -59,15 +59,16 @@ def test_rank_and_lag_match_window_on_a_hot_group(spark):
     df = spark.createDataFrame(rows, "g string, ano int, t double").repartition(4)
     w = Window.partitionBy("g").orderBy(F.desc("t"))
     ref = df.withColumn("r", F.rank().over(w)).withColumn("p", F.round(F.percent_rank().over(w) * 100, 2))
-    got = W.rank_within(df, ["g"], "t")
+    got = W.rank_within(df, ["g"], "t", slice_rows=100)
     a = sorted((x.g, x.ano, x.r, x.p) for x in ref.collect())
     b = sorted((x.g, x.ano, x.ranking, x.percentil) for x in got.collect())
     assert a == b
-    slices = got.select(F.spark_partition_id().alias("s")).distinct().count()
-    assert slices >= 1
+    tagged = W._with_slices(df, ["g"], "ano", False, slice_rows=100)
+    per = {r.g: r.n for r in tagged.groupBy("g").agg(F.countDistinct("_slice").alias("n")).collect()}
+    assert per["hot"] > 1 and per["cold"] == 1          # the hot group is split, the small one is not
     lw = Window.partitionBy("g").orderBy("ano")
     ref = df.withColumn("prev", F.lag("t").over(lw))
-    got = W.lag_within(df, ["g"], ["ano"], "t", "prev")
+    got = W.lag_within(df, ["g"], ["ano"], "t", "prev", slice_rows=100)
     assert sorted(tuple(x) for x in ref.collect()) == sorted(tuple(x) for x in got.select(*ref.columns).collect())
 
 
@@ -78,7 +79,7 @@ def test_quantiles_and_describe(spark):
     assert math.isclose(d.desvio_padrao, 4.031129, abs_tol=1e-6) and d.n == 4
     vals = np.random.default_rng(7).normal(size=2001)
     g = spark.createDataFrame([("a" if i % 3 else "b", float(x)) for i, x in enumerate(vals)], "g string, v double")
-    got = {r.g: r for r in A.quantiles(g, "v", [0.1, 0.5, 0.9], ["g"], ["a", "b", "c"]).collect()}
+    got = {r.g: r for r in A.quantiles(g, "v", [0.1, 0.5, 0.9], ["g"], ["a", "b", "c"], slice_rows=50).collect()}
     for key, mask in (("a", np.arange(2001) % 3 != 0), ("b", np.arange(2001) % 3 == 0)):
         exp = np.quantile(vals[mask], [0.1, 0.5, 0.9])
         assert np.allclose([got[key].a, got[key].b, got[key].c], exp, atol=1e-12)
