@@ -373,4 +373,204 @@ SELECT count(*) AS registros, count(*) FILTER (WHERE coalesce(k, '') IN ('0', '1
        CAST(count(*) FILTER (WHERE coalesce(k, '') IN ('0', '1')) AS DOUBLE) / count(*) > 0.05 AS acima_limite
 FROM sc"""
 
+
+# --- gold tables: the silver layer rebuilt from the same extracts ---------------------------
+
+def _targets(base: str) -> str:
+    cols = []
+    for y in range(2024, 2031):
+        v = R(f"{base} + CAST({2 * (y - 2024)} AS DOUBLE)", 2)
+        if y == 2026:
+            v = f"CASE WHEN ano > 1995 THEN {v} END"
+        cols.append(f"{v} AS meta_alfabetizacao_{y}")
+    return ", ".join(cols)
+
+
+_LEVELS = ", ".join(f"count(*) FILTER (WHERE nivel = {i}) AS l{i}" for i in range(9))
+_LEVEL_PCT = ", ".join(f"{PCT(f'l{i}', 'n')} AS proporcao_aluno_nivel_{i}" for i in range(9))
+_AGG = f"count(*) AS n, count(*) FILTER (WHERE ok) AS k, count(*) FILTER (WHERE part) AS p, avg(nota) AS nota, {_LEVELS}"
+_REDE = """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Publica' WHEN 'BUILDING' THEN 'Municipal'
+  WHEN 'FURNITURE' THEN 'Estadual' WHEN 'HOUSEHOLD' THEN 'Federal' WHEN 'MACHINERY' THEN 'Privada' END"""
+_REDE_CODE = """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Estadual' WHEN 'BUILDING' THEN 'Municipal'
+  WHEN 'FURNITURE' THEN 'Publica' WHEN 'HOUSEHOLD' THEN 'Total' WHEN 'MACHINERY' THEN '9' END"""
+
+SILVER = "WITH " + UF_VALUES + f""",
+facts0 AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS ano, o.o_orderstatus = 'F' AS ok,
+         o.o_orderpriority IN ('1-URGENT', '2-HIGH') AS part,
+         CAST(least(floor(o.o_totalprice / 60000), 8) AS INTEGER) AS nivel, o.o_totalprice / 1000 AS nota,
+         c.c_mktsegment, c.c_custkey, {UF_CODE_LIST}[CAST(c.c_nationkey % 27 AS INTEGER) + 1] AS co_uf
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+facts AS (SELECT f.*, d.sigla_uf AS sigla, CAST(f.co_uf * 100000 + f.c_custkey % 100000 AS INTEGER) AS id_municipio
+          FROM facts0 f LEFT JOIN uf_dim d ON f.co_uf = d.co_uf),
+g_br AS (SELECT ano, c_mktsegment, {_AGG} FROM facts GROUP BY ano, c_mktsegment),
+g_uf AS (SELECT ano, sigla, c_mktsegment, {_AGG} FROM facts GROUP BY ano, sigla, c_mktsegment),
+g_mu AS (SELECT ano, id_municipio, c_mktsegment, {_AGG} FROM facts GROUP BY ano, id_municipio, c_mktsegment),
+s_meta_brasil AS (
+  SELECT ano, {_REDE} AS rede, {PCT("k", "n")} AS taxa_alfabetizacao, {_targets("CAST(50 AS DOUBLE)")},
+         {PCT("p", "n")} AS percentual_participacao FROM g_br),
+s_meta_uf AS (
+  SELECT ano, sigla AS sigla_uf, {_REDE} AS rede, {PCT("k", "n")} AS taxa_alfabetizacao,
+         {_targets("CAST(50 AS DOUBLE) + length(sigla)")}, {PCT("p", "n")} AS percentual_participacao FROM g_uf),
+s_meta_municipio AS (
+  SELECT * FROM (
+    SELECT ano, id_municipio, {_REDE} AS rede,
+           CASE WHEN id_municipio % 97 = 0 THEN CAST(150 AS DOUBLE) ELSE {PCT("k", "n")} END AS taxa_alfabetizacao,
+           {_targets("CAST(50 AS DOUBLE) + id_municipio % 7")},
+           CAST(least(floor({PCT("k", "n")} / 20) + 1, 5) AS INTEGER) AS nivel_alfabetizacao,
+           {PCT("p", "n")} AS percentual_participacao FROM g_mu)
+  WHERE taxa_alfabetizacao IS NULL OR taxa_alfabetizacao BETWEEN 0 AND 100),
+s_avaliacao_uf AS (
+  SELECT ano, sigla AS sigla_uf, 2 AS serie, {_REDE_CODE} AS rede, {PCT("k", "n")} AS taxa_alfabetizacao,
+         {R("nota", 2)} AS media_portugues, {_LEVEL_PCT} FROM g_uf),
+s_avaliacao_municipio AS (
+  SELECT ano, id_municipio, 2 AS serie, {_REDE_CODE} AS rede, {PCT("k", "n")} AS taxa_alfabetizacao,
+         {R("nota", 2)} AS media_portugues, {_LEVEL_PCT} FROM g_mu),
+pev AS (SELECT *, json_extract_string(props, '$.k') AS k, event_type <> 'error' AS present,
+               {UF_CODE_LIST}[CAST(user_id % 27 AS INTEGER) + 1] AS code FROM events),
+s_students AS (
+  SELECT CAST(year(ts) AS INTEGER) AS nu_ano_avaliacao, d.sigla_uf AS sg_uf, event_id AS id_aluno,
+         CAST(event_id % 5 AS INTEGER) AS tp_dependencia, CAST(code * 100000 + user_id AS INTEGER) AS co_municipio,
+         CASE WHEN event_type = 'signup' THEN NULL ELSE 'Cidade ' || CAST(user_id AS VARCHAR) END AS no_municipio,
+         CASE WHEN present THEN 1 ELSE 0 END AS in_presenca_lp,
+         CASE WHEN present THEN {R("CAST(400 AS DOUBLE) + value * CAST(1.5 AS DOUBLE)", 2)} END AS vl_proficiencia_lp
+  FROM pev LEFT JOIN uf_dim d ON pev.code = d.co_uf),
+s_students_ok AS (
+  SELECT *, CASE WHEN vl_proficiencia_lp IS NOT NULL THEN CASE WHEN vl_proficiencia_lp >= 743 THEN 1 ELSE 0 END END
+              AS in_alfabetizado
+  FROM s_students WHERE tp_dependencia IN (1, 2, 3, 4)
+    AND (vl_proficiencia_lp IS NULL OR vl_proficiencia_lp BETWEEN 400 AND 1000)),
+uf_prefix AS (SELECT m.*, d.sigla_uf AS m_sigla, d.regiao AS m_regiao
+              FROM s_meta_municipio m LEFT JOIN uf_dim d
+              ON TRY_CAST(substr(CAST(m.id_municipio AS VARCHAR), 1, 2) AS INTEGER) = d.co_uf)"""
+
+_M = ", ".join(f"meta_alfabetizacao_{y}" for y in range(2024, 2031))
+_CRIT_CASE = """CASE WHEN g >= 60 THEN 'Crítico' WHEN g >= 40 THEN 'Muito Alto' WHEN g >= 25 THEN 'Alto'
+  WHEN g >= 10 THEN 'Moderado' ELSE 'Baixo' END"""
+
+SQL["gold_panorama_alfabetizacao"] = SILVER + f""",
+u AS (SELECT ano, 'Brasil' AS granularidade, 'BR' AS codigo, 'Brasil' AS nome, rede, taxa_alfabetizacao, {_M}, percentual_participacao FROM s_meta_brasil
+      UNION ALL SELECT ano, 'UF', sigla_uf, sigla_uf, rede, taxa_alfabetizacao, {_M}, percentual_participacao FROM s_meta_uf
+      UNION ALL SELECT ano, 'Municipio', CAST(id_municipio AS VARCHAR), CAST(id_municipio AS VARCHAR), rede,
+                       taxa_alfabetizacao, {_M}, percentual_participacao FROM s_meta_municipio)
+SELECT *, {R("meta_alfabetizacao_2030 - taxa_alfabetizacao", 2)} AS gap_meta_2030,
+       CASE WHEN meta_alfabetizacao_2030 > 0 THEN {R("taxa_alfabetizacao / NULLIF(meta_alfabetizacao_2030, 0) * 100", 2)} END
+         AS percentual_atingimento_2030,
+       CASE WHEN taxa_alfabetizacao >= meta_alfabetizacao_2030 THEN 1 ELSE 0 END AS meta_atingida_2030
+FROM u"""
+SQL["gold_evolucao_proficiencia"] = SILVER + "\nSELECT * FROM s_avaliacao_uf"
+SQL["gold_ranking_municipios"] = SILVER + f""",
+r AS (SELECT a.*, d.sigla_uf FROM s_avaliacao_municipio a LEFT JOIN uf_dim d
+      ON TRY_CAST(substr(CAST(a.id_municipio AS VARCHAR), 1, 2) AS INTEGER) = d.co_uf
+      WHERE a.taxa_alfabetizacao IS NOT NULL)
+SELECT ano, sigla_uf, id_municipio, serie, rede, taxa_alfabetizacao, media_portugues,
+       CAST(rank() OVER (PARTITION BY ano, sigla_uf, rede ORDER BY taxa_alfabetizacao DESC) AS INTEGER) AS ranking,
+       {R("percent_rank() OVER (PARTITION BY ano, sigla_uf, rede ORDER BY taxa_alfabetizacao DESC) * 100", 2)} AS percentil
+FROM r"""
+SQL["gold_indicadores_alunos"] = SILVER + f"""
+SELECT nu_ano_avaliacao, sg_uf, tp_dependencia, count(*) AS total_alunos_avaliados,
+       CAST(sum(in_alfabetizado) AS BIGINT) AS total_alfabetizados, {R("avg(vl_proficiencia_lp)", 2)} AS media_proficiencia,
+       min(vl_proficiencia_lp) AS min_proficiencia, max(vl_proficiencia_lp) AS max_proficiencia,
+       {PCT("sum(in_alfabetizado)", "count(*)")} AS taxa_alfabetizacao
+FROM s_students_ok WHERE in_presenca_lp = 1 GROUP BY nu_ano_avaliacao, sg_uf, tp_dependencia"""
+SQL["gold_indicadores_alunos_municipio"] = SILVER + f"""
+SELECT nu_ano_avaliacao, sg_uf, co_municipio, no_municipio, tp_dependencia, count(*) AS total_alunos_avaliados,
+       CAST(sum(in_alfabetizado) AS BIGINT) AS total_alfabetizados, {R("avg(vl_proficiencia_lp)", 2)} AS media_proficiencia,
+       {PCT("sum(in_alfabetizado)", "count(*)")} AS taxa_alfabetizacao
+FROM s_students_ok WHERE in_presenca_lp = 1 GROUP BY nu_ano_avaliacao, sg_uf, co_municipio, no_municipio, tp_dependencia"""
+SQL["gold_features_ml"] = SILVER + f"""
+SELECT ano, id_municipio, rede, taxa_alfabetizacao, {_M}, nivel_alfabetizacao, percentual_participacao,
+       {R("meta_alfabetizacao_2030 - taxa_alfabetizacao", 2)} AS gap_meta_2030,
+       {R("taxa_alfabetizacao / NULLIF(meta_alfabetizacao_2030, 0) * 100", 2)} AS percentual_atingimento,
+       CASE WHEN meta_alfabetizacao_2026 IS NOT NULL THEN {R("meta_alfabetizacao_2026 - taxa_alfabetizacao", 2)} END
+         AS distancia_meta_2026,
+       CASE WHEN taxa_alfabetizacao >= meta_alfabetizacao_2030 THEN 1 ELSE 0 END AS ja_atingiu_meta
+FROM s_meta_municipio
+WHERE taxa_alfabetizacao IS NOT NULL AND meta_alfabetizacao_2030 IS NOT NULL AND id_municipio IS NOT NULL"""
+SQL["gold_desigualdade_regional"] = SILVER + f""",
+ri AS (SELECT ano, d.regiao, rede, {R("avg(taxa_alfabetizacao)", 2)} AS media_taxa_alfabetizacao,
+              {R("avg(meta_alfabetizacao_2030)", 2)} AS media_meta_2030, min(taxa_alfabetizacao) AS min_taxa,
+              max(taxa_alfabetizacao) AS max_taxa, count(*) AS total_ufs
+       FROM s_meta_uf u LEFT JOIN uf_dim d ON u.sigla_uf = d.sigla_uf
+       WHERE taxa_alfabetizacao IS NOT NULL GROUP BY ano, d.regiao, rede)
+SELECT *, {R("media_meta_2030 - media_taxa_alfabetizacao", 2)} AS gap_medio_meta_2030,
+       {R("max_taxa - min_taxa", 2)} AS amplitude FROM ri"""
+SQL["gold_municipios_criticos"] = SILVER + f""",
+c AS (SELECT *, {R("meta_alfabetizacao_2030 - taxa_alfabetizacao", 2)} AS g FROM uf_prefix
+      WHERE taxa_alfabetizacao IS NOT NULL AND meta_alfabetizacao_2030 IS NOT NULL)
+SELECT ano, id_municipio, m_sigla AS sigla_uf, m_regiao AS regiao, rede, taxa_alfabetizacao, meta_alfabetizacao_2030,
+       g AS gap_meta_2030, {R("taxa_alfabetizacao / NULLIF(meta_alfabetizacao_2030, 0) * 100", 2)} AS percentual_atingimento,
+       {_CRIT_CASE} AS nivel_criticidade, percentual_participacao FROM c"""
+SQL["gold_tendencia_temporal"] = SILVER + f""",
+t0 AS (SELECT ano, sigla_uf, rede, taxa_alfabetizacao AS taxa, meta_alfabetizacao_2030 AS meta,
+              lag(taxa_alfabetizacao) OVER (PARTITION BY sigla_uf, rede ORDER BY ano) AS prev
+       FROM s_meta_uf WHERE taxa_alfabetizacao IS NOT NULL),
+t1 AS (SELECT *, CASE WHEN prev IS NOT NULL THEN {R("taxa - prev", 2)} END AS variacao_anual FROM t0),
+t2 AS (SELECT *, CASE WHEN variacao_anual > 0 AND meta IS NOT NULL
+                      THEN {R("(meta - taxa) / variacao_anual", 1)} END AS anos_para_meta FROM t1),
+t3 AS (SELECT *, CASE WHEN anos_para_meta > 0 THEN CAST(trunc(ano + anos_para_meta) AS INTEGER) END
+                 AS ano_projetado_atingimento FROM t2)
+SELECT ano, sigla_uf, rede, taxa AS taxa_alfabetizacao, meta AS meta_alfabetizacao_2030, variacao_anual, anos_para_meta,
+       ano_projetado_atingimento,
+       CASE WHEN ano_projetado_atingimento IS NULL THEN 'Sem dados' WHEN taxa >= meta THEN 'Já atingiu'
+            WHEN ano_projetado_atingimento <= 2030 THEN 'Sim' ELSE 'Não no ritmo atual' END AS vai_atingir_2030
+FROM t3"""
+SQL["roundtrip_layers"] = SILVER + "\nSELECT * FROM s_meta_uf"
+
+
+def _rule(table: str, rule: str, violations: str, unit: str, source: str) -> str:
+    return (f"SELECT '{table}' AS tabela, '{rule}' AS regra, CASE WHEN v = 0 THEN 'PASSOU' ELSE 'FALHOU' END AS status, "
+            f"'(' || CAST(v AS VARCHAR) || ' {unit})' AS detalhe FROM (SELECT count(*) FILTER (WHERE {violations}) AS v FROM {source})")
+
+
+def _unique(table: str, keys: list[str], source: str) -> str:
+    k = ", ".join(keys)
+    return (f"SELECT '{table}' AS tabela, 'sem duplicatas ({'+'.join(keys)})' AS regra, "
+            f"CASE WHEN t = d THEN 'PASSOU' ELSE 'FALHOU' END AS status, "
+            f"'(' || CAST(t AS VARCHAR) || ' total, ' || CAST(d AS VARCHAR) || ' distintos)' AS detalhe "
+            f"FROM (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS t, count(*) AS d FROM (SELECT count(*) AS c FROM {source} GROUP BY {k}))")
+
+
+def _silver_quality() -> str:
+    years = list(range(2024, 2031))
+    mono = [_rule("meta_uf", f"meta_alfabetizacao_{a} <= meta_alfabetizacao_{b}",
+                  f"meta_alfabetizacao_{a} IS NOT NULL AND meta_alfabetizacao_{b} IS NOT NULL AND "
+                  f"meta_alfabetizacao_{a} > meta_alfabetizacao_{b}", "violações", "s_meta_uf")
+            for a, b in zip(years, years[1:])]
+    levels = " + ".join(f"proporcao_aluno_nivel_{i}" for i in range(9))
+    parts = [
+        _rule("meta_brasil", "ano/rede não nulos", "ano IS NULL OR rede IS NULL", "nulos", "s_meta_brasil"),
+        _rule("meta_uf", "ano/sigla_uf/rede não nulos", "ano IS NULL OR sigla_uf IS NULL OR rede IS NULL", "nulos", "s_meta_uf"),
+        _rule("meta_uf", "taxa_alfabetizacao em [0, 100]",
+              "taxa_alfabetizacao IS NOT NULL AND (taxa_alfabetizacao < 0 OR taxa_alfabetizacao > 100)", "fora", "s_meta_uf"),
+        *mono,
+        _rule("meta_municipio", "ano/id_municipio não nulos", "ano IS NULL OR id_municipio IS NULL", "nulos", "s_meta_municipio"),
+        _rule("meta_municipio", "taxa_alfabetizacao em [0, 100]",
+              "taxa_alfabetizacao IS NOT NULL AND (taxa_alfabetizacao < 0 OR taxa_alfabetizacao > 100)", "fora",
+              "s_meta_municipio"),
+        _unique("meta_uf", ["ano", "sigla_uf", "rede"], "s_meta_uf"),
+        _unique("meta_municipio", ["ano", "id_municipio", "rede"], "s_meta_municipio"),
+        f"""SELECT 'avaliacao_uf' AS tabela, 'soma de proporcao_aluno_nivel_0.. = 100 ± 2' AS regra,
+                   CASE WHEN v = 0 THEN 'PASSOU' ELSE 'FALHOU' END AS status,
+                   CASE WHEN a = 0 THEN '(sem dados)' ELSE '(' || CAST(v AS VARCHAR) || ' fora)' END AS detalhe
+            FROM (SELECT count(*) FILTER (WHERE proporcao_aluno_nivel_0 IS NOT NULL) AS a,
+                         count(*) FILTER (WHERE proporcao_aluno_nivel_0 IS NOT NULL AND abs({levels} - 100) > 2) AS v
+                  FROM s_avaliacao_uf)""",
+        """SELECT 'meta_uf vs avaliacao_uf' AS tabela, 'sigla_uf consistente entre tabelas' AS regra,
+                  CASE WHEN a = 0 AND b = 0 THEN 'PASSOU' ELSE 'FALHOU' END AS status,
+                  '(só meta: ' || CAST(a AS VARCHAR) || ', só avaliação: ' || CAST(b AS VARCHAR) || ')' AS detalhe
+           FROM (SELECT (SELECT count(DISTINCT sigla_uf) FROM s_meta_uf WHERE sigla_uf IS NOT NULL
+                         AND sigla_uf NOT IN (SELECT sigla_uf FROM s_avaliacao_uf WHERE sigla_uf IS NOT NULL)) AS a,
+                        (SELECT count(DISTINCT sigla_uf) FROM s_avaliacao_uf WHERE sigla_uf IS NOT NULL
+                         AND sigla_uf NOT IN (SELECT sigla_uf FROM s_meta_uf WHERE sigla_uf IS NOT NULL)) AS b)""",
+        _rule("ts_aluno", "vl_proficiencia_lp em [400, 1000]",
+              "vl_proficiencia_lp IS NOT NULL AND (vl_proficiencia_lp < 400 OR vl_proficiencia_lp > 1000)", "fora",
+              "s_students_ok"),
+        _unique("ts_aluno", ["nu_ano_avaliacao", "id_aluno"], "s_students_ok"),
+    ]
+    return SILVER + "\n" + "\nUNION ALL ".join(parts)
+
+
+SQL["silver_quality"] = _silver_quality()
+
 SQL = {k: (v if v.lstrip().upper().startswith(("WITH", "SELECT")) else "WITH " + v) for k, v in SQL.items()}
