@@ -59,7 +59,12 @@ def _with_slices(df: DataFrame, group: Sequence[str], order_col: str, descending
     if v is None or cap == 1:
         return keyed.withColumn(_SLICE, F.lit(0))
     # exact and order-independent, so identical on every recomputation
-    stats = keyed.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("_gn"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    aggs = [F.count(F.lit(1)).alias("_gn"), F.min(v).alias("_lo"), F.max(v).alias("_hi")]
+    if group:
+        tagged = keyed.join(keyed.groupBy(_GROUP).agg(*aggs), _GROUP)
+    else:  # one group: its statistics are a scalar subquery, no join
+        one = keyed.select(F.struct(*aggs)).scalar()
+        tagged = keyed.withColumns({c: one.getField(c) for c in ("_gn", "_lo", "_hi")})
     k = F.least(F.ceil(F.col("_gn") / F.lit(rows)), F.lit(cap)).cast("int")
     frac = F.try_divide(v - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     pos = F.least(F.floor(frac * k), k - 1).cast("int")
@@ -67,7 +72,7 @@ def _with_slices(df: DataFrame, group: Sequence[str], order_col: str, descending
     null_slice = F.lit(cap) if descending else F.lit(-1)
     sl = (F.when((k <= 1) | (F.col("_hi") == F.col("_lo")), F.lit(0))
           .when(v.isNull(), null_slice).otherwise(pos))
-    return keyed.join(stats, _GROUP).withColumn(_SLICE, sl.cast("int")).drop("_gn", "_lo", "_hi")
+    return tagged.withColumn(_SLICE, sl.cast("int")).drop("_gn", "_lo", "_hi")
 
 
 def _slice_offsets(sliced: DataFrame, weight: Column) -> DataFrame:

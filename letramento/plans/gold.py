@@ -134,9 +134,12 @@ def build_gold(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
     return out
 
 
-def run_gold(spark: SparkSession, silver_root: str, gold_root: str) -> list[str]:
+def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[str] | None = None) -> list[str]:
+    """Write the gold tables (all, or the names in ``only``)."""
     written = []
     for name, df in build_gold(spark, silver_root).items():
+        if only is not None and name not in only:
+            continue
         parts = GOLD_PARTITIONS[name]
         if name == "municipios_criticos":
             df = W.sort_for_write(df, parts, [F.col("gap_meta_2030").desc()])

@@ -14,7 +14,7 @@ from .bronze import STUDENT_STREAM_TABLE, run_bronze
 from .extracts import envelopes, raw_extracts
 from .testbed import read_table
 from .gold import run_gold
-from .silver import run_silver
+from .silver import run_silver, run_silver_students
 
 BATCH_DAY = "2026-07-09"
 _RUNS: dict[tuple[str, str], str] = {}
@@ -53,3 +53,15 @@ def run_pipeline(spark: SparkSession, sf: str, with_stream: bool = True) -> str:
     run_gold(spark, f"{root}/silver", f"{root}/gold")
     _RUNS[key] = root
     return root
+
+
+STUDENT_GOLD = {"indicadores_alunos", "indicadores_alunos_municipio"}
+
+
+def refresh_students(spark: SparkSession, inbox: str, root: str, batch_day: str = BATCH_DAY) -> list[str]:
+    """ST11: ingest what has arrived (``availableNow``), then recompute the pupil silver
+    table and the two pupil gold tables; the indicator tables are left as they are."""
+    bronze = f"{root}/bronze"
+    ingest_stream(spark, inbox, bronze, root)
+    run_silver_students(spark, bronze, f"{root}/silver", batch_day)
+    return run_gold(spark, f"{root}/silver", f"{root}/gold", only=STUDENT_GOLD)

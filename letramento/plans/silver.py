@@ -77,6 +77,18 @@ SILVER_TABLES = {
 }
 
 
+def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str) -> int | None:
+    """V6 alone: batch and stream bronze pupils -> silver ``Ts_aluno``; None if there are none."""
+    roots = [f"{bronze_root.rstrip('/')}/{t}" for t in (STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE)]
+    students = read_students(spark, roots)
+    if students is None:
+        return None
+    obs = Observation("silver_Ts_aluno")
+    df = silver_students(students, batch_day)
+    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, "Ts_aluno", ["data_ingestao"])
+    return int(obs.get["rows"])
+
+
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str) -> dict[str, int]:
     counts = {}
     for table, fn in SILVER_TABLES.items():
@@ -84,11 +96,7 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_da
         obs = Observation(f"silver_{table}")
         write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, table, ["ano"])
         counts[table] = int(obs.get["rows"])
-    roots = [f"{bronze_root.rstrip('/')}/{t}" for t in (STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE)]
-    students = read_students(spark, roots)
-    if students is not None:
-        df = silver_students(students, batch_day)
-        obs = Observation("silver_Ts_aluno")
-        write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, "Ts_aluno", ["data_ingestao"])
-        counts["Ts_aluno"] = int(obs.get["rows"])
+    n = run_silver_students(spark, bronze_root, silver_root, batch_day)
+    if n is not None:
+        counts["Ts_aluno"] = n
     return counts

@@ -58,3 +58,19 @@ def test_read_students_any_mix(spark, root):
         df = read_students(spark, paths)
         assert df.schema == schemas.STUDENT and df.count() > 0
     assert read_students(spark, [f"{root}/none"]) is None
+
+
+def test_refresh_students_after_new_events(spark, tmp_root):
+    from letramento.plans.extracts import envelopes
+    from letramento.plans.pipeline import refresh_students
+    from letramento.plans.testbed import read_table
+    events = read_table(spark, SF, "events")
+    inbox = f"{tmp_root}/inbox"
+    envelopes(events.where(F.col("event_type") == "view")).write.mode("append").json(inbox)
+    refresh_students(spark, inbox, tmp_root)
+    first = spark.read.parquet(f"{tmp_root}/gold/indicadores_alunos").agg(F.sum("total_alunos_avaliados")).first()[0]
+    envelopes(events.where(F.col("event_type") == "click")).write.mode("append").json(inbox)
+    written = refresh_students(spark, inbox, tmp_root)
+    second = spark.read.parquet(f"{tmp_root}/gold/indicadores_alunos").agg(F.sum("total_alunos_avaliados")).first()[0]
+    assert set(written) == {"indicadores_alunos", "indicadores_alunos_municipio"}
+    assert 0 < first < second
