@@ -142,7 +142,10 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[st
             continue
         parts = GOLD_PARTITIONS[name]
         if name == "municipios_criticos":
-            df = W.sort_for_write(df, parts, [F.col("gap_meta_2030").desc()])
-        write_layer(df, gold_root, name, parts)
+            # already range-partitioned and sorted for the write; keep that layout
+            write_layer(W.sort_for_write(df, parts, [F.col("gap_meta_2030").desc()]), gold_root, name, parts,
+                        rebalance=False)
+        else:
+            write_layer(df, gold_root, name, parts)
         written.append(name)
     return written

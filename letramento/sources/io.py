@@ -51,13 +51,19 @@ def read_students(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None
 
 
 def write_layer(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> str:
+                mode: str = "overwrite", rebalance: bool = True) -> str:
     """K1: write a Parquet table partitioned by 0..n columns; returns its path.
 
-    Overwrite replaces only the partitions present in ``df`` (dynamic mode), so a
-    table can be refreshed one year at a time.
+    With ``rebalance`` the rows are first rebalanced on the partition columns: adaptive
+    execution sizes the write tasks and splits a skewed partition value over several
+    tasks, so each folder gets a few well-sized files instead of one file per task
+    per folder, and one large year never lands in a single writer. Overwrite replaces
+    only the partitions present in ``df`` (dynamic mode), so a table can be refreshed
+    one year at a time.
     """
     path = f"{root.rstrip('/')}/{table}"
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -44,3 +44,23 @@ def test_metrics(spark):
     bad = spark.createDataFrame([("d",)], "data_ingestao string")
     r = S.ingest_metrics(good, bad).first()
     assert (r.registros, r.rejeitados, r.taxa_erro, r.acima_limite) == (20, 1, 0.05, False)
+
+
+def test_empty_batch_writes_no_file(spark, tmp_root):
+    import os
+    inbox = f"{tmp_root}/empty-inbox"
+    spark.createDataFrame([], "data string").write.json(inbox)
+    args = (f"{tmp_root}/bronze-empty", f"{tmp_root}/quarantine-empty", f"{tmp_root}/ckpt-empty")
+    S.run_until_done(S.start_ingest(S.read_envelope_stream(spark, inbox), *args))
+    local = args[0].replace("file:", "")
+    files = [f for _, _, fs in os.walk(local) for f in fs if f.endswith(".parquet")] if os.path.exists(local) else []
+    assert files == []
+
+
+def test_redelivery_is_removed_by_key(spark):
+    from letramento.plans.silver import silver_students
+    body = '{"nu_ano_avaliacao": 2025, "id_aluno": 7, "co_uf": 35, "tp_dependencia": 2, "vl_proficiencia_lp": 750}'
+    df = spark.createDataFrame([(body,), (body,)], "t string").select(F.base64(F.encode("t", "UTF-8")).alias("data"))
+    good, _ = S.split_rejects(S.decode_events(df))
+    out = silver_students(S.to_student_event(good), "2026-07-09").collect()
+    assert len(out) == 1 and out[0].id_aluno == 7 and out[0].in_alfabetizado is None
