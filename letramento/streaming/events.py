@@ -136,3 +136,10 @@ def run_until_done(queries: Sequence[StreamingQuery]) -> None:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
+
+
+def health_report(spark: SparkSession, bronze_path: str, quarantine_path: str, threshold: float = 0.05) -> DataFrame:
+    """ST8 over the two sinks: records, rejects and error rate per ingestion day."""
+    good = spark.read.schema(schemas.STUDENT).parquet(bronze_path)
+    rejects = spark.read.parquet(quarantine_path)
+    return ingest_metrics(good, rejects, threshold)

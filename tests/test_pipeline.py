@@ -74,3 +74,13 @@ def test_refresh_students_after_new_events(spark, tmp_root):
     second = spark.read.parquet(f"{tmp_root}/gold/indicadores_alunos").agg(F.sum("total_alunos_avaliados")).first()[0]
     assert set(written) == {"indicadores_alunos", "indicadores_alunos_municipio"}
     assert 0 < first < second
+
+
+def test_command_line_jobs(spark, root, tmp_root):
+    from letramento.__main__ import main
+    from letramento.streaming.events import health_report
+    assert main(["gold", "--silver", f"{root}/silver", "--gold", f"{tmp_root}/gold"]) == 0
+    assert spark.read.parquet(f"{tmp_root}/gold/features_ml").count() > 0
+    assert main(["quality", "--silver", f"{root}/silver"]) == 0
+    h = health_report(spark, f"{root}/bronze/Ts_aluno_stream", f"{root}/quarantine").first()
+    assert h.registros > h.rejeitados > 0 and 0 < h.taxa_erro < 0.05
