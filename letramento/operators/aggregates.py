@@ -9,14 +9,13 @@ Exact quantiles use value positions (see ``windows.value_positions``) instead of
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import literate_flag
-from ..functions.numeric import col_, percent, ratio, round_half_even, round_half_up
+from ..functions.numeric import percent, ratio, round_half_even, round_half_up
 from .windows import value_positions
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dims import lookup
-from ..functions.numeric import col_
 
 LINEAGE_COLUMNS = ["timestamp_ingestao", "fonte", "arquivo_original",
                    "_timestamp_ingestao", "_fonte", "_arquivo_original"]

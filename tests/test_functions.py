@@ -1,7 +1,6 @@
 """Hand-worked cases for the column functions (FIXTURES.md §3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from letramento.functions import dims
 from letramento.functions import measures as M

@@ -1,6 +1,5 @@
 """End to end on sf0.001 extracts: raw -> bronze (+stream) -> silver -> gold."""
 
-import os
 
 import pytest
 from pyspark.sql import functions as F

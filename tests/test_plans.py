@@ -1,6 +1,5 @@
 """Physical-plan checks over every registered query (no execution needed)."""
 
-import re
 
 import pytest
 
