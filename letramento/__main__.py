@@ -2,7 +2,7 @@
 
   bronze  --raw TABLE=PATH ... --bronze ROOT
   silver  --bronze ROOT --silver ROOT [--batch-day YYYY-MM-DD]
-  gold    --silver ROOT --gold ROOT
+  gold    --silver ROOT --gold ROOT [--years 2024 ...]
   quality --silver ROOT [--fail-on-error]
   ingest  --inbox PATH --bronze ROOT --quarantine PATH --checkpoint PATH [--every "1 minute"]
   refresh --inbox PATH --root ROOT
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     g = sub.add_parser("gold")
     g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
+    g.add_argument("--years", type=int, nargs="*", default=None, help="recompute only these years")
     q = sub.add_parser("quality")
     q.add_argument("--silver", required=True)
     q.add_argument("--fail-on-error", action="store_true")
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         print(run_silver(spark, a.bronze, a.silver, a.batch_day))
     elif a.job == "gold":
         from .plans.gold import run_gold
-        print(run_gold(spark, a.silver, a.gold))
+        print(run_gold(spark, a.silver, a.gold, years=a.years))
     elif a.job == "quality":
         from .operators.quality import assert_quality, quality_report
         from .plans.validation import silver_checks

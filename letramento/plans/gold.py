@@ -4,6 +4,8 @@ reads silver, builds every table whose inputs exist and writes it partitioned.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,10 +113,23 @@ GOLD_PARTITIONS = {
 }
 
 
-def build_gold(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
-    """All gold tables whose silver inputs exist (S5: a missing table skips its dependants)."""
-    s = {t: read_optional(spark, silver_root, t) for t in
-         ["Meta_brasil", "Meta_uf", "Meta_municipio", "Avaliacao_uf", "Avaliacao_municipio", "Ts_aluno"]}
+def build_gold(spark: SparkSession, silver_root: str, years: Sequence[int] | None = None) -> dict[str, DataFrame]:
+    """All gold tables whose silver inputs exist (S5: a missing table skips its dependants).
+
+    With ``years`` only those years are built: the silver reads carry a filter on the
+    year partition column, so Spark prunes every other year folder. The trend table
+    looks backwards (previous available year), so it reads every year up to the last
+    requested one and keeps the requested years afterwards.
+    """
+    def read(table: str, upto_only: bool = False) -> DataFrame | None:
+        df = read_optional(spark, silver_root, table)
+        if df is None or years is None:
+            return df
+        y = F.col("nu_ano_avaliacao" if table == "Ts_aluno" else "ano")
+        return df.where(y <= max(years)) if upto_only else df.where(y.isin(list(years)))
+
+    s = {t: read(t) for t in ["Meta_brasil", "Meta_uf", "Meta_municipio", "Avaliacao_uf", "Avaliacao_municipio",
+                               "Ts_aluno"]}
     out: dict[str, DataFrame] = {}
     if all(s[t] is not None for t in ["Meta_brasil", "Meta_uf", "Meta_municipio"]):
         out["panorama_alfabetizacao"] = panorama(s["Meta_brasil"], s["Meta_uf"], s["Meta_municipio"])
@@ -130,14 +145,20 @@ def build_gold(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
         out["municipios_criticos"] = criticos(s["Meta_municipio"])
     if s["Meta_uf"] is not None:
         out["desigualdade_regional"] = desigualdade(s["Meta_uf"])
-        out["tendencia_temporal"] = tendencia(s["Meta_uf"])
+        trend = tendencia(read("Meta_uf", upto_only=True))
+        out["tendencia_temporal"] = trend if years is None else trend.where(F.col("ano").isin(list(years)))
     return out
 
 
-def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[str] | None = None) -> list[str]:
-    """Write the gold tables (all, or the names in ``only``)."""
+def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[str] | None = None,
+             years: Sequence[int] | None = None) -> list[str]:
+    """Write the gold tables (all, or the names in ``only``).
+
+    With ``years``, only those year partitions are recomputed and replaced (dynamic
+    partition overwrite); the other years of each table stay as they are.
+    """
     written = []
-    for name, df in build_gold(spark, silver_root).items():
+    for name, df in build_gold(spark, silver_root, years).items():
         if only is not None and name not in only:
             continue
         parts = GOLD_PARTITIONS[name]

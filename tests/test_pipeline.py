@@ -83,3 +83,20 @@ def test_command_line_jobs(spark, root, tmp_root):
     assert main(["quality", "--silver", f"{root}/silver"]) == 0
     h = health_report(spark, f"{root}/bronze/Ts_aluno_stream", f"{root}/quarantine").first()
     assert h.registros > h.rejeitados > 0 and 0 < h.taxa_erro < 0.05
+
+
+def test_gold_refresh_of_one_year_prunes_and_keeps_other_years(spark, root, tmp_root):
+    from letramento.plans.gold import build_gold, run_gold
+    gold = f"{tmp_root}/gold-years"
+    run_gold(spark, f"{root}/silver", gold)
+    before = {r.ano: r.n for r in spark.read.parquet(f"{gold}/features_ml").groupBy("ano")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    plan = build_gold(spark, f"{root}/silver", years=[1998])["features_ml"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan and "1998" in plan
+    run_gold(spark, f"{root}/silver", gold, years=[1998])
+    after = {r.ano: r.n for r in spark.read.parquet(f"{gold}/features_ml").groupBy("ano")
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert after == before and len(after) > 1
+    full = spark.read.parquet(f"{root}/gold/tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
+    part = spark.read.parquet(f"{gold}/tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
+    assert full.count() > 0 and full.exceptAll(part).count() == 0 and part.exceptAll(full).count() == 0
