@@ -7,7 +7,7 @@ invalid duplicate can never evict a valid row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dims
@@ -17,50 +17,79 @@ from ..sources.io import read_layer, read_students, write_layer
 from .bronze import STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE
 
 ORDER = ["_timestamp_ingestao"]
-
-
-def _finish(df: DataFrame, keys: list[str], rate: str = "taxa_alfabetizacao", lo: float = 0, hi: float = 100) -> DataFrame:
-    df = C.require_keys(df, [k for k in keys if k != "serie"])
+AUDIT_TABLE = "_auditoria"
+
+
+def _any_null(cols: list[str]) -> Column:
+    cond = F.lit(False)
+    for c in cols:
+        cond = cond | F.col(c).isNull()
+    return cond
+
+
+def _observe_rejects(df: DataFrame, rules: list[tuple[str, Column]], audit: Observation | None) -> DataFrame:
+    """Q8: count rows read and rows failing each rule first (in rule order), on the
+    pass that writes the table; the filters above do not move below this point."""
+    if audit is None:
+        return df
+    metrics, earlier = [F.count(F.lit(1)).alias("lidos")], F.lit(False)
+    for name, failing in rules:
+        metrics.append(F.count_if(~earlier & failing).alias(name))
+        earlier = earlier | failing
+    return df.observe(audit, *metrics)
+
+
+def _finish(df: DataFrame, keys: list[str], rate: str = "taxa_alfabetizacao", lo: float = 0, hi: float = 100,
+            audit: Observation | None = None) -> DataFrame:
+    required = [k for k in keys if k != "serie"]
+    df = _observe_rejects(df, [("chave_nula", _any_null(required)),
+                               ("fora_do_intervalo", F.col(rate).isNotNull() & ~F.col(rate).between(lo, hi))], audit)
+    df = C.require_keys(df, required)
     df = C.in_range(df, rate, lo, hi)
     df = C.dedup(df, keys, [c for c in ORDER if c in df.columns])
     return C.stamp_layer(C.drop_lineage(df), "silver")
 
 
-def silver_meta_brasil(df: DataFrame) -> DataFrame:
+def silver_meta_brasil(df: DataFrame, audit: Observation | None = None) -> DataFrame:
     df = C.cast_prefix(C.cast_columns(df, schemas.META_TYPES), "meta_alfabetizacao_")
     df = C.canonicalise_by_name(df, "rede", dims.REDE_BY_NAME)
-    return _finish(df, ["ano", "rede"])
+    return _finish(df, ["ano", "rede"], audit=audit)
 
 
-def silver_meta_uf(df: DataFrame) -> DataFrame:
+def silver_meta_uf(df: DataFrame, audit: Observation | None = None) -> DataFrame:
     df = C.cast_prefix(C.cast_columns(df, schemas.META_TYPES), "meta_alfabetizacao_")
     df = C.canonicalise_by_name(C.normalise_code(df, "sigla_uf"), "rede", dims.REDE_BY_NAME)
-    return _finish(df, ["ano", "sigla_uf", "rede"])
+    return _finish(df, ["ano", "sigla_uf", "rede"], audit=audit)
 
 
-def silver_meta_municipio(df: DataFrame) -> DataFrame:
+def silver_meta_municipio(df: DataFrame, audit: Observation | None = None) -> DataFrame:
     df = C.cast_prefix(C.cast_columns(df, schemas.META_MUNICIPIO_TYPES), "meta_alfabetizacao_")
     df = C.canonicalise_by_name(df, "rede", dims.REDE_BY_NAME)
-    return _finish(df, ["ano", "id_municipio", "rede"])
+    return _finish(df, ["ano", "id_municipio", "rede"], audit=audit)
 
 
-def silver_avaliacao_uf(df: DataFrame) -> DataFrame:
+def silver_avaliacao_uf(df: DataFrame, audit: Observation | None = None) -> DataFrame:
     df = C.cast_family(C.cast_columns(df, schemas.AVALIACAO_TYPES), "proporcao_aluno_nivel_", range(9))
     df = C.canonicalise_by_code(C.normalise_code(df, "sigla_uf"), "rede", dims.REDE_BY_CODE)
-    return _finish(df, ["ano", "sigla_uf", "serie", "rede"])
+    return _finish(df, ["ano", "sigla_uf", "serie", "rede"], audit=audit)
 
 
-def silver_avaliacao_municipio(df: DataFrame) -> DataFrame:
+def silver_avaliacao_municipio(df: DataFrame, audit: Observation | None = None) -> DataFrame:
     df = C.cast_family(C.cast_columns(df, schemas.AVALIACAO_MUNICIPIO_TYPES), "proporcao_aluno_nivel_", range(9))
     df = C.canonicalise_by_code(df, "rede", dims.REDE_BY_CODE)
-    return _finish(df, ["ano", "id_municipio", "serie", "rede"])
+    return _finish(df, ["ano", "id_municipio", "serie", "rede"], audit=audit)
 
 
-def silver_students(df: DataFrame, batch_day: str) -> DataFrame:
+def silver_students(df: DataFrame, batch_day: str, audit: Observation | None = None) -> DataFrame:
     """V6: batch and stream pupils; range filters first, then one row per (year, pupil)."""
     df = C.cast_columns(df, schemas.STUDENT_TYPES)
     df = C.normalise_code(df, "sg_uf")
     df = C.assign_ingest_day(df, batch_day)
+    score = F.col("vl_proficiencia_lp")
+    df = _observe_rejects(df, [
+        ("chave_nula", _any_null(["nu_ano_avaliacao", "id_aluno", "co_uf"])),
+        ("fora_do_dominio", ~F.coalesce(F.col("tp_dependencia").isin(1, 2, 3, 4), F.lit(False))),
+        ("fora_do_intervalo", score.isNotNull() & ~score.between(400, 1000))], audit)
     df = C.require_keys(df, ["nu_ano_avaliacao", "id_aluno", "co_uf"])
     df = C.in_set(df, "tp_dependencia", [1, 2, 3, 4])
     df = C.in_range(df, "vl_proficiencia_lp", 400, 1000)
@@ -77,26 +106,46 @@ SILVER_TABLES = {
 }
 
 
-def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str) -> int | None:
+def _audit_rows(table: str, audit: Observation, written: int) -> list[tuple[str, str, int]]:
+    m = audit.get
+    rejected = {k: int(v) for k, v in m.items() if k != "lidos"}
+    rows = [(table, "lidos", int(m["lidos"]))]
+    rows += [(table, k, v) for k, v in rejected.items()]
+    rows += [(table, "duplicata", int(m["lidos"]) - sum(rejected.values()) - written), (table, "gravados", written)]
+    return rows
+
+
+def _write_counted(df: DataFrame, silver_root: str, table: str, partition_by: list[str]) -> int:
+    obs = Observation(f"silver_{table}")
+    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, table, partition_by)
+    return int(obs.get["rows"])
+
+
+def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str,
+                        audit_rows: list | None = None) -> int | None:
     """V6 alone: batch and stream bronze pupils -> silver ``Ts_aluno``; None if there are none."""
     roots = [f"{bronze_root.rstrip('/')}/{t}" for t in (STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE)]
     students = read_students(spark, roots)
     if students is None:
         return None
-    obs = Observation("silver_Ts_aluno")
-    df = silver_students(students, batch_day)
-    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, "Ts_aluno", ["data_ingestao"])
-    return int(obs.get["rows"])
+    audit = Observation("audit_Ts_aluno")
+    n = _write_counted(silver_students(students, batch_day, audit), silver_root, "Ts_aluno", ["data_ingestao"])
+    if audit_rows is not None:
+        audit_rows += _audit_rows("Ts_aluno", audit, n)
+    return n
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str) -> dict[str, int]:
-    counts = {}
+    """V1-V6, plus the discard audit ``_auditoria`` (rows read, dropped per rule, duplicates, written)."""
+    counts, audit_rows = {}, []
     for table, fn in SILVER_TABLES.items():
-        df = fn(read_layer(spark, bronze_root, table))
-        obs = Observation(f"silver_{table}")
-        write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, table, ["ano"])
-        counts[table] = int(obs.get["rows"])
-    n = run_silver_students(spark, bronze_root, silver_root, batch_day)
+        audit = Observation(f"audit_{table}")
+        counts[table] = _write_counted(fn(read_layer(spark, bronze_root, table), audit), silver_root, table, ["ano"])
+        audit_rows += _audit_rows(table, audit, counts[table])
+    n = run_silver_students(spark, bronze_root, silver_root, batch_day, audit_rows)
     if n is not None:
         counts["Ts_aluno"] = n
+    # one row per (table, reason): bounded by the number of tables and rules
+    audit_df = spark.createDataFrame(audit_rows, "tabela string, motivo string, registros long")
+    write_layer(audit_df.coalesce(1), silver_root, AUDIT_TABLE)
     return counts

@@ -100,3 +100,17 @@ def test_gold_refresh_of_one_year_prunes_and_keeps_other_years(spark, root, tmp_
     full = spark.read.parquet(f"{root}/gold/tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
     part = spark.read.parquet(f"{gold}/tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
     assert full.count() > 0 and full.exceptAll(part).count() == 0 and part.exceptAll(full).count() == 0
+
+
+def test_silver_discard_audit(spark, root):
+    audit = {(r.tabela, r.motivo): r.registros for r in spark.read.parquet(f"{root}/silver/_auditoria").collect()}
+    for table in ["Meta_municipio", "Ts_aluno"]:
+        read = audit[(table, "lidos")]
+        parts = sum(v for (t, m), v in audit.items() if t == table and m != "lidos")
+        assert read == parts, table
+        assert audit[(table, "gravados")] == spark.read.parquet(f"{root}/silver/{table}").count()
+    bronze = spark.read.parquet(f"{root}/bronze/Meta_municipio")
+    over = bronze.where(F.col("taxa_alfabetizacao").try_cast("double") > 100).count()
+    assert audit[("Meta_municipio", "fora_do_intervalo")] == over
+    assert audit[("Ts_aluno", "duplicata")] > 0                        # batch + stream redelivery
+    assert audit[("Ts_aluno", "fora_do_dominio")] > 0                  # dependency code 0
