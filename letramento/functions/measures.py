@@ -70,9 +70,17 @@ def rate_band(rate: str | Column) -> Column:
     return classify(rate, RATE_BANDS, RATE_BAND_DEFAULT, null_label=None)
 
 
-def yearly_change(rate: str | Column, previous: str | Column, scale: int = 2) -> Column:
-    """round(rate - previous); null without a previous value."""
-    return F.when(col_(previous).isNotNull(), round_half_up(col_(rate) - col_(previous), scale))
+def yearly_change(rate: str | Column, previous: str | Column, scale: int = 2,
+                  years_between: str | Column | None = None) -> Column:
+    """round(rate - previous); null without a previous value.
+
+    With ``years_between`` the change is divided by the distance to the previous
+    available year (a change over a two-year gap counts half per year).
+    """
+    delta = col_(rate) - col_(previous)
+    if years_between is not None:
+        delta = F.try_divide(delta, col_(years_between))
+    return F.when(col_(previous).isNotNull(), round_half_up(delta, scale))
 
 
 def years_to_target(rate: str | Column, target: str | Column, change: str | Column,

@@ -19,21 +19,38 @@ from ..functions.numeric import percent, ratio, round_half_even, round_half_up
 from .windows import value_positions
 
 
+def _wavg(value: str | Column, weight: str | None) -> Column:
+    """Plain or weighted mean; the weighted one ignores rows whose value or weight is null."""
+    v = F.col(value) if isinstance(value, str) else value
+    if weight is None:
+        return F.avg(v)
+    w = F.when(v.isNotNull(), F.col(weight))
+    return F.try_divide(F.sum(v * w), F.sum(w))
+
+
 def student_indicators(df: DataFrame, keys: Sequence[str], *, present: str = "in_presenca_lp",
                        literate: str = "in_alfabetizado", score: str = "vl_proficiencia_lp",
-                       with_minmax: bool = True, scale: int = 2) -> DataFrame:
+                       with_minmax: bool = True, scale: int = 2, weight: str | None = None) -> DataFrame:
     """A1/A2: pupils present, literate, mean (min, max) score and literacy rate per key.
 
     The rate divides by pupils present, also those with a null flag (``sum`` skips it).
+    With ``weight`` (e.g. the pupil sample weight) the mean score and the rate are
+    weighted; the counts stay plain counts.
     """
     aggs = [F.count(F.lit(1)).alias("total_alunos_avaliados"),
             F.sum(literate).cast("bigint").alias("total_alfabetizados"),
-            F.avg(score).alias("media_proficiencia")]
+            _wavg(score, weight).alias("media_proficiencia")]
+    if weight is not None:
+        w = F.coalesce(F.col(weight), F.lit(0.0))
+        aggs.append(F.try_divide(F.sum(F.coalesce(F.col(literate), F.lit(0)) * w), F.sum(w)).alias("_wrate"))
     if with_minmax:
         aggs += [F.min(score).alias("min_proficiencia"), F.max(score).alias("max_proficiencia")]
     out = df.where(F.col(present) == 1).groupBy(*keys).agg(*aggs)
-    return (out.withColumn("taxa_alfabetizacao", percent("total_alfabetizados", "total_alunos_avaliados", scale))
-            .withColumn("media_proficiencia", round_half_up("media_proficiencia", scale)))
+    rate = (round_half_up(F.col("_wrate") * 100, scale) if weight is not None
+            else percent("total_alfabetizados", "total_alunos_avaliados", scale))
+    out = out.withColumn("taxa_alfabetizacao", rate).withColumn("media_proficiencia",
+                                                                round_half_up("media_proficiencia", scale))
+    return out.drop("_wrate") if weight is not None else out
 
 
 def flag_literacy(df: DataFrame, score: str, out: str = "in_alfabetizado", cutoff: float = 743) -> DataFrame:
@@ -42,11 +59,14 @@ def flag_literacy(df: DataFrame, score: str, out: str = "in_alfabetizado", cutof
 
 
 def regional_inequality(df: DataFrame, keys: Sequence[str], rate: str, target: str,
-                        scale: int = 2) -> DataFrame:
-    """A3 + C10: rounded mean rate and target, min, max, count; gap of the rounded means."""
+                        scale: int = 2, weight: str | None = None) -> DataFrame:
+    """A3 + C10: rounded mean rate and target, min, max, count; gap of the rounded means.
+
+    Means are unweighted (each state counts once) unless ``weight`` names a column.
+    """
     out = df.groupBy(*keys).agg(
-        round_half_up(F.avg(rate), scale).alias("media_taxa_alfabetizacao"),
-        round_half_up(F.avg(target), scale).alias("media_meta_2030"),
+        round_half_up(_wavg(rate, weight), scale).alias("media_taxa_alfabetizacao"),
+        round_half_up(_wavg(target, weight), scale).alias("media_meta_2030"),
         F.min(rate).alias("min_taxa"), F.max(rate).alias("max_taxa"),
         F.count(F.lit(1)).alias("total_ufs"))
     return (out.withColumn("gap_medio_meta_2030",
@@ -54,11 +74,12 @@ def regional_inequality(df: DataFrame, keys: Sequence[str], rate: str, target: s
             .withColumn("amplitude", round_half_up(F.col("max_taxa") - F.col("min_taxa"), scale)))
 
 
-def rollup_indicators(df: DataFrame, key: Sequence[str], scale: int = 1) -> DataFrame:
-    """A4: re-aggregate indicator rows: sums, mean of means, recomputed rate (half-even)."""
+def rollup_indicators(df: DataFrame, key: Sequence[str], scale: int = 1, weight: str | None = None) -> DataFrame:
+    """A4: re-aggregate indicator rows: sums, mean of means (weighted by ``weight``,
+    e.g. pupils per row, if given), recomputed rate (half-even)."""
     out = df.groupBy(*key).agg(F.sum("total_alunos_avaliados").alias("total_alunos"),
                                F.sum("total_alfabetizados").alias("total_alfabetizados"),
-                               F.avg("media_proficiencia").alias("media_prof"))
+                               _wavg("media_proficiencia", weight).alias("media_prof"))
     return out.withColumn("taxa", round_half_even(ratio("total_alfabetizados", "total_alunos") * 100, scale))
 
 

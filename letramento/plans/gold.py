@@ -93,16 +93,22 @@ def criticos(meta_municipio: DataFrame) -> DataFrame:
     return C.stamp_layer(df, "gold")
 
 
-def tendencia(meta_uf: DataFrame, status_order: str = "reference") -> DataFrame:
-    """Yearly change, years to target, projected year and status per (state, network)."""
+def tendencia(meta_uf: DataFrame, status_order: str = "reference", per_year: bool = False) -> DataFrame:
+    """Yearly change, years to target, projected year and status per (state, network).
+
+    The change is against the previous *available* year; ``per_year`` divides it by
+    the number of years between the two.
+    """
     df = C.require_keys(meta_uf, [T]).select("ano", "sigla_uf", "rede", T, M30)
-    df = W.lag_within(df, ["sigla_uf", "rede"], ["ano"], T, "taxa_ano_anterior")
-    df = (df.withColumn("variacao_anual", M.yearly_change(T, "taxa_ano_anterior"))
+    df = df.withColumn("_pair", F.struct(F.col(T).alias("t"), F.col("ano").alias("a")))
+    df = W.lag_within(df, ["sigla_uf", "rede"], ["ano"], "_pair", "_prev")
+    gap = (F.col("ano") - F.col("_prev.a")) if per_year else None
+    df = (df.withColumn("variacao_anual", M.yearly_change(T, F.col("_prev.t"), years_between=gap))
           .withColumn("anos_para_meta", M.years_to_target(T, M30, "variacao_anual"))
           .withColumn("ano_projetado_atingimento", M.projected_year("ano", "anos_para_meta")))
     df = df.withColumn("vai_atingir_2030", M.projection_status(T, M30, "ano_projetado_atingimento",
                                                                "variacao_anual", status_order=status_order))
-    return C.stamp_layer(df.drop("taxa_ano_anterior"), "gold")
+    return C.stamp_layer(df.drop("_pair", "_prev"), "gold")
 
 
 GOLD_PARTITIONS = {

@@ -111,3 +111,24 @@ def test_slice_with_fallback(spark):
     df = spark.createDataFrame([(2023, 1), (2024, 2)], "ano int, v int")
     assert [r.v for r in C.slice_with_fallback(df, "ano", 2024, 2023).collect()] == [2]
     assert [r.v for r in C.slice_with_fallback(df, "ano", 2030, 2023).collect()] == [1]
+
+
+def test_weighted_options(spark):
+    df = spark.createDataFrame([(1, 1, 800.0, 3.0), (1, 0, 600.0, 1.0), (0, 1, 900.0, 5.0)],
+                               "in_presenca_lp int, in_alfabetizado int, vl_proficiencia_lp double, w double")
+    r = A.student_indicators(df.withColumn("k", F.lit(1)), ["k"], weight="w").first()
+    assert (r.total_alunos_avaliados, r.media_proficiencia, r.taxa_alfabetizacao) == (2, 750.0, 75.0)
+    reg = spark.createDataFrame([("N", 10.0, 50.0, 1.0), ("N", 40.0, 60.0, 2.0)], "r string, t double, m double, w double")
+    plain = A.regional_inequality(reg, ["r"], "t", "m").first()
+    weighted = A.regional_inequality(reg, ["r"], "t", "m", weight="w").first()
+    assert (plain.media_taxa_alfabetizacao, weighted.media_taxa_alfabetizacao) == (25.0, 30.0)
+
+
+def test_trend_per_year_over_a_gap(spark):
+    from letramento.plans.gold import tendencia
+    df = spark.createDataFrame([(2021, "SP", "Total", 50.0, 80.0), (2023, "SP", "Total", 56.0, 80.0)],
+                               "ano int, sigla_uf string, rede string, taxa_alfabetizacao double, "
+                               "meta_alfabetizacao_2030 double")
+    plain = {r.ano: r.variacao_anual for r in tendencia(df).collect()}
+    per_year = {r.ano: r.variacao_anual for r in tendencia(df, per_year=True).collect()}
+    assert plain == {2021: None, 2023: 6.0} and per_year == {2021: None, 2023: 3.0}
