@@ -16,6 +16,7 @@ from ..functions.numeric import safe_double, safe_int, safe_string
 from ..operators.clean import stamp_day, stamp_lineage
 from ..sources import schemas
 from ..sources.io import read_raw_csv, write_layer
+from .concurrency import DEFAULT_WORKERS, run_all
 from pyspark.sql.types import DoubleType, IntegerType, LongType
 
 BATCH_SOURCE = "base_dos_dados"
@@ -81,12 +82,11 @@ def ingest_students(spark: SparkSession, raw_path: str, bronze_root: str, sep: s
     return _write_counted(df, bronze_root, STUDENT_BATCH_TABLE, ["data_ingestao"])
 
 
-def run_bronze(spark: SparkSession, raw_files: dict[str, str], bronze_root: str) -> dict[str, int]:
-    """All raw files present in ``raw_files`` (table -> path) into bronze."""
-    counts = {}
-    for src in INDICATOR_SOURCES:
-        if src.table in raw_files:
-            counts[src.table] = ingest_indicator(spark, raw_files[src.table], bronze_root, src)
+def run_bronze(spark: SparkSession, raw_files: dict[str, str], bronze_root: str,
+               workers: int = DEFAULT_WORKERS) -> dict[str, int]:
+    """All raw files present in ``raw_files`` (table -> path) into bronze, tables concurrently."""
+    jobs = {src.table: (lambda src=src: ingest_indicator(spark, raw_files[src.table], bronze_root, src))
+            for src in INDICATOR_SOURCES if src.table in raw_files}
     if "Ts_aluno" in raw_files:
-        counts[STUDENT_BATCH_TABLE] = ingest_students(spark, raw_files["Ts_aluno"], bronze_root)
-    return counts
+        jobs[STUDENT_BATCH_TABLE] = lambda: ingest_students(spark, raw_files["Ts_aluno"], bronze_root)
+    return run_all(jobs, workers)

@@ -16,6 +16,7 @@ from ..operators import clean as C
 from ..operators import windows as W
 from ..sources.io import read_optional, write_layer
 from ..sources.schemas import LEVEL_COLUMNS, TARGET_COLUMNS
+from .concurrency import DEFAULT_WORKERS, run_all
 
 T, M30, M26 = "taxa_alfabetizacao", "meta_alfabetizacao_2030", "meta_alfabetizacao_2026"
 PANORAMA_COLUMNS = ["ano", "rede", T, *TARGET_COLUMNS, "percentual_participacao"]
@@ -157,16 +158,13 @@ def build_gold(spark: SparkSession, silver_root: str, years: Sequence[int] | Non
 
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[str] | None = None,
-             years: Sequence[int] | None = None) -> list[str]:
-    """Write the gold tables (all, or the names in ``only``).
+             years: Sequence[int] | None = None, workers: int = DEFAULT_WORKERS) -> list[str]:
+    """Write the gold tables (all, or the names in ``only``), tables concurrently.
 
     With ``years``, only those year partitions are recomputed and replaced (dynamic
     partition overwrite); the other years of each table stay as they are.
     """
-    written = []
-    for name, df in build_gold(spark, silver_root, years).items():
-        if only is not None and name not in only:
-            continue
+    def write(name: str, df: DataFrame) -> str:
         parts = GOLD_PARTITIONS[name]
         if name == "municipios_criticos":
             # already range-partitioned and sorted for the write; keep that layout
@@ -174,5 +172,7 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[st
                         rebalance=False)
         else:
             write_layer(df, gold_root, name, parts)
-        written.append(name)
-    return written
+        return name
+
+    tables = {n: df for n, df in build_gold(spark, silver_root, years).items() if only is None or n in only}
+    return list(run_all({n: (lambda n=n, df=df: write(n, df)) for n, df in tables.items()}, workers).values())

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 from ..streaming.events import read_envelope_stream, run_until_done, start_ingest
 from .bronze import STUDENT_STREAM_TABLE, run_bronze
+from .concurrency import run_all
 from .extracts import envelopes, raw_extracts
 from .testbed import read_table
 from .gold import run_gold
@@ -21,13 +22,13 @@ _RUNS: dict[tuple[str, str], str] = {}
 
 
 def write_raw(extracts: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
-    paths = {}
-    for table, df in extracts.items():
+    """Write the extracts as headed CSV (the raw layer), tables concurrently."""
+    def write(table: str, df: DataFrame) -> str:
         path = f"{raw_root}/{table}"
         sep = ";" if table == "Ts_aluno" else ","
         df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
-        paths[table] = path
-    return paths
+        return path
+    return run_all({t: (lambda t=t, df=df: write(t, df)) for t, df in extracts.items()})
 
 
 def ingest_stream(spark: SparkSession, inbox: str, bronze_root: str, root: str) -> None:

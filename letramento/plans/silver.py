@@ -15,6 +15,7 @@ from ..operators import clean as C
 from ..sources import schemas
 from ..sources.io import read_layer, read_students, write_layer
 from .bronze import STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE
+from .concurrency import DEFAULT_WORKERS, run_all
 
 ORDER = ["_timestamp_ingestao"]
 AUDIT_TABLE = "_auditoria"
@@ -135,16 +136,19 @@ def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str,
     return n
 
 
-def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str) -> dict[str, int]:
-    """V1-V6, plus the discard audit ``_auditoria`` (rows read, dropped per rule, duplicates, written)."""
-    counts, audit_rows = {}, []
-    for table, fn in SILVER_TABLES.items():
-        audit = Observation(f"audit_{table}")
-        counts[table] = _write_counted(fn(read_layer(spark, bronze_root, table), audit), silver_root, table, ["ano"])
-        audit_rows += _audit_rows(table, audit, counts[table])
-    n = run_silver_students(spark, bronze_root, silver_root, batch_day, audit_rows)
-    if n is not None:
-        counts["Ts_aluno"] = n
+def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str,
+               workers: int = DEFAULT_WORKERS) -> dict[str, int]:
+    """V1-V6 (tables concurrently), plus the discard audit ``_auditoria`` (rows read,
+    dropped per rule, duplicates, written)."""
+    audits = {table: Observation(f"audit_{table}") for table in SILVER_TABLES}
+    jobs = {table: (lambda table=table, fn=fn: _write_counted(fn(read_layer(spark, bronze_root, table), audits[table]),
+                                                             silver_root, table, ["ano"]))
+            for table, fn in SILVER_TABLES.items()}
+    student_audit: list = []
+    jobs["Ts_aluno"] = lambda: run_silver_students(spark, bronze_root, silver_root, batch_day, student_audit)
+    counts = {k: v for k, v in run_all(jobs, workers).items() if v is not None}
+    audit_rows = [row for table in SILVER_TABLES for row in _audit_rows(table, audits[table], counts[table])]
+    audit_rows += student_audit
     # one row per (table, reason): bounded by the number of tables and rules
     audit_df = spark.createDataFrame(audit_rows, "tabela string, motivo string, registros long")
     write_layer(audit_df.coalesce(1), silver_root, AUDIT_TABLE)
