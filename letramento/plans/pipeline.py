@@ -6,6 +6,8 @@ reuses a folder, so a retried run cannot see half-written output of another.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
@@ -19,6 +21,7 @@ from .silver import run_silver, run_silver_students
 
 BATCH_DAY = "2026-07-09"
 _RUNS: dict[tuple[str, str], str] = {}
+_LOCK = threading.Lock()
 
 
 def write_raw(extracts: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
@@ -41,8 +44,13 @@ def ingest_stream(spark: SparkSession, inbox: str, bronze_root: str, root: str)
 def run_pipeline(spark: SparkSession, sf: str, with_stream: bool = True) -> str:
     """Run every layer on extracts of ``sf``; returns the run root (memoised per session)."""
     key = (spark.sparkContext.applicationId, sf)
-    if key in _RUNS:
+    with _LOCK:
+        if key not in _RUNS:
+            _RUNS[key] = _run(spark, sf, with_stream)
         return _RUNS[key]
+
+
+def _run(spark: SparkSession, sf: str, with_stream: bool) -> str:
     root = scratch_path(spark, "pipeline")
     raw = write_raw(raw_extracts(spark, sf), f"{root}/raw")
     bronze = f"{root}/bronze"
@@ -52,7 +60,6 @@ def run_pipeline(spark: SparkSession, sf: str, with_stream: bool = True) -> str:
         ingest_stream(spark, f"{root}/inbox", bronze, root)
     run_silver(spark, bronze, f"{root}/silver", BATCH_DAY)
     run_gold(spark, f"{root}/silver", f"{root}/gold")
-    _RUNS[key] = root
     return root
 
 

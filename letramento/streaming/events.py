@@ -32,15 +32,21 @@ def to_envelope(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     return df.select(envelope_data(fields).alias("data"))
 
 
-def decode_events(df: DataFrame, col: str = "data") -> DataFrame:
+def decode_events(df: DataFrame, col: str = "data", base64: bool = True) -> DataFrame:
     """ST1: base64 -> UTF-8 -> JSON object with every field as text.
 
     Adds ``_payload`` (the decoded text, null when the base64 is invalid) and ``_e``
     (the parsed struct, with ``_corrupt`` holding text that is not a JSON object).
     Both come out of a one-row ``inline`` generator: filters on them cannot be
     pushed below it, so each record is decoded and parsed once, not once per use.
+    ``base64=False`` takes the column as the JSON itself (text, or UTF-8 bytes such
+    as a Kafka ``value``).
     """
-    text = F.decode(F.try_to_binary(F.col(col), F.lit("base64")), "UTF-8")
+    raw = F.col(col)
+    if base64:
+        text = F.decode(F.try_to_binary(raw, F.lit("base64")), "UTF-8")
+    else:
+        text = raw.cast("string")
     parsed = F.from_json(text, schemas.EVENT_TEXT,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return df.select("*", F.inline(F.array(F.struct(text.alias("_payload"), parsed.alias("_e")))))
@@ -76,12 +82,12 @@ def to_student_event(decoded: DataFrame, source: str = STREAM_SOURCE, file: str
     return stamp_day(stamp_lineage(typed, source, file))
 
 
-def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """ST6: (good records, quarantined records with the raw envelope and a reason)."""
+def split_rejects(decoded: DataFrame, col: str = "data") -> tuple[DataFrame, DataFrame]:
+    """ST6: (good records, quarantined records with the raw record as text and a reason)."""
     bad = is_malformed()
     good = decoded.where(~bad)
     rejects = decoded.where(bad).select(
-        "data", F.when(F.col("_payload").isNull(), F.lit("base64_invalido"))
+        F.col(col).cast("string").alias("data"), F.when(F.col("_payload").isNull(), F.lit("base64_invalido"))
                  .otherwise(F.lit("json_invalido")).alias("motivo"),
         F.current_timestamp().alias("_timestamp_ingestao"),
         F.date_format(F.current_date(), "yyyy-MM-dd").alias("data_ingestao"))

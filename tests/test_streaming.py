@@ -64,3 +64,9 @@ def test_redelivery_is_removed_by_key(spark):
     good, _ = S.split_rejects(S.decode_events(df))
     out = silver_students(S.to_student_event(good), "2026-07-09").collect()
     assert len(out) == 1 and out[0].id_aluno == 7 and out[0].in_alfabetizado is None
+
+
+def test_raw_json_records(spark):
+    df = spark.createDataFrame([(bytearray(b'{"id_aluno": 5, "co_uf": 35}'),), (bytearray(b"{bad"),)], "value binary")
+    good, bad = S.split_rejects(S.decode_events(df, "value", base64=False), "value")
+    assert [r.id_aluno for r in S.to_student_event(good).collect()] == [5] and bad.count() == 1
