@@ -391,6 +391,12 @@ def silver_quality(spark: SparkSession, sf: str) -> DataFrame:
     return silver_checks(spark, f"{run_pipeline(spark, sf)}/silver")
 
 
+def sql_criticality(spark: SparkSession, sf: str) -> DataFrame:
+    """Same result as ``criticality``, written in Spark SQL over the SQL measure functions."""
+    from .sql import sql_criticality as run
+    return run(spark, kpi(spark, sf))
+
+
 QUERIES = {
     "gap_attainment": gap_attainment,
     "criticality": criticality,
@@ -429,6 +435,7 @@ QUERIES = {
     "key_mismatch": key_mismatch,
     "quality_report": quality_report,
     "quality_summary": quality_summary,
+    "sql_criticality": sql_criticality,
     "stream_decode": stream_decode,
     "stream_metrics": stream_metrics,
     "stream_ingest": stream_ingest,

@@ -365,6 +365,7 @@ SELECT CAST(year(ts) AS INTEGER) AS nu_ano_avaliacao, CAST(code AS INTEGER) AS c
        'kinesis_streaming' AS _fonte, 'stream_kinesis' AS _arquivo_original
 FROM sc WHERE coalesce(k, '') NOT IN ('0', '1')"""
 
+SQL["sql_criticality"] = CRIT + "\nSELECT * FROM crit"
 SQL["stream_decode"] = STUDENT_RECORD
 SQL["stream_ingest"] = STUDENT_RECORD
 SQL["stream_metrics"] = EVENTS + """
