@@ -112,15 +112,23 @@ def conditional_counts(df: DataFrame, predicates: Mapping[str, Column], keys: Se
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, slice_rows: int | None = None) -> DataFrame:
+              names: Sequence[str] | None = None, slice_rows: int | None = None,
+              approx_accuracy: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation, per group.
 
     For probability p with n values, h = (n-1)p; the result interpolates between the
     values at positions floor(h) and ceil(h). Positions come from ``value_positions``,
     so a group is never gathered into one task. Nulls are ignored.
+
+    ``approx_accuracy`` switches to ``percentile_approx`` (one pass, a bounded sketch
+    per group and task; rank error about 1/accuracy, no interpolation).
     """
     by = list(by)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+    if approx_accuracy is not None:
+        q = F.percentile_approx(F.col(value), [float(p) for p in probs], approx_accuracy)
+        out = df.groupBy(*by).agg(q.alias("_q"))
+        return out.select(*by, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
     pos = value_positions(df.where(F.col(value).isNotNull()), by, value, slice_rows=slice_rows)
     last = F.col("_total") - 1
     cols, aggs = [], [F.max("_total").alias("_n")]

@@ -132,3 +132,11 @@ def test_trend_per_year_over_a_gap(spark):
     plain = {r.ano: r.variacao_anual for r in tendencia(df).collect()}
     per_year = {r.ano: r.variacao_anual for r in tendencia(df, per_year=True).collect()}
     assert plain == {2021: None, 2023: 6.0} and per_year == {2021: None, 2023: 3.0}
+
+
+def test_approximate_quantiles_are_close(spark):
+    vals = np.random.default_rng(3).normal(size=5000)
+    df = spark.createDataFrame([(float(x),) for x in vals], "v double")
+    got = A.quantiles(df, "v", [0.25, 0.5, 0.75], approx_accuracy=10000).first()
+    exp = np.quantile(vals, [0.25, 0.5, 0.75])
+    assert np.allclose([got.q25, got.q50, got.q75], exp, atol=0.01)
