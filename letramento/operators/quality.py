@@ -60,14 +60,26 @@ def check_sum(cols: Sequence[str], target: float = 100.0, tol: float = 2.0,
                 applies=F.col(cols[0]).isNotNull(), empty_note="(sem dados)")
 
 
-def run_checks(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
-    """Evaluate row rules in a single aggregate and return one result row per rule."""
-    aggs = []
+def run_checks(df: DataFrame, table: str, rules: Sequence[Rule], unique_keys: Sequence[str] | None = None) -> DataFrame:
+    """Evaluate row rules in a single aggregate and return one result row per rule.
+
+    With ``unique_keys`` the same pass also checks the natural key (Q3): rows are
+    grouped by the key with every rule counter carried along (partial aggregation
+    before the shuffle), then summed; the table is read once for all its rules.
+    """
+    counters = []
     for i, r in enumerate(rules):
         scope = r.applies if r.applies is not None else F.lit(True)
-        aggs.append(F.count_if(scope & r.violation).alias(f"_v{i}"))
-        aggs.append(F.count_if(scope).alias(f"_n{i}"))
-    counts = df.agg(*aggs)
+        counters.append((f"_v{i}", scope & r.violation))
+        counters.append((f"_n{i}", scope))
+    if unique_keys:
+        per_key = df.groupBy(*unique_keys).agg(F.count(F.lit(1)).alias("_rows"),
+                                               *[F.count_if(c).alias(n) for n, c in counters])
+        counts = per_key.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("_t"),
+                             F.count(F.lit(1)).alias("_d"),
+                             *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n, _ in counters])
+    else:
+        counts = df.agg(*[F.count_if(c).alias(n) for n, c in counters])
     rows = []
     for i, r in enumerate(rules):
         v, n = F.col(f"_v{i}"), F.col(f"_n{i}")
@@ -77,18 +89,21 @@ def run_checks(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
         rows.append(F.struct(F.lit(table).alias("tabela"), F.lit(r.regra).alias("regra"),
                              F.when(v == 0, F.lit(PASSED)).otherwise(F.lit(FAILED)).alias("status"),
                              detail.alias("detalhe")))
+    if unique_keys:
+        rows.append(_unique_row(table, unique_keys, F.col("_t"), F.col("_d")))
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _unique_row(table: str, keys: Sequence[str], total: Column, distinct: Column) -> Column:
+    return F.struct(F.lit(table).alias("tabela"), F.lit(f"sem duplicatas ({'+'.join(keys)})").alias("regra"),
+                    F.when(total == distinct, F.lit(PASSED)).otherwise(F.lit(FAILED)).alias("status"),
+                    F.concat(F.lit("("), total.cast("string"), F.lit(" total, "), distinct.cast("string"),
+                             F.lit(" distintos)")).alias("detalhe"))
+
+
 def check_unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Q3: total rows vs distinct keys, from one ``groupBy(keys).count()``."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    s = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("t"),
-                    F.count(F.lit(1)).alias("d"))
-    return s.select(F.lit(table).alias("tabela"), F.lit(f"sem duplicatas ({'+'.join(keys)})").alias("regra"),
-                    F.when(F.col("t") == F.col("d"), F.lit(PASSED)).otherwise(F.lit(FAILED)).alias("status"),
-                    F.concat(F.lit("("), F.col("t").cast("string"), F.lit(" total, "),
-                             F.col("d").cast("string"), F.lit(" distintos)")).alias("detalhe"))
+    return run_checks(df, table, [], unique_keys=keys)
 
 
 def key_mismatch(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,

@@ -321,11 +321,11 @@ def _quality_results(spark: SparkSession, sf: str) -> DataFrame:
     fam = C.family(lv, "proporcao_aluno_nivel_", range(9))
     parts = [
         Q.run_checks(k, "kpi", [Q.check_not_null(["ano", "uf", "rede"]), Q.check_range("taxa", 0, 100),
-                                *Q.check_monotonic(["n_ok", "n"]), *Q.check_monotonic(["taxa", "meta"])]),
-        Q.check_unique(k, "kpi", ["ano", "uf", "rede"]),
+                                *Q.check_monotonic(["n_ok", "n"]), *Q.check_monotonic(["taxa", "meta"])],
+                     unique_keys=["ano", "uf", "rede"]),
         Q.run_checks(lv, "niveis", [Q.check_sum(fam, 100, 2)]),
-        Q.run_checks(li, "lineitem", [Q.check_range("l_discount", 0, 0.1), Q.check_not_null(["l_orderkey"])]),
-        Q.check_unique(li, "lineitem", ["l_orderkey", "l_linenumber"]),
+        Q.run_checks(li, "lineitem", [Q.check_range("l_discount", 0, 0.1), Q.check_not_null(["l_orderkey"])],
+                     unique_keys=["l_orderkey", "l_linenumber"]),
         Q.check_keys_match(read_table(spark, sf, "orders").select(F.col("o_custkey").alias("chave")),
                            read_table(spark, sf, "customer").select(F.col("c_custkey").alias("chave")),
                            "pedidos vs clientes", "chave", sides=("pedidos", "clientes")),

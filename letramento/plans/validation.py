@@ -27,17 +27,16 @@ def silver_checks(spark: SparkSession, silver_root: str, target_chain=TARGET_CHA
         Q.run_checks(mb, "meta_brasil", [Q.check_not_null(["ano", "rede"])]),
         Q.run_checks(mu, "meta_uf", [Q.check_not_null(["ano", "sigla_uf", "rede"]),
                                      Q.check_range("taxa_alfabetizacao", 0, 100),
-                                     *Q.check_monotonic(target_chain)]),
+                                     *Q.check_monotonic(target_chain)], unique_keys=["ano", "sigla_uf", "rede"]),
         Q.run_checks(mm, "meta_municipio", [Q.check_not_null(["ano", "id_municipio"]),
-                                            Q.check_range("taxa_alfabetizacao", 0, 100)]),
-        Q.check_unique(mu, "meta_uf", ["ano", "sigla_uf", "rede"]),
-        Q.check_unique(mm, "meta_municipio", ["ano", "id_municipio", "rede"]),
+                                            Q.check_range("taxa_alfabetizacao", 0, 100)],
+                     unique_keys=["ano", "id_municipio", "rede"]),
         Q.run_checks(au, "avaliacao_uf", [Q.check_sum(levels, 100, 2)]),
         Q.check_keys_match(mu, au, "meta_uf vs avaliacao_uf", "sigla_uf", sides=("meta", "avaliação")),
     ]
     if students is not None:
-        parts += [Q.run_checks(students, "ts_aluno", [Q.check_range("vl_proficiencia_lp", 400, 1000)]),
-                  Q.check_unique(students, "ts_aluno", ["nu_ano_avaliacao", "id_aluno"])]
+        parts += [Q.run_checks(students, "ts_aluno", [Q.check_range("vl_proficiencia_lp", 400, 1000)],
+                               unique_keys=["nu_ano_avaliacao", "id_aluno"])]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
