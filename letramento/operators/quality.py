@@ -66,6 +66,8 @@ def run_checks(df: DataFrame, table: str, rules: Sequence[Rule], unique_keys: Se
     With ``unique_keys`` the same pass also checks the natural key (Q3): rows are
     grouped by the key with every rule counter carried along (partial aggregation
     before the shuffle), then summed; the table is read once for all its rules.
+    That widens every shuffled row by the counters, so for narrow columnar scans the
+    default is two passes: a global aggregate (no shuffle) plus ``check_unique``.
     """
     counters = []
     for i, r in enumerate(rules):
