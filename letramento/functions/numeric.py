@@ -15,6 +15,7 @@ from pyspark.sql.types import DecimalType
 # Six carried decimals; the numeric guard for text -> number (ST2/ST3).
 CARRY = DecimalType(38, 6)
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 
 
 def col_(c: str | Column) -> Column:
@@ -47,8 +48,14 @@ def _numeric_text(c: str | Column) -> Column:
 
 
 def safe_int(c: str | Column) -> Column:
-    """ST2: blank, 'nan', non-numbers and overflow -> null; '3.7' -> 3 (truncation)."""
-    return _numeric_text(c).try_cast("double").try_cast("bigint")
+    """ST2: blank, 'nan', non-numbers and overflow -> null; '3.7' -> 3 (truncation).
+
+    Integer literals (the common case) cast straight to bigint; other numbers go
+    through a double and truncate.
+    """
+    t = F.trim(col_(c).cast("string"))
+    return F.when(t.rlike(INTEGER_PATTERN), t.try_cast("bigint")).otherwise(
+        _numeric_text(c).try_cast("double").try_cast("bigint"))
 
 
 def safe_double(c: str | Column) -> Column:
