@@ -4,7 +4,7 @@
   silver  --bronze ROOT --silver ROOT [--batch-day YYYY-MM-DD]
   gold    --silver ROOT --gold ROOT [--years 2024 ...]
   quality --silver ROOT [--fail-on-error]
-  ingest  --inbox PATH --bronze ROOT --quarantine PATH --checkpoint PATH [--every "1 minute"]
+  ingest  --inbox PATH --bronze ROOT --checkpoint PATH [--every "1 minute"]
   refresh --inbox PATH --root ROOT
 
 Each job is a separate Spark application; layers meet only through Parquet.
@@ -44,7 +44,6 @@ def main(argv: list[str] | None = None) -> int:
     i = sub.add_parser("ingest")
     i.add_argument("--inbox", required=True)
     i.add_argument("--bronze", required=True)
-    i.add_argument("--quarantine", required=True)
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--every", default=None, help="processing-time trigger; default: availableNow")
     r = sub.add_parser("refresh")
@@ -73,9 +72,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "ingest":
         from .plans.bronze import STUDENT_STREAM_TABLE
         from .streaming.events import read_envelope_stream, run_until_done, start_ingest
-        queries = start_ingest(read_envelope_stream(spark, a.inbox), f"{a.bronze.rstrip('/')}/{STUDENT_STREAM_TABLE}",
-                               a.quarantine, a.checkpoint, available_now=a.every is None, processing_time=a.every)
-        run_until_done(queries)
+        query = start_ingest(read_envelope_stream(spark, a.inbox), f"{a.bronze.rstrip('/')}/{STUDENT_STREAM_TABLE}",
+                             a.checkpoint, available_now=a.every is None, processing_time=a.every)
+        run_until_done(query)
     elif a.job == "refresh":
         from .plans.pipeline import refresh_students
         print(refresh_students(spark, a.inbox, a.root))

@@ -18,7 +18,6 @@ from ..operators import clean as C
 from ..operators import quality as Q
 from ..operators import windows as W
 from ..session import scratch_path
-from ..sources.schemas import STUDENT
 from ..streaming import events as S
 from .extracts import envelopes
 from .pipeline import run_pipeline
@@ -363,8 +362,8 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     schema = read_table(spark, sf, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     root = scratch_path(spark, "stream-ingest")
-    S.run_until_done(S.start_ingest(envelopes(source), f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoints"))
-    return spark.read.schema(STUDENT).parquet(f"{root}/bronze").drop(*CLOCK_COLUMNS)
+    S.run_until_done(S.start_ingest(envelopes(source), f"{root}/bronze", f"{root}/checkpoints"))
+    return S.read_ingested(spark, f"{root}/bronze").drop(*CLOCK_COLUMNS)
 
 
 # --- B1-B2, V1-V6, G1-G9 on extracts of the shared tables ------------------------------------------

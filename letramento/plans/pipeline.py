@@ -36,9 +36,7 @@ def write_raw(extracts: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
 
 def ingest_stream(spark: SparkSession, inbox: str, bronze_root: str, root: str) -> None:
     stream = read_envelope_stream(spark, inbox, "json")
-    queries = start_ingest(stream, f"{bronze_root}/{STUDENT_STREAM_TABLE}", f"{root}/quarantine",
-                           f"{root}/checkpoints/ingest")
-    run_until_done(queries)
+    run_until_done(start_ingest(stream, f"{bronze_root}/{STUDENT_STREAM_TABLE}", f"{root}/checkpoints/ingest"))
 
 
 def run_pipeline(spark: SparkSession, sf: str, with_stream: bool = True) -> str:

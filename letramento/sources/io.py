@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import schemas
@@ -38,10 +39,16 @@ def read_students(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None
     """Pupil files from batch and stream folders, any mix, one declared schema.
 
     Each folder is read with partition discovery (``data_ingestao=...``) and the
-    declared schema, so int32 and int64 id files read alike; folders that do not
-    exist are skipped.
+    declared schema, so int32 and int64 id files read alike; the stream folder's
+    rejected records (``estado=rejeitado``) are left out. Folders that do not exist
+    are skipped.
     """
-    frames = [f for f in (read_optional(spark, p, "", schemas.STUDENT) for p in paths) if f is not None]
+    frames = []
+    for p in paths:
+        df = read_optional(spark, p, "", schemas.INGESTED)
+        if df is not None:
+            ok = F.col("estado").isNull() | (F.col("estado") == "ok")
+            frames.append(df.where(ok).select(*schemas.STUDENT.fieldNames()))
     if not frames:
         return None
     out = frames[0]

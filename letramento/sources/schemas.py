@@ -55,6 +55,11 @@ STUDENT = StructType([StructField(n, t, True) for n, t in
 STUDENT_RAW = StructType(_text(*[n for n, _ in STUDENT_DATA_FIELDS]))
 STUDENT_TYPES = {n: t.simpleString() for n, t in STUDENT_DATA_FIELDS}
 
+# Stream bronze: every record once; rejected ones keep the raw record and a reason (partitioned by estado).
+INGEST_EXTRA_FIELDS = [("registro_rejeitado", _S), ("motivo", _S), ("estado", _S)]
+INGESTED = StructType([StructField(n, t, True) for n, t in
+                       STUDENT_DATA_FIELDS + STUDENT_LINEAGE_FIELDS + [("data_ingestao", _S)] + INGEST_EXTRA_FIELDS])
+
 # Stream envelope: one base64 field; its JSON object is read with every field as text.
 ENVELOPE = StructType([StructField("data", StringType(), True)])
 EVENT_TEXT = StructType(_text(*[n for n, _ in STUDENT_DATA_FIELDS]) + [StructField("_corrupt", StringType(), True)])

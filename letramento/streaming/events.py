@@ -57,9 +57,9 @@ def is_malformed(decoded: DataFrame | None = None) -> Column:
     return (F.col("_payload").isNull() | F.col("_e").isNull() | F.col("_e._corrupt").isNotNull())
 
 
-def typed_fields() -> list[Column]:
+def typed_exprs() -> dict[str, Column]:
     """ST2-ST5: every contract field from its text with the safe conversions."""
-    out = []
+    out = {}
     for name, type_ in schemas.STUDENT_DATA_FIELDS:
         raw = F.col(f"_e.{name}")
         if isinstance(type_, IntegerType):
@@ -71,10 +71,14 @@ def typed_fields() -> list[Column]:
         else:
             assert isinstance(type_, StringType)
             value = safe_string(raw)
-        out.append(value.alias(name))
+        out[name] = value
     return out
 
 
+def typed_fields() -> list[Column]:
+    return [e.alias(n) for n, e in typed_exprs().items()]
+
+
 def to_student_event(decoded: DataFrame, source: str = STREAM_SOURCE, file: str = STREAM_FILE,
                      keep: Sequence[str] = ()) -> DataFrame:
     """ST5: the typed 27-field record plus lineage (M1) and ingestion day (M2)."""
@@ -82,18 +86,40 @@ def to_student_event(decoded: DataFrame, source: str = STREAM_SOURCE, file: str
     return stamp_day(stamp_lineage(typed, source, file))
 
 
+def _reason() -> Column:
+    return F.when(F.col("_payload").isNull(), F.lit("base64_invalido")).otherwise(F.lit("json_invalido"))
+
+
 def split_rejects(decoded: DataFrame, col: str = "data") -> tuple[DataFrame, DataFrame]:
     """ST6: (good records, quarantined records with the raw record as text and a reason)."""
     bad = is_malformed()
     good = decoded.where(~bad)
     rejects = decoded.where(bad).select(
-        F.col(col).cast("string").alias("data"), F.when(F.col("_payload").isNull(), F.lit("base64_invalido"))
-                 .otherwise(F.lit("json_invalido")).alias("motivo"),
+        F.col(col).cast("string").alias("data"), _reason().alias("motivo"),
         F.current_timestamp().alias("_timestamp_ingestao"),
         F.date_format(F.current_date(), "yyyy-MM-dd").alias("data_ingestao"))
     return good, rejects
 
 
+STATE_OK, STATE_REJECTED = "ok", "rejeitado"
+
+
+def ingest_records(envelopes: DataFrame, col: str = "data", base64: bool = True) -> DataFrame:
+    """ST1-ST6 in one pass: every record once, decoded and parsed once.
+
+    A well-formed record carries its typed fields (``estado = 'ok'``); a malformed one
+    carries the raw record and the reason (``estado = 'rejeitado'``). Lineage and the
+    ingestion day are stamped on both.
+    """
+    decoded = decode_events(envelopes, col, base64)
+    bad = is_malformed()
+    out = decoded.select(*[F.when(~bad, e).alias(n) for n, e in typed_exprs().items()],
+                         F.when(bad, F.col(col).cast("string")).alias("registro_rejeitado"),
+                         F.when(bad, _reason()).alias("motivo"),
+                         F.when(bad, F.lit(STATE_REJECTED)).otherwise(F.lit(STATE_OK)).alias("estado"))
+    return stamp_day(stamp_lineage(out, STREAM_SOURCE, STREAM_FILE))
+
+
 def ingest_metrics(good: DataFrame, rejects: DataFrame, threshold: float = 0.05,
                    day_col: str = "data_ingestao") -> DataFrame:
     """ST8: records, rejects and error rate per day, flagged above ``threshold``."""
@@ -112,40 +138,43 @@ def read_envelope_stream(spark: SparkSession, path: str, fmt: str = "json", **op
     return reader.load(path)
 
 
-def start_ingest(envelopes: DataFrame, bronze_path: str, quarantine_path: str, checkpoint: str,
-                 available_now: bool = True, processing_time: str | None = None) -> list[StreamingQuery]:
-    """K2 / ST7 / ST9: decoded records -> bronze (by day), malformed -> quarantine.
+def start_ingest(envelopes: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """K2 / ST7 / ST9: every record into one file sink, partitioned by (estado, day).
 
-    Two file-sink queries, each with its own checkpoint: a replayed micro-batch is
-    never committed twice, and an empty micro-batch writes no file.
+    One query reads and parses each record once. The file sink's commit log makes a
+    replayed micro-batch invisible until committed and never committed twice; an
+    empty micro-batch writes no file. Readers select ``estado`` (``read_ingested``).
     """
-    decoded = decode_events(envelopes)
-    good, rejects = split_rejects(decoded)
-    records = to_student_event(good)
-    queries = []
-    for name, frame, path, part in (("bronze", records, bronze_path, ["data_ingestao"]),
-                                    ("quarantine", rejects, quarantine_path, ["data_ingestao"])):
-        writer = (frame.writeStream.format("parquet").option("path", path)
-                  .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
-                  .partitionBy(*part).outputMode("append"))
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        elif processing_time:
-            writer = writer.trigger(processingTime=processing_time)
-        queries.append(writer.start())
-    return queries
-
-
-def run_until_done(queries: Sequence[StreamingQuery]) -> None:
+    writer = (ingest_records(envelopes).writeStream.format("parquet").option("path", path)
+              .option("checkpointLocation", checkpoint).partitionBy("estado", "data_ingestao").outputMode("append"))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def run_until_done(queries: StreamingQuery | Sequence[StreamingQuery]) -> None:
     """Wait for ``availableNow`` queries; re-raise the first failure."""
-    for q in queries:
+    for q in [queries] if isinstance(queries, StreamingQuery) else queries:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
 
 
-def health_report(spark: SparkSession, bronze_path: str, quarantine_path: str, threshold: float = 0.05) -> DataFrame:
-    """ST8 over the two sinks: records, rejects and error rate per ingestion day."""
-    good = spark.read.schema(schemas.STUDENT).parquet(bronze_path)
-    rejects = spark.read.parquet(quarantine_path)
-    return ingest_metrics(good, rejects, threshold)
+def read_ingested(spark: SparkSession, path: str, estado: str = STATE_OK) -> DataFrame:
+    """The committed records of the stream sink: typed pupils (``ok``) or the quarantine."""
+    df = spark.read.schema(schemas.INGESTED).parquet(path).where(F.col("estado") == estado)
+    if estado == STATE_OK:
+        return df.select(*schemas.STUDENT.fieldNames())
+    return df.select("registro_rejeitado", "motivo", "_timestamp_ingestao", "data_ingestao")
+
+
+def health_report(spark: SparkSession, path: str, threshold: float = 0.05) -> DataFrame:
+    """ST8 over the sink: records, rejects and error rate per ingestion day (one aggregate)."""
+    df = spark.read.schema(schemas.INGESTED).parquet(path)
+    out = df.groupBy("data_ingestao").agg(F.count(F.lit(1)).alias("registros"),
+                                          F.count_if(F.col("estado") == STATE_REJECTED).alias("rejeitados"))
+    rate = F.try_divide(F.col("rejeitados").cast("double"), F.col("registros"))
+    return out.withColumn("taxa_erro", rate).withColumn("acima_limite", rate > F.lit(threshold))

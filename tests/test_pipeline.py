@@ -81,7 +81,7 @@ def test_command_line_jobs(spark, root, tmp_root):
     assert main(["gold", "--silver", f"{root}/silver", "--gold", f"{tmp_root}/gold"]) == 0
     assert spark.read.parquet(f"{tmp_root}/gold/features_ml").count() > 0
     assert main(["quality", "--silver", f"{root}/silver"]) == 0
-    h = health_report(spark, f"{root}/bronze/Ts_aluno_stream", f"{root}/quarantine").first()
+    h = health_report(spark, f"{root}/bronze/Ts_aluno_stream").first()
     assert h.registros > h.rejeitados > 0 and 0 < h.taxa_erro < 0.05
 
 

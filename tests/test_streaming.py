@@ -31,12 +31,14 @@ def test_stream_restart_adds_nothing_and_quarantines(spark, tmp_root):
     rows = [(f'{{"nu_ano_avaliacao": 2025, "id_aluno": {i}, "co_uf": 35}}',) for i in range(20)] + [("{bad",)]
     df = spark.createDataFrame(rows, "t string").select(F.base64(F.encode("t", "UTF-8")).alias("data"))
     df.coalesce(1).write.json(inbox)
-    args = (f"{tmp_root}/bronze", f"{tmp_root}/quarantine", f"{tmp_root}/ckpt")
+    args = (f"{tmp_root}/bronze", f"{tmp_root}/ckpt")
     S.run_until_done(S.start_ingest(S.read_envelope_stream(spark, inbox), *args))
-    first = spark.read.schema(schemas.STUDENT).parquet(args[0]).count()
+    first = S.read_ingested(spark, args[0]).count()
     S.run_until_done(S.start_ingest(S.read_envelope_stream(spark, inbox), *args))
-    assert first == 20 and spark.read.schema(schemas.STUDENT).parquet(args[0]).count() == 20
-    assert spark.read.parquet(args[1]).count() == 1
+    assert first == 20 and S.read_ingested(spark, args[0]).count() == 20
+    q = S.read_ingested(spark, args[0], S.STATE_REJECTED).collect()
+    assert [(r.registro_rejeitado is not None, r.motivo) for r in q] == [(True, "json_invalido")]
+    assert S.read_ingested(spark, args[0]).schema == schemas.STUDENT
 
 
 def test_metrics(spark):
@@ -50,7 +52,7 @@ def test_empty_batch_writes_no_file(spark, tmp_root):
     import os
     inbox = f"{tmp_root}/empty-inbox"
     spark.createDataFrame([], "data string").write.json(inbox)
-    args = (f"{tmp_root}/bronze-empty", f"{tmp_root}/quarantine-empty", f"{tmp_root}/ckpt-empty")
+    args = (f"{tmp_root}/bronze-empty", f"{tmp_root}/ckpt-empty")
     S.run_until_done(S.start_ingest(S.read_envelope_stream(spark, inbox), *args))
     local = args[0].replace("file:", "")
     files = [f for _, _, fs in os.walk(local) for f in fs if f.endswith(".parquet")] if os.path.exists(local) else []
