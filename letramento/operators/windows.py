@@ -168,9 +168,9 @@ def sort_for_write(df: DataFrame, partition_cols: Sequence[str], order: Sequence
     Range partitioning on (partition columns, order) spreads a large output partition
     over several tasks; each writes its own sorted file into the partition folder.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = [F.col(c) for c in partition_cols] + list(order)
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # no fixed partition count: adaptive execution may coalesce small outputs
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
