@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import dims
 from ..operators import clean as C
 from ..sources import schemas
-from ..sources.io import read_layer, read_students, write_layer
+from ..sources.io import read_optional, read_students, write_layer
 from .bronze import STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE
 from .concurrency import DEFAULT_WORKERS, run_all
 
@@ -138,16 +138,17 @@ def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str,
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str,
                workers: int = DEFAULT_WORKERS) -> dict[str, int]:
-    """V1-V6 (tables concurrently), plus the discard audit ``_auditoria`` (rows read,
-    dropped per rule, duplicates, written)."""
-    audits = {table: Observation(f"audit_{table}") for table in SILVER_TABLES}
-    jobs = {table: (lambda table=table, fn=fn: _write_counted(fn(read_layer(spark, bronze_root, table), audits[table]),
+    """V1-V6 (tables concurrently; bronze tables that do not exist are skipped), plus
+    the discard audit ``_auditoria`` (rows read, dropped per rule, duplicates, written)."""
+    present = {t: df for t in SILVER_TABLES if (df := read_optional(spark, bronze_root, t)) is not None}
+    audits = {table: Observation(f"audit_{table}") for table in present}
+    jobs = {table: (lambda table=table, df=df: _write_counted(SILVER_TABLES[table](df, audits[table]),
                                                              silver_root, table, ["ano"]))
-            for table, fn in SILVER_TABLES.items()}
+            for table, df in present.items()}
     student_audit: list = []
     jobs["Ts_aluno"] = lambda: run_silver_students(spark, bronze_root, silver_root, batch_day, student_audit)
     counts = {k: v for k, v in run_all(jobs, workers).items() if v is not None}
-    audit_rows = [row for table in SILVER_TABLES for row in _audit_rows(table, audits[table], counts[table])]
+    audit_rows = [row for table in present for row in _audit_rows(table, audits[table], counts[table])]
     audit_rows += student_audit
     # one row per (table, reason): bounded by the number of tables and rules
     audit_df = spark.createDataFrame(audit_rows, "tabela string, motivo string, registros long")

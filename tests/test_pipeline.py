@@ -114,3 +114,16 @@ def test_silver_discard_audit(spark, root):
     assert audit[("Meta_municipio", "fora_do_intervalo")] == over
     assert audit[("Ts_aluno", "duplicata")] > 0                        # batch + stream redelivery
     assert audit[("Ts_aluno", "fora_do_dominio")] > 0                  # dependency code 0
+
+
+def test_command_line_layer_chain(spark, root, tmp_root):
+    from letramento.__main__ import main
+    raw = [f"{t}={root}/raw/{t}" for t in ["Meta_brasil", "Meta_uf", "Avaliacao_uf", "Ts_aluno"]]
+    assert main(["bronze", "--raw", *raw, "--bronze", f"{tmp_root}/b"]) == 0
+    assert main(["silver", "--bronze", f"{tmp_root}/b", "--silver", f"{tmp_root}/s"]) == 0
+    assert main(["gold", "--silver", f"{tmp_root}/s", "--gold", f"{tmp_root}/g"]) == 0
+    audit = {r.tabela for r in spark.read.parquet(f"{tmp_root}/s/_auditoria").collect()}
+    assert audit == {"Meta_brasil", "Meta_uf", "Avaliacao_uf", "Ts_aluno"}
+    # tables whose inputs are missing are skipped, the others are built
+    assert spark.read.parquet(f"{tmp_root}/g/tendencia_temporal").count() > 0
+    assert spark.read.parquet(f"{tmp_root}/g/indicadores_alunos").count() > 0
