@@ -127,3 +127,15 @@ def test_command_line_layer_chain(spark, root, tmp_root):
     # tables whose inputs are missing are skipped, the others are built
     assert spark.read.parquet(f"{tmp_root}/g/tendencia_temporal").count() > 0
     assert spark.read.parquet(f"{tmp_root}/g/indicadores_alunos").count() > 0
+
+
+def test_critical_table_files_are_sorted_by_gap(spark, root):
+    import glob
+
+    import pyarrow.parquet as pq
+    base = f"{root}/gold/municipios_criticos".replace("file:", "")
+    files = glob.glob(f"{base}/ano=*/*.parquet")
+    assert files
+    for f in files:
+        gaps = [g for g in pq.read_table(f, columns=["gap_meta_2030"]).column(0).to_pylist() if g is not None]
+        assert gaps == sorted(gaps, reverse=True), f
