@@ -139,3 +139,14 @@ def test_critical_table_files_are_sorted_by_gap(spark, root):
     for f in files:
         gaps = [g for g in pq.read_table(f, columns=["gap_meta_2030"]).column(0).to_pylist() if g is not None]
         assert gaps == sorted(gaps, reverse=True), f
+
+
+def test_read_optional_only_swallows_missing_tables(spark, tmp_root):
+    import pytest as _pytest
+
+    from letramento.sources.io import read_optional
+    assert read_optional(spark, tmp_root, "does_not_exist") is None
+    bad = f"{tmp_root}/bad_table"
+    spark.createDataFrame([("not parquet",)], "t string").coalesce(1).write.text(bad)
+    with _pytest.raises(Exception):
+        read_optional(spark, tmp_root, "bad_table").collect()
