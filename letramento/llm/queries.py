@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from letramento.llm.common import read_table
 from letramento.llm.exact_dedup import content_sort_dedup
+from letramento.llm.hpyp import score_texts
 from letramento.llm.mixing import mix_sources
 from letramento.llm.packing import pack_documents
 from letramento.llm.quality import classify_quality
+from letramento.llm.recompression import remove_repeats
 from letramento.llm.simhash import simhash_components
 
 
@@ -23,6 +25,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"), window=13, with_text=False)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -42,7 +52,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op6_quality, op8_mix, op9_packing, op10_exact_dedup)
+    f.__name__: f for f in (op1_simhash, op2_language_model, op4_substring_dedup, op6_quality, op8_mix, op9_packing, op10_exact_dedup)
 }
 
 SQL: dict[str, str] = {
