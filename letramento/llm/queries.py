@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from letramento.llm.common import read_table
 from letramento.llm.exact_dedup import content_sort_dedup
 from letramento.llm.hpyp import score_texts
+from letramento.llm.language import identify_languages
 from letramento.llm.mixing import mix_sources
+from letramento.llm.neighbours import nearest
 from letramento.llm.packing import pack_documents
 from letramento.llm.quality import classify_quality
 from letramento.llm.recompression import remove_repeats
 from letramento.llm.simhash import simhash_components
+from letramento.llm.toxicity import score_toxicity
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -29,14 +33,26 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"), window=13, with_text=False)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the mix; the texts move with it in the operator and are left out of the digest."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -52,7 +68,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_language_model, op4_substring_dedup, op6_quality, op8_mix, op9_packing, op10_exact_dedup)
+    f.__name__: f for f in (op1_simhash, op2_language_model, op3_language, op4_substring_dedup, op5_toxicity, op6_quality, op7_neighbours,
+              op8_mix, op9_packing, op10_exact_dedup)
 }
 
 SQL: dict[str, str] = {
