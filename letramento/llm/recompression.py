@@ -35,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letramento.llm.common import blocks, column, mix64, short_batches, words
+from letramento.llm.common import blocks, column, mix64, short_batches, tidied, words
 
 WINDOW = 13
 ROUNDS = 2
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 BUCKET_BYTES = 24 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 ENTRY = "bucket int, settled boolean, ids binary, prints binary, counts binary, keys binary, checks binary"
@@ -188,8 +188,8 @@ def _requests(keys, checks, doc, ids, prints, buckets: int, smaller: bool) -> li
     return out
 
 
-def _answers(smaller: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """One bucket's entries -> (id, print, keys) of the documents whose entries are shared, or start in a smaller id."""
+def _answers(buckets: int, smaller: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """One bucket's entries -> those that are shared, or start in a smaller id, packed by the home of their document."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [tuple(np.frombuffer(b"".join(x), t) for x, t in zip((p.ids, p.prints, p.counts, p["keys"], p.checks),
@@ -209,13 +209,31 @@ def _answers(smaller: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 hit = np.zeros(len(keys), bool)
                 hit[order] = o > least[group] if smaller else (most > least)[group]
                 doc, keys = doc[hit], keys[hit]
-            first, n = _cut(doc)
-            out += [(ids[doc[f]], prints[doc[f]], keys[f:f + m].tobytes()) for f, m in zip(first, n)]
-        return pd.DataFrame(out, columns=["id", "print", "keys"])
+            home = (prints[doc].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(home, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+                if len(at):
+                    first, n = _cut(doc[at])
+                    own = doc[at][first]
+                    out.append((int(home[at[0]]), ids[own].tobytes(), prints[own].tobytes(), n.astype(np.int32).tobytes(),
+                                keys[at].tobytes()))
+        return pd.DataFrame(out, columns=["home", "ids", "prints", "counts", "keys"])
 
     return run
 
 
+def _by_document(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Packed answers of several buckets -> one row per document with all its keys."""
+    ids, prints, counts, keys = (np.frombuffer(b"".join(pdf[c]), t) for c, t in
+                                 (("ids", np.int64), ("prints", np.int64), ("counts", np.int32), ("keys", np.uint64)))
+    entry = np.repeat(np.arange(len(ids)), counts)
+    order = np.lexsort((prints[entry], ids[entry]))
+    i, p, k = ids[entry][order], prints[entry][order], keys[order]
+    first = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (p[1:] != p[:-1])])) if len(k) else np.zeros(0, np.int64)
+    last = np.concatenate([first[1:], [len(k)]])
+    return pd.DataFrame({"id": i[first], "print": p[first], "keys": [k[a:b].tobytes() for a, b in zip(first, last)]})
+
+
 def _asked(buckets: int, smaller: bool, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Documents (and, for the second question, the names of their shared anchors) -> packed entries."""
 
@@ -234,7 +252,7 @@ def _asked(buckets: int, smaller: bool, window: int) -> Callable[[Iterator[pa.Re
             ids, prints = (np.array([r[c] for r in rowset], np.int64) for c in (0, 1))
             anchors = block.anchors()
             if smaller:
-                shared = [np.frombuffer(b"".join(r[3]), np.uint64) for r in rowset]
+                shared = [np.frombuffer(r[3], np.uint64) for r in rowset]
                 bounds = np.searchsorted(block.doc, np.arange(len(rowset) + 1))
                 wanted = np.concatenate([np.isin(anchors[a:b], s) for a, b, s in zip(bounds, bounds[1:], shared)])
                 keys, checks = block.windows()
@@ -265,7 +283,7 @@ def _kept(window: int, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]],
                 total.append(len(w))
                 if keys:
                     block = Block([w], known, window)
-                    starts = block.at[np.isin(block.windows()[0], np.frombuffer(b"".join(keys), np.uint64))] - 1
+                    starts = block.at[np.isin(block.windows()[0], np.frombuffer(keys, np.uint64))] - 1
                     edge = np.zeros(len(w) + 1, np.int64)
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + window, -1)
@@ -293,12 +311,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = max(4, size // BUCKET_BYTES)
 
     def settle(asked: DataFrame, smaller: bool) -> DataFrame:
-        found = asked.mapInArrow(_asked(buckets, smaller, window), ENTRY).groupBy("bucket") \
-            .applyInPandas(_answers(smaller), "id long, print long, keys binary")
-        return found.groupBy("id", "print").agg(F.collect_list("keys").alias("keys"))
+        found = asked.mapInArrow(tidied(_asked(buckets, smaller, window)), ENTRY).groupBy("bucket") \
+            .applyInPandas(_answers(buckets, smaller), "home int, ids binary, prints binary, counts binary, keys binary")
+        return found.groupBy("home").applyInPandas(_by_document, "id long, print long, keys binary")
 
-    shared = settle(rows, False)
-    repeated = settle(rows.join(shared, ["id", "print"]), True)
     extra = ", kept_text string" if with_text else ""
-    return rows.join(repeated, ["id", "print"], "left") \
-        .mapInArrow(_kept(window, with_text), f"doc_id long, n_words long, n_removed long, kept_sha256 string{extra}")
+    finish, schema = tidied(_kept(window, with_text)), f"doc_id long, n_words long, n_removed long, kept_sha256 string{extra}"
+    named = rows.where("id is not null")  # both joins read this one exchange of the texts
+    shared = settle(named, False)
+    repeated = settle(named.join(shared, ["id", "print"]), True)
+    nameless = rows.where("id is null").withColumn("keys", F.lit(None).cast("binary"))
+    return named.join(repeated, ["id", "print"], "left").unionByName(nameless).mapInArrow(finish, schema)
