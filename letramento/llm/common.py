@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,3 +70,22 @@ def blocks(items: Iterator, weight, most: int) -> Iterator[list]:
             out, total = [], 0
     if out:
         yield out
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` as a partition function that gives freed memory back at its end: Python workers live on for other tasks."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release_memory()
+
+    return whole
+
+
+def release_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
