@@ -18,8 +18,10 @@ a null identifier is kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import base64
 import heapq
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,14 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letramento.llm.common import blocks, column, short_batches
+from letramento.llm.common import blocks, column, short_batches, tidied
 
 CAPACITY = 1024
 END_ID = 0
 #: Relative cost of the parts of a transformer layer that grow with n and with n**2.
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
-BLOCK_TOKENS = 1 << 21
-CACHED_PIECES = 300_000
+BLOCK_TOKENS = 1 << 19
+CACHED_PIECES = 150_000
 TRIES = 8
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _MARK = "\x1f"
@@ -47,18 +49,37 @@ class PieceTokenizer:
     Byte-level BPE first cuts a text with a pattern under which a word with its one
     leading space, or one line break between words, never merges with what follows.
     Texts whose white space is of that kind are cut at those places and the pieces
-    looked up; other texts go to the tokenizer whole. ``encode_many`` returns the ids
+    looked up; other texts, and texts with a special token, go to the tokenizer whole. With
+    ``ranks_path`` the same vocabulary in tiktoken's form supplies the ids of new pieces. ``encode_many`` returns the ids
     as little-endian unsigned 32-bit bytes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks_path: str | None = None):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.fast = self._ranked(ranks_path) if ranks_path else None
+
+    def _ranked(self, ranks_path: str):
+        """The same vocabulary in tiktoken, which tokenises single pieces faster; None unless both agree on a probe."""
+        import public_tokenizers
+        import tiktoken
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        probe = "Ünïcode words, don't 12345 \u4e16\u754c ### MiXed|Case\tand  spaces\n\n" + "".join(map(chr, range(32, 1024)))
+        return fast if fast.encode_ordinary(probe) == self.tokenizer.encode(probe, add_special_tokens=False).ids else None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        if self.fast is None:
+            return self._ids(pieces)
+        one = self.fast.encode_ordinary
+        return [array("I", one(p)).tobytes() for p in pieces]
+
     @staticmethod
     def pieces(text: str) -> list[str]:
         """Parts of ``text`` that can be tokenised each on its own."""
@@ -67,16 +88,17 @@ class PieceTokenizer:
         return text.replace(" ", _MARK + " ").replace("\n", f"{_MARK}\n{_MARK}").split(_MARK)
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        if len(self.known) > CACHED_PIECES:
-            self.known = {}
+        cut = [[t] if any(x in t for x in self.special) else self.pieces(t) for t in texts]
         whole = [i for i, p in enumerate(cut) if len(p) == 1]
         missing = list({p for c in cut if len(c) > 1 for p in c if p not in self.known})
-        self.known.update(zip(missing, self._ids(missing)))
+        self.known.update(zip(missing, self._piece_ids(missing)))
         get = self.known.__getitem__
         out = [b"".join(map(get, c)) if len(c) > 1 else b"" for c in cut]
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
+        if len(self.known) > CACHED_PIECES:  # full: the pieces met first, the frequent ones, stay
+            for p in missing:
+                del self.known[p]
         return out
 
 
@@ -113,9 +135,9 @@ def pack_block(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int,
     return out
 
 
-def _pack(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pack(path: str, ranks_path: str | None, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, base = PieceTokenizer(path), TaskContext.get().partitionId() << 33
+        tokenizer, base = PieceTokenizer(path, ranks_path), TaskContext.get().partitionId() << 33
         end = np.array([END_ID], "<u4").tobytes()
 
         def encoded():
@@ -139,8 +161,8 @@ def _pack(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                   capacity: int = CAPACITY) -> DataFrame:
+                   capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     short_batches(docs.sparkSession)
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t")) \
-        .mapInArrow(_pack(tokenizer_path, capacity), SCHEMA)
+        .mapInArrow(tidied(_pack(tokenizer_path, ranks_path, capacity)), SCHEMA)

@@ -60,7 +60,8 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(),
+                          ranks_path=tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
