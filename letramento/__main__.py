@@ -24,6 +24,10 @@ def _session(name: str) -> SparkSession:
     return spark
 
 
+def _bound(a: argparse.Namespace) -> dict:
+    return {"maxFilesPerTrigger": a.max_files} if a.max_files else {}
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="letramento")
     sub = p.add_subparsers(dest="job", required=True)
@@ -44,11 +48,14 @@ def main(argv: list[str] | None = None) -> int:
     i = sub.add_parser("ingest")
     i.add_argument("--inbox", required=True)
     i.add_argument("--bronze", required=True)
-    i.add_argument("--checkpoint", required=True)
+    i.add_argument("--checkpoint", default=None, help="default: the sink's own, beside it")
+    i.add_argument("--max-files", default=None, help="most files of a micro-batch")
     i.add_argument("--every", default=None, help="processing-time trigger; default: availableNow")
     r = sub.add_parser("refresh")
     r.add_argument("--inbox", required=True)
     r.add_argument("--root", required=True)
+    r.add_argument("--batch-day", default="2026-07-09")
+    r.add_argument("--max-files", default=None, help="most files of a micro-batch")
     a = p.parse_args(argv)
     spark = _session(a.job)
 
@@ -72,12 +79,12 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "ingest":
         from .plans.bronze import STUDENT_STREAM_TABLE
         from .streaming.events import read_envelope_stream, run_until_done, start_ingest
-        query = start_ingest(read_envelope_stream(spark, a.inbox), f"{a.bronze.rstrip('/')}/{STUDENT_STREAM_TABLE}",
+        query = start_ingest(read_envelope_stream(spark, a.inbox, **_bound(a)), f"{a.bronze.rstrip('/')}/{STUDENT_STREAM_TABLE}",
                              a.checkpoint, available_now=a.every is None, processing_time=a.every)
         run_until_done(query)
     elif a.job == "refresh":
         from .plans.pipeline import refresh_students
-        print(refresh_students(spark, a.inbox, a.root))
+        print(refresh_students(spark, a.inbox, a.root, a.batch_day, **_bound(a)))
     return 0
 
 

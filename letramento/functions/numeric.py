@@ -1,19 +1,15 @@
 """Numeric column helpers shared by every operator (rounding, ratios, safe casts).
 
-Rounding goes through a decimal with six places, then rounds half away from zero
-(or half to even). That equals Spark's ``round`` on doubles for any measure with up
-to six decimals, and it gives the same answer on any SQL engine, whereas rounding
-the binary double directly differs between engines (1.005 -> 1.01 or 1.00).
+Rounding happens once, on the double itself: Spark's ``round`` and ``bround`` work on
+its shortest decimal text (1.005 -> 1.01), so 33.33499975 is 33.33 and never 33.34.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-# Six carried decimals; the numeric guard for text -> number (ST2/ST3).
-CARRY = DecimalType(38, 6)
+# The numeric guard for text -> number (ST2/ST3).
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 
@@ -24,12 +20,12 @@ def col_(c: str | Column) -> Column:
 
 def round_half_up(c: str | Column, scale: int = 2) -> Column:
     """Round half away from zero to ``scale`` places, as a double."""
-    return F.round(col_(c).try_cast(CARRY), scale).cast("double")
+    return F.round(col_(c).cast("double"), scale)
 
 
 def round_half_even(c: str | Column, scale: int = 1) -> Column:
     """Banker's rounding (pandas ``round``), as a double."""
-    return F.bround(col_(c).try_cast(CARRY), scale).cast("double")
+    return F.bround(col_(c).cast("double"), scale)
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:

@@ -28,6 +28,12 @@ def _wavg(value: str | Column, weight: str | None) -> Column:
     return F.try_divide(F.sum(v * w), F.sum(w))
 
 
+def exact_mean(score: str) -> Column:
+    """Mean through a decimal sum (nine places): the same whatever the order of the rows, so a tie rounds one way."""
+    v = F.col(score)
+    return F.try_divide(F.sum(v.try_cast("decimal(28,9)")).cast("double"), F.count(v))
+
+
 def student_indicators(df: DataFrame, keys: Sequence[str], *, present: str = "in_presenca_lp",
                        literate: str = "in_alfabetizado", score: str = "vl_proficiencia_lp",
                        with_minmax: bool = True, scale: int = 2, weight: str | None = None) -> DataFrame:
@@ -39,7 +45,7 @@ def student_indicators(df: DataFrame, keys: Sequence[str], *, present: str = "in
     """
     aggs = [F.count(F.lit(1)).alias("total_alunos_avaliados"),
             F.sum(literate).cast("bigint").alias("total_alfabetizados"),
-            _wavg(score, weight).alias("media_proficiencia")]
+            (_wavg(score, weight) if weight is not None else exact_mean(score)).alias("media_proficiencia")]
     if weight is not None:
         w = F.coalesce(F.col(weight), F.lit(0.0))
         aggs.append(F.try_divide(F.sum(F.coalesce(F.col(literate), F.lit(0)) * w), F.sum(w)).alias("_wrate"))

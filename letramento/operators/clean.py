@@ -10,8 +10,10 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.dims import lookup
+from ..functions.numeric import safe_int
 
 LINEAGE_COLUMNS = ["timestamp_ingestao", "fonte", "arquivo_original",
                    "_timestamp_ingestao", "_fonte", "_arquivo_original"]
@@ -56,8 +58,13 @@ def assign_ingest_day(df: DataFrame, batch_day: str, *, source_col: str = "_font
 # --- P: casts and normalisation ----------------------------------------------------
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast listed columns that exist; unparsable values become null (``try_cast``)."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
+    """Cast listed columns that exist; unparsable values become null (``try_cast``).
+
+    Text for a whole number may be in float form: '2023.0' is 2023.
+    """
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.withColumns({c: (safe_int(c) if c in text and t in ("int", "bigint") else F.col(c)).try_cast(t)
+                           for c, t in types.items() if c in df.columns})
 
 
 def cast_prefix(df: DataFrame, prefix: str, type_: str = "double") -> DataFrame:

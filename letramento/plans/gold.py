@@ -161,17 +161,17 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[st
              years: Sequence[int] | None = None, workers: int = DEFAULT_WORKERS) -> list[str]:
     """Write the gold tables (all, or the names in ``only``), tables concurrently.
 
-    With ``years``, only those year partitions are recomputed and replaced (dynamic
-    partition overwrite); the other years of each table stay as they are.
+    With ``years``, only those year partitions are recomputed and replaced (a year that
+    has no rows any more ends up empty); the other years of each table stay as they are.
     """
     def write(name: str, df: DataFrame) -> str:
         parts = GOLD_PARTITIONS[name]
         if name == "municipios_criticos":
             # already range-partitioned and sorted for the write; keep that layout
             write_layer(W.sort_for_write(df, parts, [F.col("gap_meta_2030").desc()]), gold_root, name, parts,
-                        rebalance=False)
+                        rebalance=False, replace=years)
         else:
-            write_layer(df, gold_root, name, parts)
+            write_layer(df, gold_root, name, parts, replace=years)
         return name
 
     tables = {n: df for n, df in build_gold(spark, silver_root, years).items() if only is None or n in only}

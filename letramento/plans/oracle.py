@@ -1,6 +1,6 @@
 """DuckDB SQL twins of the catalogue queries (the correctness oracle).
 
-Rounding goes through DECIMAL(38,6) exactly as ``round_half_up`` does, divisions
+Rounding works once, on the shortest decimal text of the double, divisions
 are guarded with NULLIF, integer casts of doubles use ``trunc`` (DuckDB's cast
 rounds), and counts / sums are cast to the types Spark produces.
 """
@@ -9,11 +9,15 @@ from __future__ import annotations
 
 
 def R(expr: str, n: int) -> str:
-    return f"CAST(round(CAST(({expr}) AS DECIMAL(38,6)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
 def RE(expr: str, n: int) -> str:
-    return f"CAST(round_even(CAST(({expr}) AS DECIMAL(38,6)), {n}) AS DOUBLE)"
+    return f"CAST(round_even(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
+
+
+def MEAN(col: str) -> str:
+    return f"CAST(sum(CAST({col} AS DECIMAL(28,9))) AS DOUBLE) / NULLIF(count({col}), 0)"
 
 
 def PCT(num: str, den: str, n: int = 2) -> str:
@@ -64,7 +68,7 @@ trend AS (SELECT ano, uf, rede, taxa, meta, variacao_anual, anos_para_meta, ano_
 IND_UF = PUPIL + f""",
 ind AS (
   SELECT ano, co_uf, rede, count(*) AS total_alunos_avaliados, CAST(sum(flag) AS BIGINT) AS total_alfabetizados,
-         {R("avg(score)", 2)} AS media_proficiencia, min(score) AS min_proficiencia, max(score) AS max_proficiencia,
+         {R(MEAN("score"), 2)} AS media_proficiencia, min(score) AS min_proficiencia, max(score) AS max_proficiencia,
          {PCT("sum(flag)", "count(*)")} AS taxa_alfabetizacao
   FROM pupil WHERE presente = 1 GROUP BY ano, co_uf, rede)"""
 
@@ -217,7 +221,7 @@ FROM h""",
     "student_indicators_uf": IND_UF + "\nSELECT * FROM ind",
     "student_indicators_fine": PUPIL + f"""
 SELECT ano, co_uf, co_municipio, no_municipio, rede, count(*) AS total_alunos_avaliados,
-       CAST(sum(flag) AS BIGINT) AS total_alfabetizados, {R("avg(score)", 2)} AS media_proficiencia,
+       CAST(sum(flag) AS BIGINT) AS total_alfabetizados, {R(MEAN("score"), 2)} AS media_proficiencia,
        {PCT("sum(flag)", "count(*)")} AS taxa_alfabetizacao
 FROM pupil WHERE presente = 1 GROUP BY ano, co_uf, co_municipio, no_municipio, rede""",
     "indicator_rollup": IND_UF + f"""
@@ -470,13 +474,13 @@ SELECT ano, sigla_uf, id_municipio, serie, rede, taxa_alfabetizacao, media_portu
 FROM r"""
 SQL["gold_indicadores_alunos"] = SILVER + f"""
 SELECT nu_ano_avaliacao, sg_uf, tp_dependencia, count(*) AS total_alunos_avaliados,
-       CAST(sum(in_alfabetizado) AS BIGINT) AS total_alfabetizados, {R("avg(vl_proficiencia_lp)", 2)} AS media_proficiencia,
+       CAST(sum(in_alfabetizado) AS BIGINT) AS total_alfabetizados, {R(MEAN("vl_proficiencia_lp"), 2)} AS media_proficiencia,
        min(vl_proficiencia_lp) AS min_proficiencia, max(vl_proficiencia_lp) AS max_proficiencia,
        {PCT("sum(in_alfabetizado)", "count(*)")} AS taxa_alfabetizacao
 FROM s_students_ok WHERE in_presenca_lp = 1 GROUP BY nu_ano_avaliacao, sg_uf, tp_dependencia"""
 SQL["gold_indicadores_alunos_municipio"] = SILVER + f"""
 SELECT nu_ano_avaliacao, sg_uf, co_municipio, no_municipio, tp_dependencia, count(*) AS total_alunos_avaliados,
-       CAST(sum(in_alfabetizado) AS BIGINT) AS total_alfabetizados, {R("avg(vl_proficiencia_lp)", 2)} AS media_proficiencia,
+       CAST(sum(in_alfabetizado) AS BIGINT) AS total_alfabetizados, {R(MEAN("vl_proficiencia_lp"), 2)} AS media_proficiencia,
        {PCT("sum(in_alfabetizado)", "count(*)")} AS taxa_alfabetizacao
 FROM s_students_ok WHERE in_presenca_lp = 1 GROUP BY nu_ano_avaliacao, sg_uf, co_municipio, no_municipio, tp_dependencia"""
 SQL["gold_features_ml"] = SILVER + f"""

@@ -34,9 +34,10 @@ def write_raw(extracts: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
     return run_all({t: (lambda t=t, df=df: write(t, df)) for t, df in extracts.items()})
 
 
-def ingest_stream(spark: SparkSession, inbox: str, bronze_root: str, root: str) -> None:
-    stream = read_envelope_stream(spark, inbox, "json")
-    run_until_done(start_ingest(stream, f"{bronze_root}/{STUDENT_STREAM_TABLE}", f"{root}/checkpoints/ingest"))
+def ingest_stream(spark: SparkSession, inbox: str, bronze_root: str, **options) -> None:
+    """Everything that has arrived in the inbox; ``options`` such as ``maxFilesPerTrigger`` bound a micro-batch."""
+    stream = read_envelope_stream(spark, inbox, "json", **options)
+    run_until_done(start_ingest(stream, f"{bronze_root}/{STUDENT_STREAM_TABLE}"))
 
 
 def run_pipeline(spark: SparkSession, sf: str, with_stream: bool = True) -> str:
@@ -55,7 +56,7 @@ def _run(spark: SparkSession, sf: str, with_stream: bool) -> str:
     run_bronze(spark, raw, bronze)
     if with_stream:
         envelopes(read_table(spark, sf, "events")).write.mode("overwrite").json(f"{root}/inbox")
-        ingest_stream(spark, f"{root}/inbox", bronze, root)
+        ingest_stream(spark, f"{root}/inbox", bronze)
     run_silver(spark, bronze, f"{root}/silver", BATCH_DAY)
     run_gold(spark, f"{root}/silver", f"{root}/gold")
     return root
@@ -64,10 +65,10 @@ def _run(spark: SparkSession, sf: str, with_stream: bool) -> str:
 STUDENT_GOLD = {"indicadores_alunos", "indicadores_alunos_municipio"}
 
 
-def refresh_students(spark: SparkSession, inbox: str, root: str, batch_day: str = BATCH_DAY) -> list[str]:
+def refresh_students(spark: SparkSession, inbox: str, root: str, batch_day: str = BATCH_DAY, **options) -> list[str]:
     """ST11: ingest what has arrived (``availableNow``), then recompute the pupil silver
     table and the two pupil gold tables; the indicator tables are left as they are."""
     bronze = f"{root}/bronze"
-    ingest_stream(spark, inbox, bronze, root)
+    ingest_stream(spark, inbox, bronze, **options)
     run_silver_students(spark, bronze, f"{root}/silver", batch_day)
     return run_gold(spark, f"{root}/silver", f"{root}/gold", only=STUDENT_GOLD)

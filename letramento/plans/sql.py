@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.io import read_optional
 from .gold import GOLD_PARTITIONS
 
-_R2 = "CAST(round(try_cast(({x}) AS DECIMAL(38,6)), {n}) AS DOUBLE)"
+_R2 = "round(CAST(({x}) AS DOUBLE), {n})"
 
 FUNCTIONS = {
     "lt_gap": ("meta DOUBLE, taxa DOUBLE", "DOUBLE", _R2.format(x="meta - taxa", n=2)),

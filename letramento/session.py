@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
     if not path:
-        path = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="letramento-ckpt-")
+        path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+        path = path or tempfile.mkdtemp(prefix="letramento-ckpt-")
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path
     return path
@@ -54,9 +57,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -14,9 +14,21 @@ from . import schemas
 _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",") -> DataFrame:
-    """Headed CSV read with a declared schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
+def read_raw_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
+                 required: Sequence[str] = schemas.KEY_COLUMNS) -> DataFrame:
+    """Headed CSV, columns bound by header name and read as text (no inference pass).
+
+    Declared columns come first, in declared order; a declared column that the file
+    lacks is null, unless it is ``required``; columns that are not declared follow. The
+    files of a folder must have one header: another order in one of them is an error.
+    """
+    raw = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False) \
+        .option("sep", sep).csv(path)
+    missing = [c for c in schema.fieldNames() if c not in raw.columns and c in required]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    declared = [F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return raw.select(*declared, *[F.col(f"`{c}`") for c in raw.columns if c not in schema.fieldNames()])
 
 
 def read_layer(spark: SparkSession, root: str, table: str, schema: StructType | None = None) -> DataFrame:
@@ -35,6 +47,17 @@ def read_optional(spark: SparkSession, root: str, table: str, schema: StructType
         raise
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any Hadoop file system, if it exists."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+
+
 def read_students(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     """Pupil files from batch and stream folders, any mix, one declared schema.
 
@@ -58,20 +81,22 @@ def read_students(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None
 
 
 def write_layer(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite", rebalance: bool = True) -> str:
+                mode: str = "overwrite", rebalance: bool = True, replace: Sequence | None = None) -> str:
     """K1: write a Parquet table partitioned by 0..n columns; returns its path.
 
     With ``rebalance`` the rows are first rebalanced on the partition columns: adaptive
     execution sizes the write tasks and splits a skewed partition value over several
     tasks, so each folder gets a few well-sized files instead of one file per task
     per folder, and one large year never lands in a single writer. Overwrite replaces
-    only the partitions present in ``df`` (dynamic mode), so a table can be refreshed
-    one year at a time.
+    the whole table. With ``replace``, values of the first partition column, it replaces
+    those partitions only: a listed value without rows in ``df`` ends up without rows.
     """
     path = f"{root.rstrip('/')}/{table}"
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static" if replace is None else "dynamic")
+    for value in replace or ():
+        remove_folder(df.sparkSession, f"{path}/{partition_by[0]}={value}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

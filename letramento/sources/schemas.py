@@ -14,6 +14,10 @@ TARGET_COLUMNS = [f"meta_alfabetizacao_{y}" for y in TARGET_YEARS]
 LEVEL_COLUMNS = [f"proporcao_aluno_nivel_{i}" for i in range(9)]
 
 
+#: Columns that a raw file must have where its schema declares them.
+KEY_COLUMNS = ("ano", "sigla_uf", "id_municipio", "rede", "nu_ano_avaliacao", "id_aluno")
+
+
 def _text(*names: str) -> list[StructField]:
     return [StructField(n, StringType(), True) for n in names]
 

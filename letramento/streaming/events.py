@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 from ..functions.numeric import safe_double, safe_int, safe_string
 from ..operators.clean import stamp_day, stamp_lineage
 from ..sources import schemas
+from ..sources.io import folder_exists
 
 STREAM_SOURCE = "kinesis_streaming"
 STREAM_FILE = "stream_kinesis"
@@ -138,14 +139,28 @@ def read_envelope_stream(spark: SparkSession, path: str, fmt: str = "json", **op
     return reader.load(path)
 
 
-def start_ingest(envelopes: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+def sink_checkpoint(path: str) -> str:
+    """The one checkpoint of a sink, beside it: every job that writes the sink goes on from there."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_checkpoints/{name}"
+
+
+def start_ingest(envelopes: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True,
                  processing_time: str | None = None) -> StreamingQuery:
     """K2 / ST7 / ST9: every record into one file sink, partitioned by (estado, day).
 
     One query reads and parses each record once. The file sink's commit log makes a
     replayed micro-batch invisible until committed and never committed twice; an
     empty micro-batch writes no file. Readers select ``estado`` (``read_ingested``).
+
+    A sink skips batch numbers that its log has, so a second checkpoint on the same sink
+    would lose records: the checkpoint belongs to the sink (``sink_checkpoint``), and a
+    sink with a log refuses a checkpoint that does not exist yet.
     """
+    spark = envelopes.sparkSession
+    checkpoint = checkpoint or sink_checkpoint(path)
+    if folder_exists(spark, f"{path.rstrip('/')}/_spark_metadata") and not folder_exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{path} was written from another checkpoint than {checkpoint}; its records would be lost")
     writer = (ingest_records(envelopes).writeStream.format("parquet").option("path", path)
               .option("checkpointLocation", checkpoint).partitionBy("estado", "data_ingestao").outputMode("append"))
     if available_now:
