@@ -173,6 +173,11 @@ def sort_for_write(df: DataFrame, partition_cols: Sequence[str], order: Sequence
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def ordered_slice(df: DataFrame, condition: Column, order: Sequence[Column]) -> DataFrame:
+    """O2: the rows of one slice (a year, a network) in ``order``; a range exchange sorts across tasks."""
+    return df.where(condition).orderBy(*order)
+
+
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     """O3: first ``k`` rows by ``order`` (each task keeps only k candidates)."""
     return df.orderBy(*order).limit(k)

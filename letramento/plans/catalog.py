@@ -1,8 +1,10 @@
 """Query catalogue over the shared test tables: one entry per operator family.
 
 Each query takes (spark, sf_dir) and returns a DataFrame without running an action
-(except ``stream_ingest``, which runs its stream to completion first). The SQL twin
-of every query lives in ``oracle.py``.
+except ``stream_ingest`` and ``stream_refresh``, which run their streams to completion
+first, and the ``gold_*``, ``roundtrip_layers`` and ``silver_quality`` queries, which read
+one run of all layers per session and input folder. The SQL twin of every query lives
+in ``oracle.py``.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from ..operators import windows as W
 from ..session import scratch_path
 from ..streaming import events as S
 from .extracts import envelopes
-from .pipeline import run_pipeline
+from .pipeline import refresh_students, run_pipeline
 from .testbed import kpi, kpi_rows, pupil, read_table
 from .validation import silver_checks
 
@@ -101,6 +103,15 @@ def first_last_pace(spark: SparkSession, sf: str) -> DataFrame:
     return A.pace(series, ["rede"], "ano", "taxa", target=80.0, horizon=2030)
 
 
+def first_last_points(spark: SparkSession, sf: str) -> DataFrame:
+    return W.first_last(kpi(spark, sf), ["uf", "rede"], "ano", ["taxa", "n"])
+
+
+def ordered_year(spark: SparkSession, sf: str) -> DataFrame:
+    k = kpi(spark, sf).select("ano", "uf", "rede", "taxa")
+    return W.ordered_slice(k, F.col("ano") == 1996, [F.col("taxa").desc(), F.col("uf"), F.col("rede")])
+
+
 # --- A1-A4, A12 ---------------------------------------------------------------------------
 
 def _indicators_uf(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,6 +288,12 @@ def slice_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return C.slice_with_fallback(k, "ano", 2030, 2001)
 
 
+def slice_wanted_year(spark: SparkSession, sf: str) -> DataFrame:
+    """F6 where the wanted year has rows."""
+    k = kpi(spark, sf).select("ano", "uf", "regiao", "rede", "n", "taxa")
+    return C.slice_with_fallback(k, "ano", 1997, 1994)
+
+
 def assign_day(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")
     et = F.col("event_type")
@@ -313,6 +330,21 @@ def key_mismatch(spark: SparkSession, sf: str) -> DataFrame:
                           "o_custkey", "c_custkey", sides=("pedidos", "clientes"))
 
 
+def _buyers(spark: SparkSession, sf: str, year: int) -> DataFrame:
+    o = read_table(spark, sf, "orders").where(F.year("o_orderdate") == year)
+    return o.select(F.col("o_custkey").alias("cliente"))
+
+
+def key_panel_mismatch(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 with keys on both sides: customers who ordered in only one of two years."""
+    return Q.key_mismatch(_buyers(spark, sf, 1995), _buyers(spark, sf, 1996), "cliente", sides=("1995", "1996"))
+
+
+def key_panel_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Q6 on the same keys: a rule that fails."""
+    return Q.check_keys_match(_buyers(spark, sf, 1995), _buyers(spark, sf, 1996), "1995 vs 1996", "cliente", sides=("1995", "1996"))
+
+
 def _quality_results(spark: SparkSession, sf: str) -> DataFrame:
     k = kpi(spark, sf)
     li = read_table(spark, sf, "lineitem")
@@ -353,8 +385,7 @@ def stream_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    good, rejects = S.split_rejects(S.decode_events(envelopes(read_table(spark, sf, "events"))))
-    return S.ingest_metrics(S.to_student_event(good), rejects).drop("data_ingestao")
+    return S.decoded_metrics(S.decode_events(envelopes(read_table(spark, sf, "events")))).drop("data_ingestao")
 
 
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -366,6 +397,17 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return S.read_ingested(spark, f"{root}/bronze").drop(*CLOCK_COLUMNS)
 
 
+def stream_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """ST11 twice: some events, then the others and the first ones again; each pupil counts once."""
+    events = read_table(spark, sf, "events")
+    early = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
+    root = scratch_path(spark, "stream-refresh")
+    for arrived in (events.where(early), events):
+        envelopes(arrived).write.mode("append").json(f"{root}/inbox")
+        refresh_students(spark, f"{root}/inbox", root, BATCH_DAY)
+    return spark.read.parquet(f"{root}/gold/indicadores_alunos").drop(*CLOCK_COLUMNS)
+
+
 # --- B1-B2, V1-V6, G1-G9 on extracts of the shared tables ------------------------------------------
 
 GOLD_TABLES = ["panorama_alfabetizacao", "evolucao_proficiencia", "ranking_municipios", "indicadores_alunos",
@@ -406,6 +448,8 @@ QUERIES = {
     "top_changes": top_changes,
     "regressions": regressions,
     "first_last_pace": first_last_pace,
+    "first_last_points": first_last_points,
+    "ordered_year": ordered_year,
     "student_indicators_uf": student_indicators_uf,
     "student_indicators_fine": student_indicators_fine,
     "indicator_rollup": indicator_rollup,
@@ -429,15 +473,19 @@ QUERIES = {
     "reject_counts": reject_counts,
     "dedup_latest": dedup_latest,
     "slice_with_fallback": slice_with_fallback,
+    "slice_wanted_year": slice_wanted_year,
     "assign_day": assign_day,
     "level_distribution": level_distribution,
     "key_mismatch": key_mismatch,
+    "key_panel_mismatch": key_panel_mismatch,
+    "key_panel_check": key_panel_check,
     "quality_report": quality_report,
     "quality_summary": quality_summary,
     "sql_criticality": sql_criticality,
     "stream_decode": stream_decode,
     "stream_metrics": stream_metrics,
     "stream_ingest": stream_ingest,
+    "stream_refresh": stream_refresh,
     "roundtrip_layers": roundtrip_layers,
     "silver_quality": silver_quality,
     **{f"gold_{t}": _gold_reader(t) for t in GOLD_TABLES},

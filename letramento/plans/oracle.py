@@ -578,4 +578,27 @@ def _silver_quality() -> str:
 
 SQL["silver_quality"] = _silver_quality()
 
+PANEL = """
+WITH a AS (SELECT DISTINCT o_custkey AS chave FROM orders WHERE year(o_orderdate) = 1995 AND o_custkey IS NOT NULL),
+     b AS (SELECT DISTINCT o_custkey AS chave FROM orders WHERE year(o_orderdate) = 1996 AND o_custkey IS NOT NULL),
+     m AS (SELECT chave, '1995' AS lado FROM a WHERE chave NOT IN (SELECT chave FROM b)
+           UNION ALL SELECT chave, '1996' FROM b WHERE chave NOT IN (SELECT chave FROM a))"""
+SQL["key_panel_mismatch"] = PANEL + "\nSELECT chave, lado FROM m"
+SQL["key_panel_check"] = PANEL + """,
+n AS (SELECT count(*) FILTER (WHERE lado = '1995') AS a, count(*) FILTER (WHERE lado = '1996') AS b FROM m)
+SELECT '1995 vs 1996' AS tabela, 'cliente consistente entre tabelas' AS regra,
+       CASE WHEN a = 0 AND b = 0 THEN 'PASSOU' ELSE 'FALHOU' END AS status,
+       '(só 1995: ' || CAST(a AS VARCHAR) || ', só 1996: ' || CAST(b AS VARCHAR) || ')' AS detalhe FROM n"""
+SQL["slice_wanted_year"] = KPI + """
+SELECT ano, uf, regiao, rede, n, taxa FROM kpi
+WHERE ano = (SELECT CASE WHEN bool_or(ano = 1997) THEN 1997 ELSE 1994 END FROM kpi)"""
+SQL["first_last_points"] = KPI + """
+SELECT uf, rede, arg_min(taxa, ano) AS primeiro_taxa, arg_max(taxa, ano) AS ultimo_taxa, arg_min(n, ano) AS primeiro_n,
+       arg_max(n, ano) AS ultimo_n, min(ano) AS primeiro_ano, max(ano) AS ultimo_ano, count(*) AS n_pontos
+FROM kpi GROUP BY uf, rede"""
+SQL["ordered_year"] = KPI + """
+SELECT ano, uf, rede, taxa FROM kpi WHERE ano = 1996 ORDER BY taxa DESC, uf, rede"""
+SQL["stream_refresh"] = SQL["gold_indicadores_alunos"].replace(
+    "FROM s_students WHERE ", "FROM s_students WHERE id_aluno IN (SELECT event_id FROM pev WHERE coalesce(k, '') NOT IN ('0', '1')) AND ")
+
 SQL = {k: (v if v.lstrip().upper().startswith(("WITH", "SELECT")) else "WITH " + v) for k, v in SQL.items()}

@@ -29,17 +29,14 @@ def envelope_data(fields: dict[str, Column]) -> Column:
     return F.base64(F.encode(body, "UTF-8"))
 
 
-def to_envelope(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    return df.select(envelope_data(fields).alias("data"))
-
-
 def decode_events(df: DataFrame, col: str = "data", base64: bool = True) -> DataFrame:
     """ST1: base64 -> UTF-8 -> JSON object with every field as text.
 
     Adds ``_payload`` (the decoded text, null when the base64 is invalid) and ``_e``
     (the parsed struct, with ``_corrupt`` holding text that is not a JSON object).
-    Both come out of a one-row ``inline`` generator: filters on them cannot be
-    pushed below it, so each record is decoded and parsed once, not once per use.
+    The payload is a projection of its own and the struct comes out of a one-row
+    ``inline`` generator over it: filters on the struct cannot be pushed below, so each
+    record is decoded and parsed once, not once per use.
     ``base64=False`` takes the column as the JSON itself (text, or UTF-8 bytes such
     as a Kafka ``value``).
     """
@@ -48,14 +45,14 @@ def decode_events(df: DataFrame, col: str = "data", base64: bool = True) -> Data
         text = F.decode(F.try_to_binary(raw, F.lit("base64")), "UTF-8")
     else:
         text = raw.cast("string")
-    parsed = F.from_json(text, schemas.EVENT_TEXT,
+    parsed = F.from_json(F.col("_payload"), schemas.EVENT_TEXT,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return df.select("*", F.inline(F.array(F.struct(text.alias("_payload"), parsed.alias("_e")))))
+    return df.withColumn("_payload", text).select("*", F.inline(F.array(F.struct(parsed.alias("_e")))))
 
 
 def is_malformed(decoded: DataFrame | None = None) -> Column:
-    """ST6: undecodable base64, text that is not a JSON object, or a JSON null."""
-    return (F.col("_payload").isNull() | F.col("_e").isNull() | F.col("_e._corrupt").isNotNull())
+    """ST6: undecodable base64 (its struct is null too), text that is not a JSON object, or a JSON null."""
+    return F.col("_e").isNull() | F.col("_e._corrupt").isNotNull()
 
 
 def typed_exprs() -> dict[str, Column]:
@@ -121,16 +118,26 @@ def ingest_records(envelopes: DataFrame, col: str = "data", base64: bool = True)
     return stamp_day(stamp_lineage(out, STREAM_SOURCE, STREAM_FILE))
 
 
-def ingest_metrics(good: DataFrame, rejects: DataFrame, threshold: float = 0.05,
-                   day_col: str = "data_ingestao") -> DataFrame:
-    """ST8: records, rejects and error rate per day, flagged above ``threshold``."""
-    both = (good.select(day_col, F.lit(0).alias("_bad"))
-            .unionByName(rejects.select(day_col, F.lit(1).alias("_bad"))))
-    out = both.groupBy(day_col).agg(F.count(F.lit(1)).alias("registros"), F.sum("_bad").cast("bigint").alias("rejeitados"))
+def error_rates(records: DataFrame, bad: Column, threshold: float = 0.05, day_col: str = "data_ingestao") -> DataFrame:
+    """ST8 in one aggregate: records, those that are ``bad`` and their share per day, flagged above ``threshold``."""
+    out = records.groupBy(day_col).agg(F.count(F.lit(1)).alias("registros"), F.count_if(bad).alias("rejeitados"))
     rate = F.try_divide(F.col("rejeitados").cast("double"), F.col("registros"))
     return out.withColumn("taxa_erro", rate).withColumn("acima_limite", rate > F.lit(threshold))
 
 
+def decoded_metrics(decoded: DataFrame, threshold: float = 0.05) -> DataFrame:
+    """ST8 over decoded records: one pass, no split."""
+    return error_rates(stamp_day(decoded), is_malformed(), threshold)
+
+
+def ingest_metrics(good: DataFrame, rejects: DataFrame, threshold: float = 0.05,
+                   day_col: str = "data_ingestao") -> DataFrame:
+    """ST8 over good and rejected records that are kept apart."""
+    both = (good.select(day_col, F.lit(False).alias("_bad"))
+            .unionByName(rejects.select(day_col, F.lit(True).alias("_bad"))))
+    return error_rates(both, F.col("_bad"), threshold, day_col)
+
+
 def read_envelope_stream(spark: SparkSession, path: str, fmt: str = "json", **options) -> DataFrame:
     """Envelope records as a stream (a Kafka source would only swap the reader)."""
     reader = spark.readStream.schema(schemas.ENVELOPE).format(fmt)
@@ -189,7 +196,4 @@ def read_ingested(spark: SparkSession, path: str, estado: str = STATE_OK) -> Dat
 def health_report(spark: SparkSession, path: str, threshold: float = 0.05) -> DataFrame:
     """ST8 over the sink: records, rejects and error rate per ingestion day (one aggregate)."""
     df = spark.read.schema(schemas.INGESTED).parquet(path)
-    out = df.groupBy("data_ingestao").agg(F.count(F.lit(1)).alias("registros"),
-                                          F.count_if(F.col("estado") == STATE_REJECTED).alias("rejeitados"))
-    rate = F.try_divide(F.col("rejeitados").cast("double"), F.col("registros"))
-    return out.withColumn("taxa_erro", rate).withColumn("acima_limite", rate > F.lit(threshold))
+    return error_rates(df, F.col("estado") == STATE_REJECTED, threshold)

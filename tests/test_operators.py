@@ -107,6 +107,11 @@ def test_label_counts_and_crosstab_partition_rows(spark):
     assert ct == {"N": (0, 1, 1), "S": (0, 1, 0)}
 
 
+def test_ordered_slice(spark):
+    df = spark.createDataFrame([(1, 5), (2, 1), (1, 9), (1, 2)], "ano int, v int")
+    assert [r.v for r in W.ordered_slice(df, F.col("ano") == 1, [F.col("v").desc()]).collect()] == [9, 5, 2]
+
+
 def test_slice_with_fallback(spark):
     df = spark.createDataFrame([(2023, 1), (2024, 2)], "ano int, v int")
     assert [r.v for r in C.slice_with_fallback(df, "ano", 2024, 2023).collect()] == [2]
