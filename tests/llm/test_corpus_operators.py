@@ -300,6 +300,21 @@ def test_neighbours_odd_vectors(spark):
     assert neighbours.nearest(df.where("false"), F.col("id") % 100 == 0).count() == 0
 
 
+def test_neighbours_ties_repeats_and_parts_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERIES", 3)
+    rng = np.random.default_rng(1)
+    points = {i: ([1.0, 1.0, 1.0] if i % 3 else [float(v) for v in rng.integers(-2, 3, 3)]) for i in range(1, 400)}
+    points = {i: v for i, v in points.items() if any(v)}
+    rows = list(points.items()) + [(2, points[2])] * 40
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(df, F.col("id") % 20 == 0, share=1.0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.score, r.vec_id))
+    want = {q: sorted((math.dist(points[q], v), i) for i, v in points.items() if i != q)[:10] for q in points if q % 20 == 0}
+    assert {q: [i for _, i in v] for q, v in got.items()} == {q: [i for _, i in v] for q, v in want.items()}
+    assert all(abs(a[0] - b[0]) < 1e-12 for q in want for a, b in zip(got[q], want[q]))
+
+
 # --- 8 mixing
 
 @pytest.mark.parametrize("weights", [[1], [50, 30, 13, 7], [1, 1, 1], [97, 2, 1]])
