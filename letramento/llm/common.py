@@ -25,10 +25,10 @@ def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -123,7 +123,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     fields = dict(source.dtypes)
     marked = materialize(source.mapInArrow(
         _mark_runs(False), "part long, run long, first boolean, id long, sha binary, edge_text string, norm string, "
-                           f"`row` {fields['row']}"), "content-sort-rows")
+                           f"`row` {fields['row']}"), "content-sort-rows", "zstd")  # whole texts: the denser codec pays
     later = _stitched(marked).where("part > head").select("part", "run")
     kept = marked.where("edge_text is null").join(later, ["part", "run"], "left_anti")
     text = F.when(F.col("row.__kind") == 1, F.col("norm")).when(F.col("row.__kind") == 2, F.col("row.__raw"))
