@@ -10,8 +10,10 @@ arithmetic. When sources run out, the next phase schedules the others by their w
 a phase is a number of whole periods, or one period in which a source that has fewer
 blocks left than its weight uses them up evenly. No row is dropped or repeated.
 
-Ranks within a source come from counts per (partition, source), summed over the
-partitions before; no task ever holds a source. Rows move once, to the partition of
+Rows are written once with their partition and their number within (partition, source),
+and ranks within a source come from that one table: from its counts per (partition,
+source), summed over the partitions before. However the rows were first split, counts
+and places agree, and no task ever holds a source. Rows move once, to the partition of
 their place in the mix.
 
 Defined results: a null source is a source of its own; sources without a given weight
@@ -135,19 +137,20 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, int] | None = None, s
     """All rows and columns of ``docs`` with ``mix_weight``, ``mix_block``, ``mix_slot`` and ``mix_position``.
 
     Rows are range-partitioned and sorted by position, so files written from the result
-    hold consecutive parts of the mix. ``docs`` must be a table read (its partitions are
-    read twice); pass other plans through ``materialize`` first. Names that the result
-    adds replace columns of the same name.
+    hold consecutive parts of the mix. Names that the result adds replace columns of the
+    same name.
     """
     spark = docs.sparkSession
     short_batches(spark)
     added = ("mix_weight", "mix_block", "mix_slot", "mix_position")
     docs = docs.drop(*added)
-    long = T.LongType()
-    key = docs.select(F.col(f"`{source_col}`").cast("string").alias("__source"))
-    schema = T.StructType([T.StructField("__source", T.StringType()), T.StructField("__part", long), T.StructField("__local", long)])
-    counts = materialize(key.mapInArrow(_local_ranks("__source"), schema).groupBy("__source", "__part")
-                         .agg(F.count(F.lit(1)).alias("n")), "mix-counts")
+    void = [f.name for f in docs.schema if isinstance(f.dataType, T.NullType)]  # Parquet has no such type: put back at the end
+    stored = docs.drop(*void)
+    full = T.StructType([*stored.schema.fields, T.StructField("__source", T.StringType()),
+                         T.StructField("__part", T.LongType()), T.StructField("__local", T.LongType())])
+    ranked = materialize(docs.withColumn("__source", F.col(f"`{source_col}`").cast("string")).drop(*void)
+                         .mapInArrow(_local_ranks("__source"), full), "mix-rows", "zstd")  # whole texts: the denser codec pays
+    counts = materialize(ranked.groupBy("__source", "__part").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     totals = {r[0]: r[1] for r in counts.groupBy("__source").agg(F.sum("n")).limit(MOST_SOURCES + 1).collect()}
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources: group them before mixing")
@@ -163,10 +166,6 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, int] | None = None, s
     offsets = counts.select(F.col("__source").alias("__s"), F.col("__part").alias("__p"),
                             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
 
-    full = T.StructType([*docs.schema.fields, T.StructField("__source", T.StringType()),
-                         T.StructField("__part", long), T.StructField("__local", long)])
-    ranked = docs.withColumn("__source", F.col(f"`{source_col}`").cast("string")) \
-        .mapInArrow(_local_ranks("__source"), full)
     ranked = ranked.join(offsets, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__part") == F.col("__p")))
 
     @F.pandas_udf("mix_weight long, mix_block long, mix_slot long, mix_position long")
@@ -179,6 +178,6 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, int] | None = None, s
     total = sum(rows)
     parts = max(1, min(total // ROWS_PER_PARTITION + 1, 100_000), int(spark.conf.get("spark.sql.shuffle.partitions")))
     placed = ranked.withColumn("__mix", places("__source", F.col("__before") + F.col("__local")))
-    out = placed.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__mix.{c}").alias(c) for c in added])
+    out = placed.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__mix.{c}").alias(c) for c in added])
     return out.repartitionById(parts, (F.col("mix_position") * parts / F.lit(max(1, total))).cast("int")) \
         .sortWithinPartitions("mix_position")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from letramento.llm import exact_dedup, graph, hilbert, hpyp, language, mixing, neighbours, packing, quality, recompression, simhash, toxicity
 from letramento.llm.boosting import BoostedTrees
-from letramento.llm.common import read_table
+from letramento.llm.common import materialize, read_table
 from letramento.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -346,6 +346,19 @@ def test_mix_places_every_row_once(spark, odd, none):
     assert mixing.mix_sources(none).count() == 0
 
 
+def test_mix_places_rows_whose_files_are_split_anew(spark):
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 5).alias("source"), F.lit("some text").alias("text"))
+    table = materialize(rows.repartition(12), "mix-files")
+    mixed = mixing.mix_sources(table, block_rows=4)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # as cores that come or go change the splits of the next job
+    try:
+        got = mixed.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.doc_id for r in got) == list(range(4000)) and sorted(r.mix_position for r in got) == list(range(4000))
+
+
 # --- 9 packing
 
 def test_packing_round_trip(docs, odd, none):
