@@ -54,9 +54,8 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's place in the mix; the texts move with it in the operator and are left out of the digest."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mix_sources(docs).select("doc_id", "source", "mix_weight", "mix_block", "mix_slot", "mix_position")
+    """Every document as a whole row, moved to its place in the mix."""
+    return mix_sources(read_table(spark, sf_dir, "documents"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from letramento.llm import exact_dedup, graph, hilbert, hpyp, language, mixing, neighbours, packing, quality, recompression, simhash, toxicity
 from letramento.llm.boosting import BoostedTrees
 from letramento.llm.common import materialize, read_table
-from letramento.llm.queries import tokenizer_path
+from letramento.llm.queries import op8_mix, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 CLASHES = ("id", "t", "norm", "row", "part", "run", "fp", "print", "keys", "bucket", "block", "out", "rank", "at", "vec", "mix_slot", "__kept")
@@ -359,6 +359,12 @@ def test_mix_places_rows_whose_files_are_split_anew(spark):
     assert sorted(r.doc_id for r in got) == list(range(4000)) and sorted(r.mix_position for r in got) == list(range(4000))
 
 
+def test_mix_query_moves_whole_rows(spark, docs):
+    got = op8_mix(spark, SF)
+    assert got.columns == [*docs.columns, "mix_weight", "mix_block", "mix_slot", "mix_position"]
+    assert sorted(map(tuple, got.select(docs.columns).collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+
+
 # --- 9 packing
 
 def test_packing_round_trip(docs, odd, none):
