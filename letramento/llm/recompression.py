@@ -16,7 +16,8 @@ anchors, and a window without one is its own anchor.
 
 Each task first settles what it can within its own block of documents and sends one
 entry per name, with the smallest id: a passage that a third of all documents share
-sends one entry per block. Entries travel as packed arrays.
+sends one entry per block. Entries travel as packed arrays. What is settled goes to the
+home of its document, a hash of identifier and text, so copies of one text are spread.
 
 Defined results: null text has no words; a null identifier is never smaller than
 another and keeps all its words; rows of one identifier never remove each other;
@@ -163,6 +164,17 @@ def _entries(bucket: int, settled: bool, ids, prints, doc, keys, checks) -> tupl
             keys.tobytes(), checks.tobytes())
 
 
+def _homes(ids: np.ndarray, prints: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket in which a document's answers meet: exact copies with other identifiers have other homes."""
+    return (mix64(mix64(ids.view(np.uint64)) ^ prints.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _parts(where: np.ndarray) -> list[np.ndarray]:
+    """Positions of equal numbers, each in the given order."""
+    order = np.argsort(where, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(where[order])) + 1) if len(order) else []
+
+
 def _requests(keys, checks, doc, ids, prints, buckets: int, smaller: bool) -> list[tuple]:
     """Settle a block's own matches; for each name, ask with the block's smallest id."""
     order = np.lexsort((ids[doc], checks, keys))
@@ -177,12 +189,15 @@ def _requests(keys, checks, doc, ids, prints, buckets: int, smaller: bool) -> li
     hit = own > least if smaller else most > least
     out = []
     if hit.any():
-        by_doc = np.argsort(d[hit], kind="stable")
-        out.append(_entries(int(k[0] % np.uint64(buckets)), True, ids, prints, d[hit][by_doc], k[hit][by_doc], c[hit][by_doc]))
+        settled = np.flatnonzero(hit)
+        settled = settled[np.argsort(d[settled], kind="stable")]
+        home = _homes(ids, prints, buckets)[d[settled]]
+        for part in _parts(home):
+            at = settled[part]
+            out.append(_entries(int(home[part[0]]), True, ids, prints, d[at], k[at], c[at]))
     ask = start[np.argsort(d[start], kind="stable")]
     where = (k[ask] % np.uint64(buckets)).astype(np.int64)
-    by_bucket = np.argsort(where, kind="stable")
-    for part in np.split(by_bucket, np.flatnonzero(np.diff(where[by_bucket])) + 1):
+    for part in _parts(where):
         at = ask[part]
         out.append(_entries(int(where[part[0]]), False, ids, prints, d[at], k[at], c[at]))
     return out
@@ -209,14 +224,12 @@ def _answers(buckets: int, smaller: bool) -> Callable[[pd.DataFrame], pd.DataFra
                 hit = np.zeros(len(keys), bool)
                 hit[order] = o > least[group] if smaller else (most > least)[group]
                 doc, keys = doc[hit], keys[hit]
-            home = (prints[doc].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(home, kind="stable")
-            for at in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
-                if len(at):
-                    first, n = _cut(doc[at])
-                    own = doc[at][first]
-                    out.append((int(home[at[0]]), ids[own].tobytes(), prints[own].tobytes(), n.astype(np.int32).tobytes(),
-                                keys[at].tobytes()))
+            home = _homes(ids, prints, buckets)[doc]
+            for at in _parts(home):
+                first, n = _cut(doc[at])
+                own = doc[at][first]
+                out.append((int(home[at[0]]), ids[own].tobytes(), prints[own].tobytes(), n.astype(np.int32).tobytes(),
+                            keys[at].tobytes()))
         return pd.DataFrame(out, columns=["home", "ids", "prints", "counts", "keys"])
 
     return run

@@ -11,6 +11,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,22 @@ def test_repeats_in_runs_and_few_words(spark):
     assert got == removed([(i, t.encode().split()) for i, t in rows], 13)
 
 
+def test_copies_of_one_text_are_answered_in_many_buckets():
+    copies, windows, buckets = 600, 20, 16
+    keys = np.tile(np.arange(1, windows + 1, dtype=np.uint64), copies)
+    doc, ids, prints = np.repeat(np.arange(copies), windows), np.arange(copies), np.full(copies, 77)
+    for smaller, answered in ((True, copies - 1), (False, copies)):
+        found = pd.DataFrame(recompression._requests(keys, np.zeros(len(keys), np.uint32), doc, ids, prints, buckets, smaller),
+                             columns=["bucket", "settled", "ids", "prints", "counts", "keys", "checks"])
+        sent = found[found.settled].groupby("bucket")["keys"].agg(lambda x: sum(map(len, x)) // 8)
+        assert sent.sum() == answered * windows and sent.max() < 2 * sent.sum() / buckets
+        homes = pd.concat([recompression._answers(buckets, smaller)(g) for _, g in found.groupby("bucket")])
+        met = homes.groupby("home")["keys"].agg(lambda x: sum(map(len, x)) // 8)
+        assert met.sum() >= answered * windows and met.max() < 2 * met.sum() / buckets
+        rows = pd.concat([recompression._by_document(g) for _, g in homes.groupby("home")])
+        assert sorted(rows.id) == list(range(copies - answered, copies)) and all(set(np.frombuffer(k, np.uint64)) == set(keys) for k in rows["keys"])
+
+
 def test_repeats_of_no_rows(none):
     assert recompression.remove_repeats(none).count() == 0
 
