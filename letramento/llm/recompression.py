@@ -15,8 +15,8 @@ anchors, and a window without one is its own anchor.
 3. Words covered by a window that also starts in a document with a smaller id go.
 
 Each task first settles what it can within its own block of documents and sends one
-entry per name, with the smallest id: a passage that a third of all documents share
-sends one entry per block. Entries travel as packed arrays. What is settled goes to the
+entry per name and text of the smallest id: a passage that a third of all documents
+share sends one entry per block. Entries travel as packed arrays. What is settled goes to the
 home of its document, a hash of identifier and text, so copies of one text are spread.
 
 Defined results: null text has no words; a null identifier is never smaller than
@@ -176,14 +176,14 @@ def _parts(where: np.ndarray) -> list[np.ndarray]:
 
 
 def _requests(keys, checks, doc, ids, prints, buckets: int, smaller: bool) -> list[tuple]:
-    """Settle a block's own matches; for each name, ask with the block's smallest id."""
-    order = np.lexsort((ids[doc], checks, keys))
+    """Settle a block's own matches; for each name, ask with the block's smallest id, once for each of its texts."""
+    order = np.lexsort((prints[doc], ids[doc], checks, keys))
     k, c, d = keys[order], checks[order], doc[order]
     new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.zeros(0, bool)
     start = np.flatnonzero(new)
     if not len(start):
         return []
-    group, own = np.cumsum(new) - 1, ids[d]
+    group, own, text = np.cumsum(new) - 1, ids[d], prints[d]
     least = own[start][group]
     most = own[np.concatenate([start[1:], [len(k)]]) - 1][group]
     hit = own > least if smaller else most > least
@@ -195,7 +195,8 @@ def _requests(keys, checks, doc, ids, prints, buckets: int, smaller: bool) -> li
         for part in _parts(home):
             at = settled[part]
             out.append(_entries(int(home[part[0]]), True, ids, prints, d[at], k[at], c[at]))
-    ask = start[np.argsort(d[start], kind="stable")]
+    ask = np.flatnonzero(new | ((own == least) & np.concatenate([[True], text[1:] != text[:-1]])))
+    ask = ask[np.argsort(d[ask], kind="stable")]
     where = (k[ask] % np.uint64(buckets)).astype(np.int64)
     for part in _parts(where):
         at = ask[part]

@@ -184,6 +184,20 @@ def test_copies_of_one_text_are_answered_in_many_buckets():
         assert sorted(rows.id) == list(range(copies - answered, copies)) and all(set(np.frombuffer(k, np.uint64)) == set(keys) for k in rows["keys"])
 
 
+@pytest.mark.parametrize("smaller", [True, False])
+def test_two_texts_of_one_identifier_are_both_answered(smaller):
+    def sent(ids, prints):
+        keys, doc = np.tile(np.arange(1, 6, dtype=np.uint64), len(ids)), np.repeat(np.arange(len(ids)), 5)
+        return recompression._requests(keys, np.zeros(len(keys), np.uint32), doc, np.array(ids), np.array(prints), 1, smaller)
+
+    found = pd.DataFrame(sent([5, 5, 5], [70, 80, 70]) + sent([3], [90]),
+                         columns=["bucket", "settled", "ids", "prints", "counts", "keys", "checks"])
+    assert sum(len(x) for x in found["keys"]) == 3 * 5 * 8  # the repeated row does not ask again
+    rows = recompression._by_document(recompression._answers(1, smaller)(found))
+    assert [(r.id, r.print) for r in rows.itertuples()] == ([] if smaller else [(3, 90)]) + [(5, 70), (5, 80)]
+    assert all(len(np.frombuffer(k, np.uint64)) == 5 for k in rows["keys"])
+
+
 def test_repeats_of_no_rows(none):
     assert recompression.remove_repeats(none).count() == 0
 
