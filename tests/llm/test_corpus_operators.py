@@ -248,6 +248,27 @@ def test_language_model_odd_rows(odd, none):
     assert hpyp.score_texts(none).count() == 0
 
 
+def test_language_model_asks_a_frequent_word_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join("hot" if rng.random() < 0.5 else f"w{rng.integers(0, 300)}" for _ in range(40))) for i in range(400)]
+    df = materialize(spark.createDataFrame(rows, "doc_id long, text string").repartition(40), "lm-test")
+    whole = sorted(map(tuple, hpyp.score_texts(df).collect()))
+    monkeypatch.setattr(hpyp, "ASKED", 1000)
+    sizes = []
+
+    def ask(buckets, parts):
+        run = real(buckets, parts)
+        sizes.append(df.select(F.col("doc_id").alias("id"), F.lit(False).alias("out"), F.col("text").alias("t")).mapInArrow(run, hpyp.ASK)
+                     .groupBy("bucket", "salt").agg(F.sum(F.length("docs") / 4).alias("n")).agg(F.max("n"), F.sum("n")).first())
+        return run
+
+    real = hpyp._ask
+    monkeypatch.setattr(hpyp, "_ask", ask)
+    dealt = sorted(map(tuple, hpyp.score_texts(df).collect()))
+    assert sizes[0][0] < sizes[0][1] / 5
+    assert [r[:-2] for r in dealt] == [r[:-2] for r in whole] and np.allclose([r[-2:] for r in dealt], [r[-2:] for r in whole], rtol=1e-9)
+
+
 # --- 3, 5, 6 classifiers
 
 def test_language_accuracy_and_odd_rows(docs, odd, none):
