@@ -4,8 +4,7 @@ A document is its token ids and then id 0. Within a partition, consecutive docum
 form blocks of bounded size. Whole sequences are cut off the front of a document; what
 is left over is placed in descending cost into the open sequences of its block, each
 time the one with the lowest estimated cost (``linear * n + quadratic * n**2`` summed
-over its pieces) that can still hold it, and cut only where none of the cheapest
-(``TRIES``) can. A block opens as many sequences as its tokens need, so its padding is
+over its pieces) that can still hold it, and cut only where none can. A block opens as many sequences as its tokens need, so its padding is
 less than one sequence.
 
 Partitions pack on their own: nothing is shuffled, a long document or a hot source
@@ -19,7 +18,6 @@ a null identifier is kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import heapq
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -38,7 +36,6 @@ END_ID = 0
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 BLOCK_TOKENS = 1 << 19
 CACHED_PIECES = 150_000
-TRIES = 8
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _MARK = "\x1f"
 
@@ -113,25 +110,19 @@ def pack_block(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int,
             rest.append((n % capacity, i, full * capacity))
     rest.sort(key=lambda r: (-r[0], r[1]))
     need = -(-sum(r[0] for r in rest) // capacity)
-    open_ = [(0.0, sequence + k, 0) for k in range(need)]
+    cost, used = np.zeros(need), np.zeros(need, np.int64)
     for n, i, start in rest:
-        passed = []
         while n:
-            cost, s, used = heapq.heappop(open_)
-            if used + n > capacity and open_ and len(passed) < TRIES:
-                passed.append((cost, s, used))
-                continue
-            if used + n > capacity and passed:  # none of the cheapest holds it whole: cut at the cheapest
-                heapq.heappush(open_, (cost, s, used))
-                cost, s, used = passed.pop(0)
-            take = min(n, capacity - used)
-            out.append((i, start, take, s, used))
-            n, start, used = n - take, start + take, used + take
-            if used < capacity:
-                heapq.heappush(open_, (cost + LINEAR * take + QUADRATIC * take * take, s, used))
-            for p in passed:
-                heapq.heappush(open_, p)
-            passed = []
+            room = capacity - used
+            fits = room >= n
+            if not fits.any():  # none holds it whole: cut at the cheapest
+                fits = room > 0
+            s = int(np.where(fits, cost, np.inf).argmin())
+            take = min(n, int(room[s]))
+            out.append((i, start, take, sequence + s, int(used[s])))
+            n, start = n - take, start + take
+            used[s] += take
+            cost[s] += LINEAR * take + QUADRATIC * take * take
     return out
 
 

@@ -444,6 +444,22 @@ def test_packing_round_trip(docs, odd, none):
     assert packing.pack_documents(none, tokenizer_path()).count() == 0
 
 
+def test_packing_cuts_only_what_no_open_sequence_holds():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        lengths = [int(n) for n in rng.integers(1, 101, 400)]
+        used, left = collections.Counter(), dict(enumerate(lengths))
+        pieces = packing.pack_block(lengths, 100)
+        sequences = {s for *_, s, _ in pieces}
+        for i, start, n, s, offset in pieces:
+            assert used[s] == offset and start == lengths[i] - left[i]
+            if n < left[i]:
+                assert all(used[x] + left[i] > 100 for x in sequences)
+            used[s] += n
+            left[i] -= n
+        assert not any(left.values()) and max(used.values()) <= 100
+
+
 def test_pieces_are_tokenised_as_the_whole_text():
     texts = ["a b", " a", "a  b", "a\nb", "a \nb", "a\tb c", "don't stop", "x<|endoftext|>y z", "\x1f a b", "été 世界 ok no", "", "1 2\n\n3"]
     plain, fast = (packing.PieceTokenizer(tokenizer_path(), r) for r in (None, tokenizer_path("byte_bpe_50k.tiktoken")))
