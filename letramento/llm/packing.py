@@ -18,8 +18,8 @@ a null identifier is kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,31 +35,26 @@ END_ID = 0
 #: Relative cost of the parts of a transformer layer that grow with n and with n**2.
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 BLOCK_TOKENS = 1 << 19
-CACHED_PIECES = 150_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-_MARK = "\x1f"
+_LONG_SPACE = re.compile(r"\s{256}")
 
 
-class PieceTokenizer:
-    """Token ids of whole texts, remembering the ids of frequent pieces.
+class TextTokenizer:
+    """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    Byte-level BPE first cuts a text with a pattern under which a word with its one
-    leading space, or one line break between words, never merges with what follows.
-    Texts whose white space is of that kind are cut at those places and the pieces
-    looked up; other texts, and texts with a special token, go to the tokenizer whole. With
-    ``ranks_path`` the same vocabulary in tiktoken's form supplies the ids of new pieces. ``encode_many`` returns the ids
-    as little-endian unsigned 32-bit bytes.
+    With ``ranks_path`` the same vocabulary in tiktoken's form encodes whole texts. A
+    text with a special token, or with a run of white space so long that tiktoken's
+    pattern matcher would exhaust its stack, goes to the tokenizers file instead, and so
+    does every text without ``ranks_path`` or where the two disagree on a probe.
     """
 
     def __init__(self, path: str, ranks_path: str | None = None):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
         self.fast = self._ranked(ranks_path) if ranks_path else None
 
     def _ranked(self, ranks_path: str):
-        """The same vocabulary in tiktoken, which tokenises single pieces faster; None unless both agree on a probe."""
         import public_tokenizers
         import tiktoken
         with open(ranks_path, "rb") as f:
@@ -68,35 +63,10 @@ class PieceTokenizer:
         probe = "Ünïcode words, don't 12345 \u4e16\u754c ### MiXed|Case\tand  spaces\n\n" + "".join(map(chr, range(32, 1024)))
         return fast if fast.encode_ordinary(probe) == self.tokenizer.encode(probe, add_special_tokens=False).ids else None
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
-        if self.fast is None:
-            return self._ids(pieces)
-        one = self.fast.encode_ordinary
-        return [array("I", one(p)).tobytes() for p in pieces]
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Parts of ``text`` that can be tokenised each on its own."""
-        if _MARK in text or " ".join(text.split()) != text.replace("\n", " "):
-            return [text]
-        return text.replace(" ", _MARK + " ").replace("\n", f"{_MARK}\n{_MARK}").split(_MARK)
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        cut = [[t] if any(x in t for x in self.special) else self.pieces(t) for t in texts]
-        whole = [i for i, p in enumerate(cut) if len(p) == 1]
-        missing = list({p for c in cut if len(c) > 1 for p in c if p not in self.known})
-        self.known.update(zip(missing, self._piece_ids(missing)))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, c)) if len(c) > 1 else b"" for c in cut]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
-            out[i] = ids
-        if len(self.known) > CACHED_PIECES:  # full: the pieces met first, the frequent ones, stay
-            for p in missing:
-                del self.known[p]
-        return out
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or _LONG_SPACE.search(text) or any(x in text for x in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
 
 
 def pack_block(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -128,14 +98,13 @@ def pack_block(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int,
 
 def _pack(path: str, ranks_path: str | None, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, base = PieceTokenizer(path, ranks_path), TaskContext.get().partitionId() << 33
+        tokenizer, base = TextTokenizer(path, ranks_path), TaskContext.get().partitionId() << 33
         end = np.array([END_ID], "<u4").tobytes()
 
         def encoded():
             for b in batches:
-                texts = [t or "" for t in column(b, "t")]
-                for i, ids in zip(column(b, "id"), tokenizer.encode_many(texts)):
-                    yield i, ids + end
+                for i, t in zip(column(b, "id"), column(b, "t")):
+                    yield i, tokenizer.encode(t or "") + end
 
         for block in blocks(encoded(), lambda d: len(d[1]) // 4, BLOCK_TOKENS):
             lengths = [len(ids) // 4 for _, ids in block]
