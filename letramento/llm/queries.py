@@ -11,6 +11,7 @@ from letramento.llm.common import read_table
 from letramento.llm.exact_dedup import content_sort_dedup
 from letramento.llm.hpyp import score_texts
 from letramento.llm.language import identify_languages
+from letramento.llm.merkle import verify_manifest
 from letramento.llm.mixing import mix_sources
 from letramento.llm.neighbours import nearest
 from letramento.llm.packing import pack_documents
@@ -67,15 +68,79 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of ``documents``, checked against texts that lost their line breaks where CRC-32 of the id is even."""
+    text = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return verify_manifest(read_table(spark, sf_dir, "documents"), {"text": text}, hit & (text != F.col("text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_language_model, op3_language, op4_substring_dedup, op5_toxicity, op6_quality, op7_neighbours,
-              op8_mix, op9_packing, op10_exact_dedup)
+              op8_mix, op9_packing, op10_exact_dedup, op13_manifest)
 }
 
+#: CRC-32 in SQL: the table of the reflected polynomial, by its rule, and the register over the bytes of a text.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a text, where ``crc`` is in scope."""
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(octet_length(encode({text}))),
+            lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    part = "coalesce(CAST(octet_length(encode({0})) AS VARCHAR) || ':' || {0}, '-')"
+    return "sha256(" + " || ".join(part.format(x) for x in (
+        "CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+
+
 SQL: dict[str, str] = {
     "op10_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM n WINDOW g AS (PARTITION BY norm)""",
+    "op13_manifest": rf"""
+        WITH RECURSIVE {CRC_TABLE},
+        rows AS (SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf("replace(text, chr(10), '')")} AS other,
+                        {crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0 AS hit FROM documents, crc),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+                          count(*) OVER (PARTITION BY source) AS n FROM rows),
+        lv AS (SELECT source, 0 AS lvl, r AS idx, leaf AS digest, n FROM ranked
+               UNION ALL
+               SELECT source, lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+               FROM lv WHERE n > 1 GROUP BY source, lvl, n, idx // 3),
+        sub AS (SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r,
+                       count(*) OVER () AS n FROM lv WHERE n = 1),
+        tv AS (SELECT 0 AS lvl, r AS idx, subroot AS digest, n FROM sub
+               UNION ALL
+               SELECT lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+               FROM tv WHERE n > 1 GROUP BY lvl, n, idx // 3),
+        step AS (SELECT d.source, d.r, a.lvl AS ord, coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx < a.idx), '') AS before,
+                        coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx > a.idx), '') AS after
+                 FROM ranked d JOIN lv a ON a.source IS NOT DISTINCT FROM d.source AND a.idx = d.r // CAST(3 ** a.lvl AS BIGINT) AND a.n > 1
+                 JOIN lv s ON s.source IS NOT DISTINCT FROM a.source AND s.lvl = a.lvl AND s.idx // 3 = a.idx // 3
+                 GROUP BY ALL
+                 UNION ALL
+                 SELECT d.source, d.r, 100 + a.lvl, coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx < a.idx), ''),
+                        coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx > a.idx), '')
+                 FROM ranked d JOIN sub b ON b.source IS NOT DISTINCT FROM d.source
+                 JOIN tv a ON a.idx = b.r // CAST(3 ** a.lvl AS BIGINT) AND a.n > 1
+                 JOIN tv s ON s.lvl = a.lvl AND s.idx // 3 = a.idx // 3 GROUP BY d.source, d.r, a.lvl, a.idx),
+        steps AS (SELECT *, row_number() OVER (PARTITION BY source, r ORDER BY ord) AS k FROM step),
+        folded AS (SELECT source, r, 0 AS k, CASE WHEN hit THEN other ELSE leaf END AS cur FROM ranked
+                   UNION ALL
+                   SELECT f.source, f.r, f.k + 1, sha256(s.before || f.cur || s.after)
+                   FROM folded f JOIN steps s ON s.source IS NOT DISTINCT FROM f.source AND s.r = f.r AND s.k = f.k + 1),
+        ends AS (SELECT source, r, max_by(cur, k) AS folded_root FROM folded GROUP BY ALL),
+        proofs AS (SELECT source, r, sha256(string_agg(before || after, '' ORDER BY k)) AS proof FROM steps GROUP BY ALL)
+        SELECT d.doc_id, d.leaf, b.subroot, t.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256, e.folded_root,
+               e.folded_root = t.digest AS verified
+        FROM ranked d JOIN sub b ON b.source IS NOT DISTINCT FROM d.source JOIN tv t ON t.n = 1
+        JOIN ends e ON e.source IS NOT DISTINCT FROM d.source AND e.r = d.r
+        LEFT JOIN proofs p ON p.source IS NOT DISTINCT FROM d.source AND p.r = d.r""",
 }
