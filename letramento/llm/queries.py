@@ -17,6 +17,7 @@ from letramento.llm.neighbours import nearest
 from letramento.llm.packing import pack_documents
 from letramento.llm.quality import classify_quality
 from letramento.llm.recompression import remove_repeats
+from letramento.llm.resampling import resample
 from letramento.llm.simhash import simhash_components
 from letramento.llm.toxicity import score_toxicity
 
@@ -68,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), with_rows=False)
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of ``documents``, checked against texts that lost their line breaks where CRC-32 of the id is even."""
     text = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
@@ -77,7 +82,7 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_language_model, op3_language, op4_substring_dedup, op5_toxicity, op6_quality, op7_neighbours,
-              op8_mix, op9_packing, op10_exact_dedup, op13_manifest)
+              op8_mix, op9_packing, op10_exact_dedup, op11_resampling, op13_manifest)
 }
 
 #: CRC-32 in SQL: the table of the reflected polynomial, by its rule, and the register over the bytes of a text.
@@ -104,6 +109,23 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM n WINDOW g AS (PARTITION BY norm)""",
+    "op11_resampling": rf"""
+        WITH {CRC_TABLE},
+        texts AS (SELECT doc_id AS id, text, false AS aim FROM documents UNION ALL SELECT item_id, text, true FROM benchmark),
+        lowered AS (SELECT id, aim, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM texts),
+        found AS (SELECT id, aim, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM lowered),
+        used AS (SELECT id, aim, w, count(*) AS c FROM found GROUP BY ALL),
+        known AS (SELECT w, {crc32_sql("w")} % 10000 AS bucket FROM (SELECT DISTINCT w FROM used), crc),
+        counts AS (SELECT bucket, coalesce(sum(c) FILTER (aim), 0)::DOUBLE AS t, coalesce(sum(c) FILTER (NOT aim), 0)::DOUBLE AS s
+                   FROM used JOIN known USING (w) GROUP BY bucket),
+        gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM counts),
+        weights AS (SELECT id, sum(c)::BIGINT AS n, sum(c * gain)::BIGINT AS weight
+                    FROM used JOIN known USING (w) JOIN gains USING (bucket) WHERE NOT aim GROUP BY id),
+        scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                       (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+                   FROM documents LEFT JOIN weights ON id = doc_id),
+        ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * n // 100 THEN k END AS rank FROM scored LEFT JOIN ranked USING (doc_id)""",
     "op13_manifest": rf"""
         WITH RECURSIVE {CRC_TABLE},
         rows AS (SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf("replace(text, chr(10), '')")} AS other,
