@@ -18,6 +18,7 @@ from letramento.llm.packing import pack_documents
 from letramento.llm.quality import classify_quality
 from letramento.llm.recompression import remove_repeats
 from letramento.llm.resampling import resample
+from letramento.llm.secrets import ALPHABET, ASSIGN, MARGIN, SAMPLE, find_secrets, labelled_tokens, secret_digests
 from letramento.llm.simhash import simhash_components
 from letramento.llm.toxicity import score_toxicity
 
@@ -73,6 +74,11 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), with_rows=False)
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return secret_digests(find_secrets(docs, labelled_tokens(docs)))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of ``documents``, checked against texts that lost their line breaks where CRC-32 of the id is even."""
     text = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
@@ -82,7 +88,7 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_language_model, op3_language, op4_substring_dedup, op5_toxicity, op6_quality, op7_neighbours,
-              op8_mix, op9_packing, op10_exact_dedup, op11_resampling, op13_manifest)
+              op8_mix, op9_packing, op10_exact_dedup, op11_resampling, op12_secrets, op13_manifest)
 }
 
 #: CRC-32 in SQL: the table of the reflected polynomial, by its rule, and the register over the bytes of a text.
@@ -103,6 +109,15 @@ def _leaf(text: str) -> str:
         "CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
 
 
+def _matches(kind: int, pattern: str, value: int = 0) -> str:
+    """Matches of a pattern: document, kind, start, end (code points) and the value's text."""
+    sql = "'" + pattern.replace("'", "''") + "'"
+    return f"""SELECT row, kind, i AS k, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS b,
+            length(f[i]) AS len, v[i] AS value
+        FROM (SELECT row, {kind} AS kind, string_split_regex(t, {sql}) AS g, regexp_extract_all(t, {sql}) AS f, regexp_extract_all(t, {sql}, {value}) AS v FROM texts),
+             unnest(range(1, len(f) + 1)) AS u(i)"""
+
+
 SQL: dict[str, str] = {
     "op10_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
@@ -126,6 +141,36 @@ SQL: dict[str, str] = {
                    FROM documents LEFT JOIN weights ON id = doc_id),
         ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
         SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * n // 100 THEN k END AS rank FROM scored LEFT JOIN ranked USING (doc_id)""",
+    "op12_secrets": rf"""
+        WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+        base AS (SELECT * FROM ({_matches(0, ASSIGN, 2)}) WHERE length(value) >= 8
+                 UNION ALL SELECT * FROM ({_matches(1, "AKIA[A-Z0-9]+")}) WHERE len >= 16
+                 UNION ALL SELECT * FROM ({_matches(2, "[0-9a-f]{32,}")})),
+        known AS (SELECT token, max(random) AS random FROM (
+                      SELECT unnest(regexp_extract_all(t, '[A-Za-z0-9+/_-]{{8,}}')) AS token, 0 AS random FROM texts
+                      UNION ALL SELECT unnest(regexp_extract_all(value, '[A-Za-z0-9+/_-]{{8,}}')), 1 FROM base) GROUP BY token),
+        plain AS (SELECT token FROM known WHERE random = 0 ORDER BY md5(token), token LIMIT {SAMPLE}),
+        found AS (SELECT token FROM known WHERE random = 1 ORDER BY md5(token), token LIMIT {SAMPLE}),
+        samples AS (SELECT token, 0 AS random FROM plain UNION ALL SELECT token, 1 FROM found
+                    UNION ALL SELECT unnest([substr(base64(unhex(sha256(token))), 1, 32), substr(sha256(token), 1, 16), upper(substr(sha256(token), 17, 16))]), 1 FROM plain),
+        pairs AS (SELECT random, CASE WHEN i > 1 THEN substr(token, i - 1, 1) ELSE '' END AS a, substr(token, i, 1) AS b
+                  FROM (SELECT token, random, unnest(range(1, length(token) + 1)) AS i FROM samples)),
+        counts AS (SELECT a, b, count(*) FILTER (random = 1) AS r, count(*) FILTER (random = 0) AS o FROM pairs GROUP BY ALL),
+        froms AS (SELECT a, sum(r)::DOUBLE AS r, sum(o)::DOUBLE AS o FROM counts GROUP BY a),
+        chars AS (SELECT unnest(string_split('{ALPHABET}', '')) AS c),
+        ratios AS (SELECT x.a, y.c AS b, floor(1000 * ln((coalesce(n.r, 0) + 1) * (coalesce(f.o, 0) + {len(ALPHABET)})
+                          / ((coalesce(n.o, 0) + 1) * (coalesce(f.r, 0) + {len(ALPHABET)}))))::BIGINT AS ratio
+                   FROM (SELECT c AS a FROM chars UNION ALL SELECT '') x, chars y LEFT JOIN counts n ON n.a = x.a AND n.b = y.c LEFT JOIN froms f ON f.a = x.a),
+        long AS ({_matches(3, "[A-Za-z0-9+/_-]{20,}")}),
+        scored AS (SELECT row, kind, k, b, len, value, sum(ratio) AS ratio FROM (
+                       SELECT *, CASE WHEN i > 1 THEN substr(value, i - 1, 1) ELSE '' END AS x, substr(value, i, 1) AS y
+                       FROM (SELECT *, unnest(range(1, len + 1)) AS i FROM long)) JOIN ratios r ON r.a = x AND r.b = y GROUP BY ALL),
+        spans AS (SELECT row, kind, b, len FROM base UNION ALL SELECT row, kind, b, len FROM scored WHERE ratio >= {MARGIN}),
+        named AS (SELECT *, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || CAST(b AS BIGINT) || ':' || CAST(b + len AS BIGINT) AS span FROM spans),
+        each AS (SELECT row, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS c, count(*) FILTER (kind = 2) AS h, count(*) FILTER (kind = 3) AS m,
+                        coalesce(string_agg(span, ',' ORDER BY b, kind) FILTER (kind < 3), '') AS own, string_agg(span, ',' ORDER BY b, kind) AS every FROM named GROUP BY row)
+        SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, coalesce(m, 0) AS n_random,
+               sha256(coalesce(own, '')) AS base_sha256, coalesce(every, '') AS spans FROM texts LEFT JOIN each USING (row)""",
     "op13_manifest": rf"""
         WITH RECURSIVE {CRC_TABLE},
         rows AS (SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf("replace(text, chr(10), '')")} AS other,
