@@ -162,9 +162,9 @@ SQL: dict[str, str] = {
                           / ((coalesce(n.o, 0) + 1) * (coalesce(f.r, 0) + {len(ALPHABET)}))))::BIGINT AS ratio
                    FROM (SELECT c AS a FROM chars UNION ALL SELECT '') x, chars y LEFT JOIN counts n ON n.a = x.a AND n.b = y.c LEFT JOIN froms f ON f.a = x.a),
         long AS ({_matches(3, "[A-Za-z0-9+/_-]{20,}")}),
-        scored AS (SELECT row, kind, k, b, len, value, sum(ratio) AS ratio FROM (
+        scored AS (SELECT q.row, q.kind, q.k, q.b, q.len, sum(r.ratio) AS ratio FROM (
                        SELECT *, CASE WHEN i > 1 THEN substr(value, i - 1, 1) ELSE '' END AS x, substr(value, i, 1) AS y
-                       FROM (SELECT *, unnest(range(1, len + 1)) AS i FROM long)) JOIN ratios r ON r.a = x AND r.b = y GROUP BY ALL),
+                       FROM (SELECT *, unnest(range(1, len + 1)) AS i FROM long)) q JOIN ratios r ON r.a = q.x AND r.b = q.y GROUP BY ALL),
         spans AS (SELECT row, kind, b, len FROM base UNION ALL SELECT row, kind, b, len FROM scored WHERE ratio >= {MARGIN}),
         named AS (SELECT *, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || CAST(b AS BIGINT) || ':' || CAST(b + len AS BIGINT) AS span FROM spans),
         each AS (SELECT row, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS c, count(*) FILTER (kind = 2) AS h, count(*) FILTER (kind = 3) AS m,
