@@ -18,7 +18,7 @@ from letramento.llm.packing import pack_documents
 from letramento.llm.quality import classify_quality
 from letramento.llm.recompression import remove_repeats
 from letramento.llm.resampling import resample
-from letramento.llm.secrets import ALPHABET, ASSIGN, MARGIN, SAMPLE, find_secrets, labelled_tokens, secret_digests
+from letramento.llm.secrets import ALPHABET, ASSIGN, MARGIN, find_secrets, labelled_tokens, secret_digests
 from letramento.llm.simhash import simhash_components
 from letramento.llm.toxicity import score_toxicity
 
@@ -149,8 +149,8 @@ SQL: dict[str, str] = {
         known AS (SELECT token, max(random) AS random FROM (
                       SELECT unnest(regexp_extract_all(t, '[A-Za-z0-9+/_-]{{8,}}')) AS token, 0 AS random FROM texts
                       UNION ALL SELECT unnest(regexp_extract_all(value, '[A-Za-z0-9+/_-]{{8,}}')), 1 FROM base) GROUP BY token),
-        plain AS (SELECT token FROM known WHERE random = 0 ORDER BY md5(token), token LIMIT {SAMPLE}),
-        found AS (SELECT token FROM known WHERE random = 1 ORDER BY md5(token), token LIMIT {SAMPLE}),
+        plain AS (SELECT token FROM known WHERE random = 0),
+        found AS (SELECT token FROM known WHERE random = 1),
         samples AS (SELECT token, 0 AS random FROM plain UNION ALL SELECT token, 1 FROM found
                     UNION ALL SELECT unnest([substr(base64(unhex(sha256(token))), 1, 32), substr(sha256(token), 1, 16), upper(substr(sha256(token), 17, 16))]), 1 FROM plain),
         pairs AS (SELECT random, CASE WHEN i > 1 THEN substr(token, i - 1, 1) ELSE '' END AS a, substr(token, i, 1) AS b

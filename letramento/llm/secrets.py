@@ -8,8 +8,8 @@ first-order Markov model of random strings beats one of ordinary identifiers by
 The models learn from labelled samples (token, random). ``labelled_tokens`` makes them
 from a table of texts: its distinct tokens are ordinary, unless they are a value that a
 pattern found somewhere; for each ordinary token a random string is made from its
-SHA-256, in base 64 and in upper and lower hex. Of either label at most ``SAMPLE`` tokens
-fit, those with the smallest MD5. All texts are searched, whole.
+SHA-256, in base 64 and in upper and lower hex. All distinct tokens are learnt from, as
+counts of character pairs, and all texts are searched, whole.
 
 Only DataFrame functions: where a pattern matches, the parts between matches and the
 matches themselves give the places, by prefix sums over blocks of the square root of
@@ -41,8 +41,6 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 SHORT, LONG = 8, 20
 #: Log-likelihood ratio, in thousandths of a nat, from which a candidate is a secret.
 MARGIN = 10_000
-#: Tokens of either label that fit the models, at most.
-SAMPLE = 20_000
 
 
 def any_case(pattern: str) -> str:
@@ -112,8 +110,8 @@ def ratio_table(samples: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
 
-def labelled_tokens(docs: DataFrame, text_col: str = "text", most: int = SAMPLE) -> DataFrame:
-    """(token, random): at most ``most`` tokens of either label."""
+def labelled_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(token, random): all distinct tokens of a table, and the random strings made from the ordinary ones."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     every = lambda pattern, group=0: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     values = F.concat(F.filter(every(ASSIGN, 2), lambda v: F.length(v) >= LEAST_VALUE), every(f"{ACCESS[:-1]}{{{LEAST_ACCESS - 4},}}"),
@@ -122,12 +120,11 @@ def labelled_tokens(docs: DataFrame, text_col: str = "text", most: int = SAMPLE)
     tokens = docs.select(F.concat(F.transform(every(_run(SHORT)), lambda t: F.struct(t.alias("token"), F.lit(False).alias("random"))),
                                   F.transform(parts, lambda t: F.struct(t.alias("token"), F.lit(True).alias("random")))).alias("s")) \
         .select(F.inline("s")).groupBy("token").agg(F.max("random").alias("random"))
-    ordinary = tokens.where("not random").orderBy(F.md5("token"), "token").limit(most)
-    found = tokens.where("random").orderBy(F.md5("token"), "token").limit(most)
     sha = F.sha2("token", 256)
-    made = ordinary.select(F.explode(F.array(F.substring(F.base64(F.unhex(sha)), 1, 32), F.substring(sha, 1, 16),
-                                             F.upper(F.substring(sha, 17, 16)))).alias("token"), F.lit(True).alias("random"))
-    return ordinary.unionByName(found).unionByName(made)
+    labelled = lambda token, random: F.struct(token.alias("token"), F.lit(random).alias("random"))
+    made = [F.substring(F.base64(F.unhex(sha)), 1, 32), F.substring(sha, 1, 16), F.upper(F.substring(sha, 17, 16))]
+    return tokens.select(F.inline(F.when(F.col("random"), F.array(labelled(F.col("token"), True))).otherwise(
+        F.array(labelled(F.col("token"), False), *[labelled(m, True) for m in made]))))
 
 
 def find_secrets(docs: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: int = MARGIN) -> DataFrame:

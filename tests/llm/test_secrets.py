@@ -43,12 +43,11 @@ def all_spans(text, ratio, margin=secrets.MARGIN):
     return sorted(base_spans(text) + extra)
 
 
-def brute_samples(texts, most):
+def brute_samples(texts):
     values = {p for t in texts for a, k, b in base_spans(t) for p in TOKEN.findall(PATTERNS[0][1].match(t[a:b])[2] if k == 0 else t[a:b]) if len(p) >= 8}
     plain = {x for t in texts for x in TOKEN.findall(t or "") if len(x) >= 8} - values
-    first = lambda s: sorted(s, key=lambda x: (hashlib.md5(x.encode()).hexdigest(), x))[:most]
-    out = [(x, True) for x in first(values)]
-    for x in first(plain):
+    out = [(x, True) for x in values]
+    for x in plain:
         sha = hashlib.sha256(x.encode())
         out += [(x, False), (base64.b64encode(sha.digest()).decode()[:32], True), (sha.hexdigest()[:16], True), (sha.hexdigest()[16:32].upper(), True)]
     return out
@@ -57,8 +56,8 @@ def brute_samples(texts, most):
 def test_spans_equal_brute_force(spark):
     docs = read_table(spark, "/root/testdata/sf0.001", "documents")
     texts = [r.text for r in docs.collect()]
-    samples = secrets.labelled_tokens(docs, most=300)
-    want = brute_samples(texts, 300)
+    samples = secrets.labelled_tokens(docs)
+    want = brute_samples(texts)
     assert sorted((r.token, r.random) for r in samples.collect()) == sorted(want)
     ratio = model(want)
     found = secrets.find_secrets(docs, samples).join(docs, "doc_id").collect()
