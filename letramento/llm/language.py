@@ -3,7 +3,8 @@
 Two texts are alike by the n-grams (1 to 3 letters, blended) that both contain, however
 often: k(x, y) = |G(x) & G(y)| / sqrt(|G(x)| |G(y)|). The n-grams are those of the
 landmarks, texts of the learning fold spread over the languages. One-versus-rest kernel
-ridge regression in the Nystroem form is fitted on a bounded sample (``FIT_TEXTS``); all
+ridge regression in the Nystroem form is fitted on a bounded sample (``FIT_TEXTS`` identifiers,
+one text each, dealt to the languages in turn); all
 texts are scored whole, in batches, by one matrix product with the landmarks and one
 with the weights. Only text is an input of a prediction.
 
@@ -21,9 +22,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from letramento.llm.common import as_bytes, short_batches
-from letramento.llm.labelled import held_out
+from letramento.llm.labelled import held_out, one_text_each
 
 FOLDS, FOLD_OUT = 4, 2
 LANDMARKS = 96
@@ -36,7 +38,8 @@ _CODE = np.array([b - 96 if 97 <= b <= 122 else b - 100 if b >= 128 else 0 for b
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    """Whether a character of a letter category is in the text (``\\w`` also holds numerals such as one half)."""
+    return text is not None and any(m[0].isalpha() for m in _LETTER.finditer(text))
 
 
 def grams(text: str | None) -> list[np.ndarray]:
@@ -92,32 +95,29 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     short_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("lang"))
     known = rows.where(F.col("lang").isNotNull() & ~held_out("id", FOLDS, FOLD_OUT) & F.col("t").rlike(r"\p{L}"))
-    picked = known.select("id", "lang").orderBy(F.xxhash64("id"), "id", "lang").limit(FIT_TEXTS).collect()
+    each = known.groupBy("id").agg(F.min("lang").alias("lang"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))  # languages take turns
+    picked = each.withColumn("turn", turn).where(F.col("turn") <= FIT_TEXTS).orderBy("turn", "lang").limit(FIT_TEXTS).collect()
     if not picked:
         return None
     languages = sorted({r.lang for r in picked})
-    turns, by_lang = [], {x: [r.id for r in picked if r.lang == x] for x in languages}
-    for k in range(max(map(len, by_lang.values()))):
-        turns += [ids[k] for ids in by_lang.values() if k < len(ids)]
-    landmark_ids = list(dict.fromkeys(turns))[:LANDMARKS]
     spark = docs.sparkSession
 
     @F.pandas_udf("array<long>")
     def distinct(t: pd.Series) -> pd.Series:
         return pd.Series([np.unique(np.concatenate(grams(x))).astype(np.int64) for x in t])
 
-    landmarks = rows.where(F.col("id").isin(landmark_ids)).select("id", "lang", distinct("t").alias("g")).collect()
-    model = KernelModel(languages, [np.array(r.g, np.int64) for r in sorted(landmarks, key=lambda r: (r.id, r.lang or "", r.g))])
+    chosen = spark.createDataFrame([(r.id, r.lang, k < LANDMARKS) for k, r in enumerate(picked)], "id long, lang string, landmark boolean")
+    sample = one_text_each(known, chosen)  # one text for each of at most FIT_TEXTS identifiers
+    landmarks = sample.where("landmark").select("id", distinct("t").alias("g")).collect()
+    model = KernelModel(languages, [np.array(r.g, np.int64) for r in sorted(landmarks, key=lambda r: r.id)])
 
     @F.pandas_udf("array<double>")
     def kernel(t: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in t:
             yield pd.Series(list(model.kernel(x.tolist()).astype(float)))
 
-    ids = spark.createDataFrame([(r.id,) for r in picked], "picked long").distinct()
-    fit = rows.join(F.broadcast(ids), F.col("id") == F.col("picked")).where("lang is not null") \
-        .select("id", "lang", kernel("t").alias("k")).collect()  # at most FIT_TEXTS identifiers, LANDMARKS numbers each
-    fit.sort(key=lambda r: (r.id, r.lang, r.k))
+    fit = sorted(sample.select("id", "lang", kernel("t").alias("k")).collect(), key=lambda r: r.id)  # LANDMARKS numbers each
     return model.fit(np.array([r.k for r in fit]), [r.lang for r in fit])
 
 
