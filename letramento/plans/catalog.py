@@ -20,6 +20,7 @@ from ..operators import clean as C
 from ..operators import quality as Q
 from ..operators import windows as W
 from ..session import scratch_path
+from ..sources.io import read_layer
 from ..streaming import events as S
 from .extracts import envelopes
 from .pipeline import refresh_students, run_pipeline
@@ -405,7 +406,7 @@ def stream_refresh(spark: SparkSession, sf: str) -> DataFrame:
     for arrived in (events.where(early), events):
         envelopes(arrived).write.mode("append").json(f"{root}/inbox")
         refresh_students(spark, f"{root}/inbox", root, BATCH_DAY)
-    return spark.read.parquet(f"{root}/gold/indicadores_alunos").drop(*CLOCK_COLUMNS)
+    return read_layer(spark, f"{root}/gold", "indicadores_alunos").drop(*CLOCK_COLUMNS)
 
 
 # --- B1-B2, V1-V6, G1-G9 on extracts of the shared tables ------------------------------------------
@@ -418,14 +419,14 @@ GOLD_TABLES = ["panorama_alfabetizacao", "evolucao_proficiencia", "ranking_munic
 def _gold_reader(table: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         root = run_pipeline(spark, sf)
-        return spark.read.parquet(f"{root}/gold/{table}").drop(*CLOCK_COLUMNS)
+        return read_layer(spark, f"{root}/gold", table).drop(*CLOCK_COLUMNS)
     query.__name__ = f"gold_{table}"
     return query
 
 
 def roundtrip_layers(spark: SparkSession, sf: str) -> DataFrame:
     root = run_pipeline(spark, sf)
-    return spark.read.parquet(f"{root}/silver/Meta_uf").drop(*CLOCK_COLUMNS)
+    return read_layer(spark, f"{root}/silver", "Meta_uf").drop(*CLOCK_COLUMNS)
 
 
 def silver_quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import schemas
+from .versions import Version, current_version, publish, read_version
 
 _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -32,9 +33,16 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType, sep: str =
 
 
 def read_layer(spark: SparkSession, root: str, table: str, schema: StructType | None = None) -> DataFrame:
-    """S3: a partitioned Parquet table; partition folders become columns."""
+    """S3: a partitioned Parquet table; partition folders become columns.
+
+    A table with commits (``write_layer``) is read as of its last one, any other folder as it is.
+    """
+    path = f"{root.rstrip('/')}/{table}".rstrip("/")
+    version = current_version(spark, path)
+    if version is not None:
+        return read_version(spark, path, version, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{root.rstrip('/')}/{table}")
+    return reader.parquet(path)
 
 
 def read_optional(spark: SparkSession, root: str, table: str, schema: StructType | None = None) -> DataFrame | None:
@@ -47,12 +55,6 @@ def read_optional(spark: SparkSession, root: str, table: str, schema: StructType
         raise
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of any Hadoop file system, if it exists."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def folder_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
@@ -80,24 +82,28 @@ def read_students(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None
     return out
 
 
-def write_layer(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite", rebalance: bool = True, replace: Sequence | None = None) -> str:
-    """K1: write a Parquet table partitioned by 0..n columns; returns its path.
+def write_layer(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = (), mode: str = "overwrite", rebalance: bool = True,
+                replace: Sequence | None = None, base: Version | None = None, notes=None) -> str:
+    """K1: write a Parquet table partitioned by 0..n columns as its next version; returns its path.
 
     With ``rebalance`` the rows are first rebalanced on the partition columns: adaptive
     execution sizes the write tasks and splits a skewed partition value over several
     tasks, so each folder gets a few well-sized files instead of one file per task
     per folder, and one large year never lands in a single writer. Overwrite replaces
-    the whole table. With ``replace``, values of the first partition column, it replaces
-    those partitions only: a listed value without rows in ``df`` ends up without rows.
+    the whole table. With ``replace``, values of the first partition column (or tuples of
+    values of the first ones), it replaces those partitions only: a listed value without
+    rows in ``df`` ends up without rows. Readers see the old rows until the new ones are
+    complete, and go on seeing them if the write fails (``versions.publish``).
     """
     path = f"{root.rstrip('/')}/{table}"
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "static" if replace is None else "dynamic")
-    for value in replace or ():
-        remove_folder(df.sparkSession, f"{path}/{partition_by[0]}={value}")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    listed = None if replace is None else {tuple(map(str, v)) if isinstance(v, tuple) else (str(v),) for v in replace}
+    lengths = {len(v) for v in listed or ()}
+
+    def replaced(values: dict[str, str]) -> bool:
+        row = tuple(values[c] for c in partition_by)
+        return any(row[:n] in listed for n in lengths)
+
+    publish(df, path, partition_by, None if listed is None else replaced, mode == "append", base, notes)
     return path

@@ -7,7 +7,7 @@ from letramento.functions.numeric import percent, round_half_up
 from letramento.operators.clean import cast_columns
 from letramento.plans.gold import run_gold
 from letramento.sources import schemas
-from letramento.sources.io import read_raw_csv, write_layer
+from letramento.sources.io import read_layer, read_raw_csv, write_layer
 from letramento.streaming import events as S
 
 SF = "/root/testdata/sf0.001"
@@ -21,14 +21,14 @@ def test_overwrite_replaces_the_whole_table(spark, tmp_root):
     rows = spark.createDataFrame([(2023, "a"), (2024, "b")], "ano int, x string")
     path = write_layer(rows, tmp_root, "t", ["ano"])
     write_layer(rows.where("ano = 2023"), tmp_root, "t", ["ano"])
-    assert [tuple(r) for r in spark.read.parquet(path).select("ano", "x").collect()] == [(2023, "a")]
+    assert [tuple(r) for r in read_layer(spark, tmp_root, "t").select("ano", "x").collect()] == [(2023, "a")]
 
 
 def test_replace_touches_listed_partitions_only(spark, tmp_root):
     rows = spark.createDataFrame([(2022, "a"), (2023, "b"), (2024, "c")], "ano int, x string")
     path = write_layer(rows, tmp_root, "t", ["ano"])
     write_layer(spark.createDataFrame([(2023, "new")], rows.schema), tmp_root, "t", ["ano"], replace=[2023, 2024])
-    got = sorted(tuple(r) for r in spark.read.parquet(path).select("ano", "x").collect())
+    got = sorted(tuple(r) for r in read_layer(spark, tmp_root, "t").select("ano", "x").collect())
     assert got == [(2022, "a"), (2023, "new")]  # 2024 was asked for and has no rows any more
 
 
@@ -47,10 +47,10 @@ def test_redelivered_pupil_is_kept_once(spark, tmp_root):
     for day, score in (("2026-12-01", 700.0), ("2026-12-02", 800.0)):
         bronze(day, score).write.mode("append").partitionBy("estado", "data_ingestao").parquet(f"{tmp_root}/bronze/Ts_aluno_stream")
         run_silver_students(spark, f"{tmp_root}/bronze", f"{tmp_root}/silver", "2026-07-09")
-    silver = spark.read.parquet(f"{tmp_root}/silver/Ts_aluno")
+    silver = read_layer(spark, f"{tmp_root}/silver", "Ts_aluno")
     assert [r.vl_proficiencia_lp for r in silver.collect()] == [800.0]
     run_gold(spark, f"{tmp_root}/silver", f"{tmp_root}/gold", only={"indicadores_alunos"})
-    assert spark.read.parquet(f"{tmp_root}/gold/indicadores_alunos").first().total_alunos_avaliados == 1
+    assert read_layer(spark, f"{tmp_root}/gold", "indicadores_alunos").first().total_alunos_avaliados == 1
 
 
 def test_csv_columns_are_bound_by_name(spark, tmp_root):

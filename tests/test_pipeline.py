@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from letramento.plans.pipeline import run_pipeline
 from letramento.plans.validation import silver_checks
 from letramento.sources import schemas
-from letramento.sources.io import read_students
+from letramento.sources.io import read_layer, read_students
 
 SF = "/root/testdata/sf0.001"
 KEYS = {"panorama_alfabetizacao": ["ano", "granularidade", "codigo", "rede"],
@@ -24,7 +24,7 @@ def root(spark):
 
 def test_gold_tables_and_keys(spark, root):
     for table, keys in KEYS.items():
-        df = spark.read.parquet(f"{root}/gold/{table}")
+        df = read_layer(spark, f"{root}/gold", f"{table}")
         n = df.count()
         assert n > 0, table
         assert df.select(*keys).distinct().count() == n, table
@@ -32,9 +32,9 @@ def test_gold_tables_and_keys(spark, root):
 
 
 def test_gold_properties(spark, root):
-    r = spark.read.parquet(f"{root}/gold/ranking_municipios")
+    r = read_layer(spark, f"{root}/gold", "ranking_municipios")
     assert r.where((F.col("ranking") == 1) != (F.col("percentil") == 0)).count() == 0
-    p = spark.read.parquet(f"{root}/gold/panorama_alfabetizacao").where(F.col("gap_meta_2030").isNotNull())
+    p = read_layer(spark, f"{root}/gold", "panorama_alfabetizacao").where(F.col("gap_meta_2030").isNotNull())
     bad = p.where(F.abs(F.col("gap_meta_2030") + F.col("taxa_alfabetizacao") - F.col("meta_alfabetizacao_2030")) > 0.0051)
     assert bad.count() == 0
     assert set(p.select("granularidade").distinct().toPandas()["granularidade"]) == {"Brasil", "UF", "Municipio"}
@@ -47,7 +47,7 @@ def test_silver_rules_and_dedup(spark, root):
     assert res[("meta_uf vs avaliacao_uf", "sigla_uf consistente entre tabelas")] == "PASSOU"
     # the same pupils arrive by batch and by stream; silver keeps one row each
     bronze = read_students(spark, [f"{root}/bronze/Ts_aluno_batch", f"{root}/bronze/Ts_aluno_stream"])
-    silver = spark.read.parquet(f"{root}/silver/Ts_aluno")
+    silver = read_layer(spark, f"{root}/silver", "Ts_aluno")
     assert bronze.count() > silver.count() == silver.select("nu_ano_avaliacao", "id_aluno").distinct().count()
 
 
@@ -67,10 +67,10 @@ def test_refresh_students_after_new_events(spark, tmp_root):
     inbox = f"{tmp_root}/inbox"
     envelopes(events.where(F.col("event_type") == "view")).write.mode("append").json(inbox)
     refresh_students(spark, inbox, tmp_root)
-    first = spark.read.parquet(f"{tmp_root}/gold/indicadores_alunos").agg(F.sum("total_alunos_avaliados")).first()[0]
+    first = read_layer(spark, f"{tmp_root}/gold", "indicadores_alunos").agg(F.sum("total_alunos_avaliados")).first()[0]
     envelopes(events.where(F.col("event_type") == "click")).write.mode("append").json(inbox)
     written = refresh_students(spark, inbox, tmp_root)
-    second = spark.read.parquet(f"{tmp_root}/gold/indicadores_alunos").agg(F.sum("total_alunos_avaliados")).first()[0]
+    second = read_layer(spark, f"{tmp_root}/gold", "indicadores_alunos").agg(F.sum("total_alunos_avaliados")).first()[0]
     assert set(written) == {"indicadores_alunos", "indicadores_alunos_municipio"}
     assert 0 < first < second
 
@@ -79,7 +79,7 @@ def test_command_line_jobs(spark, root, tmp_root):
     from letramento.__main__ import main
     from letramento.streaming.events import health_report
     assert main(["gold", "--silver", f"{root}/silver", "--gold", f"{tmp_root}/gold"]) == 0
-    assert spark.read.parquet(f"{tmp_root}/gold/features_ml").count() > 0
+    assert read_layer(spark, f"{tmp_root}/gold", "features_ml").count() > 0
     assert main(["quality", "--silver", f"{root}/silver"]) == 0
     h = health_report(spark, f"{root}/bronze/Ts_aluno_stream").first()
     assert h.registros > h.rejeitados > 0 and 0 < h.taxa_erro < 0.05
@@ -89,27 +89,27 @@ def test_gold_refresh_of_one_year_prunes_and_keeps_other_years(spark, root, tmp_
     from letramento.plans.gold import build_gold, run_gold
     gold = f"{tmp_root}/gold-years"
     run_gold(spark, f"{root}/silver", gold)
-    before = {r.ano: r.n for r in spark.read.parquet(f"{gold}/features_ml").groupBy("ano")
+    before = {r.ano: r.n for r in read_layer(spark, gold, "features_ml").groupBy("ano")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = build_gold(spark, f"{root}/silver", years=[1998])["features_ml"]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ano" in plan and "1998" in plan
     run_gold(spark, f"{root}/silver", gold, years=[1998])
-    after = {r.ano: r.n for r in spark.read.parquet(f"{gold}/features_ml").groupBy("ano")
+    after = {r.ano: r.n for r in read_layer(spark, gold, "features_ml").groupBy("ano")
              .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert after == before and len(after) > 1
-    full = spark.read.parquet(f"{root}/gold/tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
-    part = spark.read.parquet(f"{gold}/tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
+    full = read_layer(spark, f"{root}/gold", "tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
+    part = read_layer(spark, gold, "tendencia_temporal").where("ano = 1998").drop("_timestamp_gold")
     assert full.count() > 0 and full.exceptAll(part).count() == 0 and part.exceptAll(full).count() == 0
 
 
 def test_silver_discard_audit(spark, root):
-    audit = {(r.tabela, r.motivo): r.registros for r in spark.read.parquet(f"{root}/silver/_auditoria").collect()}
+    audit = {(r.tabela, r.motivo): r.registros for r in read_layer(spark, f"{root}/silver", "_auditoria").collect()}
     for table in ["Meta_municipio", "Ts_aluno"]:
         read = audit[(table, "lidos")]
         parts = sum(v for (t, m), v in audit.items() if t == table and m != "lidos")
         assert read == parts, table
-        assert audit[(table, "gravados")] == spark.read.parquet(f"{root}/silver/{table}").count()
-    bronze = spark.read.parquet(f"{root}/bronze/Meta_municipio")
+        assert audit[(table, "gravados")] == read_layer(spark, f"{root}/silver", f"{table}").count()
+    bronze = read_layer(spark, f"{root}/bronze", "Meta_municipio")
     over = bronze.where(F.col("taxa_alfabetizacao").try_cast("double") > 100).count()
     assert audit[("Meta_municipio", "fora_do_intervalo")] == over
     assert audit[("Ts_aluno", "duplicata")] > 0                        # batch + stream redelivery
@@ -122,11 +122,11 @@ def test_command_line_layer_chain(spark, root, tmp_root):
     assert main(["bronze", "--raw", *raw, "--bronze", f"{tmp_root}/b"]) == 0
     assert main(["silver", "--bronze", f"{tmp_root}/b", "--silver", f"{tmp_root}/s"]) == 0
     assert main(["gold", "--silver", f"{tmp_root}/s", "--gold", f"{tmp_root}/g"]) == 0
-    audit = {r.tabela for r in spark.read.parquet(f"{tmp_root}/s/_auditoria").collect()}
+    audit = {r.tabela for r in read_layer(spark, f"{tmp_root}/s", "_auditoria").collect()}
     assert audit == {"Meta_brasil", "Meta_uf", "Avaliacao_uf", "Ts_aluno"}
     # tables whose inputs are missing are skipped, the others are built
-    assert spark.read.parquet(f"{tmp_root}/g/tendencia_temporal").count() > 0
-    assert spark.read.parquet(f"{tmp_root}/g/indicadores_alunos").count() > 0
+    assert read_layer(spark, f"{tmp_root}/g", "tendencia_temporal").count() > 0
+    assert read_layer(spark, f"{tmp_root}/g", "indicadores_alunos").count() > 0
 
 
 def test_critical_table_files_are_sorted_by_gap(spark, root):
@@ -134,7 +134,7 @@ def test_critical_table_files_are_sorted_by_gap(spark, root):
 
     import pyarrow.parquet as pq
     base = f"{root}/gold/municipios_criticos".replace("file:", "")
-    files = glob.glob(f"{base}/ano=*/*.parquet")
+    files = glob.glob(f"{base}/_data/*/ano=*/*.parquet")
     assert files
     for f in files:
         gaps = [g for g in pq.read_table(f, columns=["gap_meta_2030"]).column(0).to_pylist() if g is not None]
