@@ -15,6 +15,7 @@ from ..operators import aggregates as A
 from ..operators import clean as C
 from ..operators import windows as W
 from ..sources.io import read_optional, write_layer
+from ..sources.versions import commit_numbers, current_version, partition_values, read_commit
 from ..sources.schemas import LEVEL_COLUMNS, TARGET_COLUMNS
 from .concurrency import DEFAULT_WORKERS, run_all
 
@@ -157,13 +158,30 @@ def build_gold(spark: SparkSession, silver_root: str, years: Sequence[int] | Non
     return out
 
 
+STUDENT_GOLD = {"indicadores_alunos", "indicadores_alunos_municipio"}
+
+
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[str] | None = None,
-             years: Sequence[int] | None = None, workers: int = DEFAULT_WORKERS) -> list[str]:
+             years: Sequence[int] | None = None, workers: int = DEFAULT_WORKERS, built_from: int | None = None) -> list[str]:
     """Write the gold tables (all, or the names in ``only``), tables concurrently.
 
     With ``years``, only those year partitions are recomputed and replaced (a year that
     has no rows any more ends up empty); the other years of each table stay as they are.
+    The pupil tables' commits note up to which commit of silver ``Ts_aluno`` they hold
+    everything: the present one when all years are built, else ``built_from``, else as before.
     """
+    if years is None:
+        version = current_version(spark, f"{silver_root.rstrip('/')}/Ts_aluno")
+        built_from = version.number if version else None
+
+    def notes(name: str) -> dict:
+        if name not in STUDENT_GOLD:
+            return {}
+        if built_from is not None or years is None:
+            return {"silver": built_from}
+        last = current_version(spark, f"{gold_root.rstrip('/')}/{name}")
+        return last.notes if last else {}
+
     def write(name: str, df: DataFrame) -> str:
         parts = GOLD_PARTITIONS[name]
         if name == "municipios_criticos":
@@ -171,8 +189,36 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[st
             write_layer(W.sort_for_write(df, parts, [F.col("gap_meta_2030").desc()]), gold_root, name, parts,
                         rebalance=False, replace=years)
         else:
-            write_layer(df, gold_root, name, parts, replace=years)
+            write_layer(df, gold_root, name, parts, replace=years, notes=notes(name))
         return name
 
     tables = {n: df for n, df in build_gold(spark, silver_root, years).items() if only is None or n in only}
     return list(run_all({n: (lambda n=n, df=df: write(n, df)) for n, df in tables.items()}, workers).values())
+
+
+def stale_years(spark: SparkSession, silver_root: str, gold_root: str) -> tuple[list[int] | None, int | None]:
+    """Years whose silver pupils changed since the pupil gold tables were built (None: all), and silver's commit.
+
+    Found by comparing the two commits of silver, so a refresh that stopped between silver
+    and gold is made up for by the next one.
+    """
+    path = f"{silver_root.rstrip('/')}/Ts_aluno"
+    now = current_version(spark, path)
+    if now is None:
+        return [], None
+    known, years = set(commit_numbers(spark, path)), set()
+    for name in STUDENT_GOLD:
+        last = current_version(spark, f"{gold_root.rstrip('/')}/{name}")
+        done = last.notes.get("silver") if last else None
+        if done not in known:
+            return None, now.number
+        years |= {int(partition_values(f)["nu_ano_avaliacao"]) for f in now.changed_since(read_commit(spark, path, done))}
+    return sorted(years), now.number
+
+
+def refresh_gold_students(spark: SparkSession, silver_root: str, gold_root: str) -> list[str]:
+    """ST11: the pupil gold tables brought up to silver; only years that changed are read and replaced."""
+    years, number = stale_years(spark, silver_root, gold_root)
+    if years == []:
+        return []
+    return run_gold(spark, silver_root, gold_root, only=STUDENT_GOLD, years=years, built_from=number)

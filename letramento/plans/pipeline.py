@@ -16,8 +16,8 @@ from .bronze import STUDENT_STREAM_TABLE, run_bronze
 from .concurrency import run_all
 from .extracts import envelopes, raw_extracts
 from .testbed import read_table
-from .gold import run_gold
-from .silver import run_silver, run_silver_students
+from .gold import refresh_gold_students, run_gold
+from .silver import refresh_silver_students, run_silver
 
 BATCH_DAY = "2026-07-09"
 _RUNS: dict[tuple[str, str], str] = {}
@@ -62,13 +62,10 @@ def _run(spark: SparkSession, sf: str, with_stream: bool) -> str:
     return root
 
 
-STUDENT_GOLD = {"indicadores_alunos", "indicadores_alunos_municipio"}
-
-
 def refresh_students(spark: SparkSession, inbox: str, root: str, batch_day: str = BATCH_DAY, **options) -> list[str]:
-    """ST11: ingest what has arrived (``availableNow``), then recompute the pupil silver
-    table and the two pupil gold tables; the indicator tables are left as they are."""
+    """ST11: ingest what has arrived (``availableNow``), merge it into the silver folders it touches, and rebuild
+    the changed years of the two pupil gold tables; returns the tables written. The indicator tables are left as they are."""
     bronze = f"{root}/bronze"
     ingest_stream(spark, inbox, bronze, **options)
-    run_silver_students(spark, bronze, f"{root}/silver", batch_day)
-    return run_gold(spark, f"{root}/silver", f"{root}/gold", only=STUDENT_GOLD)
+    refresh_silver_students(spark, bronze, f"{root}/silver", batch_day)
+    return refresh_gold_students(spark, f"{root}/silver", f"{root}/gold")

@@ -2,18 +2,23 @@
 
 Order per table: cast, normalise, require keys, range filter, then keep one row per
 natural key (the latest ingestion; remaining ties broken by all columns), so an
-invalid duplicate can never evict a valid row.
+invalid duplicate can never evict a valid row. Pupils that arrive later are merged into
+the folders they touch (``upsert_students``) instead of recomputing the table.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dims
 from ..operators import clean as C
 from ..sources import schemas
-from ..sources.io import read_optional, read_students, write_layer
+from ..sources.io import folder_exists, read_optional, read_students, write_layer
+from ..sources.versions import Version, current_version, partition_values, read_version
 from .bronze import STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE
 from .concurrency import DEFAULT_WORKERS, run_all
 
@@ -81,8 +86,16 @@ def silver_avaliacao_municipio(df: DataFrame, audit: Observation | None = None)
     return _finish(df, ["ano", "id_municipio", "serie", "rede"], audit=audit)
 
 
-def silver_students(df: DataFrame, batch_day: str, audit: Observation | None = None) -> DataFrame:
-    """V6: batch and stream pupils; range filters first, then one row per (year, pupil)."""
+STUDENT_TABLE, STUDENT_KEYS = "Ts_aluno", ["nu_ano_avaliacao", "id_aluno"]
+#: Pupils lie in folders by year and by a hash of the pupil: the unit that a refresh reads and replaces.
+STUDENT_PARTITIONS, BUCKET, ORIGIN = ["nu_ano_avaliacao", "balde"], "balde", "_origem"
+#: Setting with the number of hash folders of a year, read when the table is written whole, and its default.
+BUCKETS_SETTING, BUCKETS = "letramento.silver.buckets", 64
+LINEAGE = [n for n, _ in schemas.STUDENT_LINEAGE_FIELDS]
+
+
+def clean_students(df: DataFrame, batch_day: str, audit: Observation | None = None) -> DataFrame:
+    """V6 up to the dedup: typed, normalised pupils with their keys and within range, lineage kept."""
     df = C.cast_columns(df, schemas.STUDENT_TYPES)
     df = C.normalise_code(df, "sg_uf")
     df = C.assign_ingest_day(df, batch_day)
@@ -93,9 +106,32 @@ def silver_students(df: DataFrame, batch_day: str, audit: Observation | None = N
         ("fora_do_intervalo", score.isNotNull() & ~score.between(400, 1000))], audit)
     df = C.require_keys(df, ["nu_ano_avaliacao", "id_aluno", "co_uf"])
     df = C.in_set(df, "tp_dependencia", [1, 2, 3, 4])
-    df = C.in_range(df, "vl_proficiencia_lp", 400, 1000)
-    df = C.dedup(df, ["nu_ano_avaliacao", "id_aluno"], ORDER)
-    return C.stamp_layer(C.drop_lineage(df), "silver")
+    return C.in_range(df, "vl_proficiencia_lp", 400, 1000)
+
+
+def keep_latest(clean: DataFrame) -> DataFrame:
+    """One row per (year, pupil). The greatest of greatest rows is the greatest of all, so parts may be merged in any order."""
+    return C.dedup(clean.select(*schemas.STUDENT.fieldNames()), STUDENT_KEYS, ORDER)
+
+
+def silver_students(df: DataFrame, batch_day: str, audit: Observation | None = None) -> DataFrame:
+    """V6: batch and stream pupils; range filters first, then one row per (year, pupil)."""
+    return C.stamp_layer(C.drop_lineage(keep_latest(clean_students(df, batch_day, audit))), "silver")
+
+
+def bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id_aluno"), F.lit(buckets)).cast("int")
+
+
+def stored_students(latest: DataFrame, buckets: int) -> DataFrame:
+    """Silver pupils as they are stored: with their folder, and with the lineage that decides between rows of one pupil."""
+    origin = F.struct(*LINEAGE).alias(ORIGIN)
+    return C.stamp_layer(C.drop_lineage(latest.select("*", origin, bucket_of(buckets).alias(BUCKET))), "silver")
+
+
+def restored_students(stored: DataFrame) -> DataFrame:
+    """The rows of ``keep_latest`` that ``stored_students`` holds."""
+    return stored.select("*", *[F.col(f"{ORIGIN}.{c}").alias(c) for c in LINEAGE]).select(*schemas.STUDENT.fieldNames())
 
 
 SILVER_TABLES = {
@@ -116,26 +152,84 @@ def _audit_rows(table: str, audit: Observation, written: int) -> list[tuple[str,
     return rows
 
 
-def _write_counted(df: DataFrame, silver_root: str, table: str, partition_by: list[str]) -> int:
+def _write_counted(df: DataFrame, silver_root: str, table: str, partition_by: list[str], notes: dict | None = None) -> int:
     obs = Observation(f"silver_{table}")
-    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, table, partition_by)
+    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, table, partition_by, notes=notes)
     return int(obs.get["rows"])
 
 
 def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str,
-                        audit_rows: list | None = None) -> int | None:
-    """V6 alone: batch and stream bronze pupils -> silver ``Ts_aluno``; None if there are none."""
-    roots = [f"{bronze_root.rstrip('/')}/{t}" for t in (STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE)]
-    students = read_students(spark, roots)
+                        audit_rows: list | None = None, tables: tuple[str, ...] = (STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE)) -> int | None:
+    """V6 alone, whole: batch and stream bronze pupils -> silver ``Ts_aluno``; None if there are none."""
+    students = read_students(spark, [f"{bronze_root.rstrip('/')}/{t}" for t in tables])
     if students is None:
         return None
     audit = Observation("audit_Ts_aluno")
-    n = _write_counted(silver_students(students, batch_day, audit), silver_root, "Ts_aluno", ["data_ingestao"])
+    buckets = int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
+    stored = stored_students(keep_latest(clean_students(students, batch_day, audit)), buckets)
+    n = _write_counted(stored, silver_root, STUDENT_TABLE, STUDENT_PARTITIONS, {"buckets": buckets})
     if audit_rows is not None:
-        audit_rows += _audit_rows("Ts_aluno", audit, n)
+        audit_rows += _audit_rows(STUDENT_TABLE, audit, n)
     return n
 
 
+def upsert_students(arrived: DataFrame, silver_root: str, batch_day: str) -> int:
+    """V6 for arrivals: merge them into the (year, bucket) folders they touch; returns the number of folders rewritten.
+
+    Only these folders are read and replaced, in one commit. Arrivals that came before
+    change nothing, so a batch may be merged twice; the result is that of a whole
+    recompute over everything merged so far, in whatever order.
+    """
+    spark, path = arrived.sparkSession, f"{silver_root.rstrip('/')}/{STUDENT_TABLE}"
+    base = current_version(spark, path)
+    buckets = base.notes["buckets"] if base else int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
+    clean = clean_students(arrived, batch_day).persist()
+    try:
+        touched = {(str(y), str(b)) for y, b in clean.select(STUDENT_KEYS[0], bucket_of(buckets)).distinct().collect()}  # years x buckets at most
+        if not touched:
+            return 0
+        rows = clean.select(*schemas.STUDENT.fieldNames())
+        if base is not None:
+            old = {f: p for f, p in base.folders.items() if tuple(partition_values(f).values()) in touched}
+            rows = rows.unionByName(restored_students(read_version(spark, path, replace(base, folders=old))))
+        write_layer(stored_students(keep_latest(rows), buckets), silver_root, STUDENT_TABLE, STUDENT_PARTITIONS,
+                    replace=sorted(touched), base=base, notes={"buckets": buckets})
+        return len(touched)
+    finally:
+        clean.unpersist()
+
+
+def start_upsert(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str, **options) -> StreamingQuery:
+    """The stream's committed bronze files, each once, merged into silver (``availableNow``); ``options`` bound a micro-batch."""
+    reader = spark.readStream.schema(schemas.INGESTED)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    good = reader.parquet(f"{bronze_root.rstrip('/')}/{STUDENT_STREAM_TABLE}").where("estado = 'ok'").select(*schemas.STUDENT.fieldNames())
+
+    def merge(batch: DataFrame, _: int) -> None:
+        upsert_students(batch, silver_root, batch_day)
+
+    return (good.writeStream.foreachBatch(merge).trigger(availableNow=True)
+            .option("checkpointLocation", f"{silver_root.rstrip('/')}/_checkpoints/{STUDENT_TABLE}").start())
+
+
+def refresh_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str, **options) -> Version | None:
+    """ST11 / V6: bring silver pupils up to what the stream has committed; the table's commit, None if there are no pupils.
+
+    A table that does not exist yet starts with the batch pupils. Batch pupils that were
+    loaded anew since need ``run_silver_students``, as only that takes rows away.
+    """
+    path = f"{silver_root.rstrip('/')}/{STUDENT_TABLE}"
+    if current_version(spark, path) is None:
+        run_silver_students(spark, bronze_root, silver_root, batch_day, tables=(STUDENT_BATCH_TABLE,))
+    if folder_exists(spark, f"{bronze_root.rstrip('/')}/{STUDENT_STREAM_TABLE}"):
+        query = start_upsert(spark, bronze_root, silver_root, batch_day, **options)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"silver refresh failed: {query.exception()}")
+    return current_version(spark, path)
+
+
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str,
                workers: int = DEFAULT_WORKERS) -> dict[str, int]:
     """V1-V6 (tables concurrently; bronze tables that do not exist are skipped), plus
