@@ -39,6 +39,7 @@ INDICATOR_SOURCES = [
 ]
 STUDENT_BATCH_TABLE = "Ts_aluno_batch"
 STUDENT_STREAM_TABLE = "Ts_aluno_stream"
+STUDENT_REPLAY_TABLE = "Ts_aluno_replay"
 
 
 def _write_counted(df: DataFrame, root: str, table: str, partition_by) -> int:

@@ -7,12 +7,14 @@ reuses a folder, so a retried run cannot see half-written output of another.
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..session import scratch_path
 from ..streaming.events import read_envelope_stream, run_until_done, start_ingest
-from .bronze import STUDENT_STREAM_TABLE, run_bronze
+from ..streaming.replay import replay_rejected
+from .bronze import STUDENT_REPLAY_TABLE, STUDENT_STREAM_TABLE, run_bronze
 from .concurrency import run_all
 from .extracts import envelopes, raw_extracts
 from .testbed import read_table
@@ -34,10 +36,11 @@ def write_raw(extracts: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
     return run_all({t: (lambda t=t, df=df: write(t, df)) for t, df in extracts.items()})
 
 
-def ingest_stream(spark: SparkSession, inbox: str, bronze_root: str, **options) -> None:
-    """Everything that has arrived in the inbox; ``options`` such as ``maxFilesPerTrigger`` bound a micro-batch."""
+def ingest_stream(spark: SparkSession, inbox: str, bronze_root: str, horizon: str | None = None, **options) -> None:
+    """Everything that has arrived in the inbox, without what arrives again within ``horizon`` if given;
+    ``options`` such as ``maxFilesPerTrigger`` bound a micro-batch."""
     stream = read_envelope_stream(spark, inbox, "json", **options)
-    run_until_done(start_ingest(stream, f"{bronze_root}/{STUDENT_STREAM_TABLE}"))
+    run_until_done(start_ingest(stream, f"{bronze_root}/{STUDENT_STREAM_TABLE}", horizon=horizon))
 
 
 def run_pipeline(spark: SparkSession, sf: str, with_stream: bool = True) -> str:
@@ -62,10 +65,20 @@ def _run(spark: SparkSession, sf: str, with_stream: bool) -> str:
     return root
 
 
-def refresh_students(spark: SparkSession, inbox: str, root: str, batch_day: str = BATCH_DAY, **options) -> list[str]:
+def refresh_students(spark: SparkSession, inbox: str, root: str, batch_day: str = BATCH_DAY, horizon: str | None = None,
+                     **options) -> list[str]:
     """ST11: ingest what has arrived (``availableNow``), merge it into the silver folders it touches, and rebuild
     the changed years of the two pupil gold tables; returns the tables written. The indicator tables are left as they are."""
     bronze = f"{root}/bronze"
-    ingest_stream(spark, inbox, bronze, **options)
+    ingest_stream(spark, inbox, bronze, horizon, **options)
     refresh_silver_students(spark, bronze, f"{root}/silver", batch_day)
     return refresh_gold_students(spark, f"{root}/silver", f"{root}/gold")
+
+
+def replay_students(spark: SparkSession, root: str, mend: Callable[[Column], Column], batch_day: str = BATCH_DAY) -> tuple[int, int]:
+    """ST6: decode the stream's quarantine again, mended by ``mend``, and bring silver and gold up to it; (added, still bad)."""
+    bronze = f"{root}/bronze"
+    counts = replay_rejected(spark, f"{bronze}/{STUDENT_STREAM_TABLE}", f"{bronze}/{STUDENT_REPLAY_TABLE}", mend)
+    refresh_silver_students(spark, bronze, f"{root}/silver", batch_day)
+    refresh_gold_students(spark, f"{root}/silver", f"{root}/gold")
+    return counts

@@ -19,7 +19,8 @@ from ..operators import clean as C
 from ..sources import schemas
 from ..sources.io import folder_exists, read_optional, read_students, write_layer
 from ..sources.versions import Version, current_version, partition_values, read_version
-from .bronze import STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE
+from ..streaming.replay import replayed_since
+from .bronze import STUDENT_BATCH_TABLE, STUDENT_REPLAY_TABLE, STUDENT_STREAM_TABLE
 from .concurrency import DEFAULT_WORKERS, run_all
 
 ORDER = ["_timestamp_ingestao"]
@@ -159,21 +160,22 @@ def _write_counted(df: DataFrame, silver_root: str, table: str, partition_by: li
 
 
 def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str,
-                        audit_rows: list | None = None, tables: tuple[str, ...] = (STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE)) -> int | None:
-    """V6 alone, whole: batch and stream bronze pupils -> silver ``Ts_aluno``; None if there are none."""
+                        audit_rows: list | None = None, tables: tuple[str, ...] = (STUDENT_BATCH_TABLE, STUDENT_STREAM_TABLE, STUDENT_REPLAY_TABLE)) -> int | None:
+    """V6 alone, whole: batch, stream and replayed bronze pupils -> silver ``Ts_aluno``; None if there are none."""
+    replay = current_version(spark, f"{bronze_root.rstrip('/')}/{STUDENT_REPLAY_TABLE}") if STUDENT_REPLAY_TABLE in tables else None
     students = read_students(spark, [f"{bronze_root.rstrip('/')}/{t}" for t in tables])
     if students is None:
         return None
     audit = Observation("audit_Ts_aluno")
     buckets = int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
     stored = stored_students(keep_latest(clean_students(students, batch_day, audit)), buckets)
-    n = _write_counted(stored, silver_root, STUDENT_TABLE, STUDENT_PARTITIONS, {"buckets": buckets})
+    n = _write_counted(stored, silver_root, STUDENT_TABLE, STUDENT_PARTITIONS, {"buckets": buckets, "replay": replay.number if replay else 0})
     if audit_rows is not None:
         audit_rows += _audit_rows(STUDENT_TABLE, audit, n)
     return n
 
 
-def upsert_students(arrived: DataFrame, silver_root: str, batch_day: str) -> int:
+def upsert_students(arrived: DataFrame, silver_root: str, batch_day: str, notes: dict | None = None) -> int:
     """V6 for arrivals: merge them into the (year, bucket) folders they touch; returns the number of folders rewritten.
 
     Only these folders are read and replaced, in one commit. Arrivals that came before
@@ -193,7 +195,7 @@ def upsert_students(arrived: DataFrame, silver_root: str, batch_day: str) -> int
             old = {f: p for f, p in base.folders.items() if tuple(partition_values(f).values()) in touched}
             rows = rows.unionByName(restored_students(read_version(spark, path, replace(base, folders=old))))
         write_layer(stored_students(keep_latest(rows), buckets), silver_root, STUDENT_TABLE, STUDENT_PARTITIONS,
-                    replace=sorted(touched), base=base, notes={"buckets": buckets})
+                    replace=sorted(touched), base=base, notes={**(base.notes if base else {"buckets": buckets}), **(notes or {})})
         return len(touched)
     finally:
         clean.unpersist()
@@ -214,7 +216,7 @@ def start_upsert(spark: SparkSession, bronze_root: str, silver_root: str, batch_
 
 
 def refresh_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str, **options) -> Version | None:
-    """ST11 / V6: bring silver pupils up to what the stream has committed; the table's commit, None if there are no pupils.
+    """ST11 / V6: bring silver pupils up to what the stream and replays have committed; the table's commit, None if there are no pupils.
 
     A table that does not exist yet starts with the batch pupils. Batch pupils that were
     loaded anew since need ``run_silver_students``, as only that takes rows away.
@@ -227,6 +229,10 @@ def refresh_silver_students(spark: SparkSession, bronze_root: str, silver_root:
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(f"silver refresh failed: {query.exception()}")
+    now = current_version(spark, path)
+    mended, number = replayed_since(spark, f"{bronze_root.rstrip('/')}/{STUDENT_REPLAY_TABLE}", now.notes.get("replay", 0) if now else 0)
+    if mended is not None:
+        upsert_students(mended, silver_root, batch_day, {"replay": number})
     return current_version(spark, path)
 
 

@@ -105,5 +105,5 @@ def write_layer(df: DataFrame, root: str, table: str, partition_by: Sequence[str
         row = tuple(values[c] for c in partition_by)
         return any(row[:n] in listed for n in lengths)
 
-    publish(df, path, partition_by, None if listed is None else replaced, mode == "append", base, notes)
+    publish(df, path, partition_by, None if listed is None else replaced, mode == "append", base, notes=notes)
     return path

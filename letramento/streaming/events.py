@@ -18,6 +18,7 @@ from ..functions.numeric import safe_double, safe_int, safe_string
 from ..operators.clean import stamp_day, stamp_lineage
 from ..sources import schemas
 from ..sources.io import folder_exists
+from .redelivery import drop_redelivered
 
 STREAM_SOURCE = "kinesis_streaming"
 STREAM_FILE = "stream_kinesis"
@@ -153,7 +154,7 @@ def sink_checkpoint(path: str) -> str:
 
 
 def start_ingest(envelopes: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True,
-                 processing_time: str | None = None) -> StreamingQuery:
+                 processing_time: str | None = None, horizon: str | None = None) -> StreamingQuery:
     """K2 / ST7 / ST9: every record into one file sink, partitioned by (estado, day).
 
     One query reads and parses each record once. The file sink's commit log makes a
@@ -163,12 +164,18 @@ def start_ingest(envelopes: DataFrame, path: str, checkpoint: str | None = None,
     A sink skips batch numbers that its log has, so a second checkpoint on the same sink
     would lose records: the checkpoint belongs to the sink (``sink_checkpoint``), and a
     sink with a log refuses a checkpoint that does not exist yet.
+
+    With ``horizon`` (ST10), well-formed records that arrived before within that time are
+    not written again; a checkpoint is made for one of the two forms and keeps to it.
     """
     spark = envelopes.sparkSession
     checkpoint = checkpoint or sink_checkpoint(path)
     if folder_exists(spark, f"{path.rstrip('/')}/_spark_metadata") and not folder_exists(spark, f"{checkpoint}/offsets"):
         raise ValueError(f"{path} was written from another checkpoint than {checkpoint}; its records would be lost")
-    writer = (ingest_records(envelopes).writeStream.format("parquet").option("path", path)
+    records = ingest_records(envelopes)
+    if horizon:
+        records = drop_redelivered(records, horizon, keep=F.col("estado") == STATE_REJECTED)
+    writer = (records.writeStream.format("parquet").option("path", path)
               .option("checkpointLocation", checkpoint).partitionBy("estado", "data_ingestao").outputMode("append"))
     if available_now:
         writer = writer.trigger(availableNow=True)
