@@ -1,8 +1,9 @@
 """Query catalogue over the shared test tables: one entry per operator family.
 
 Each query takes (spark, sf_dir) and returns a DataFrame without running an action
-except ``stream_ingest`` and ``stream_refresh``, which run their streams to completion
-first, and the ``gold_*``, ``roundtrip_layers`` and ``silver_quality`` queries, which read
+except ``stream_ingest``, ``stream_refresh``, ``stream_dedup``, ``stream_running_rate``,
+``stream_replay``, ``silver_merged`` and ``replaced_years``, which run their streams or
+writes to completion first, and the ``gold_*``, ``roundtrip_layers`` and ``silver_quality`` queries, which read
 one run of all layers per session and input folder. The SQL twin of every query lives
 in ``oracle.py``.
 """
@@ -20,10 +21,14 @@ from ..operators import clean as C
 from ..operators import quality as Q
 from ..operators import windows as W
 from ..session import scratch_path
-from ..sources.io import read_layer
+from ..sources.io import read_layer, write_layer
 from ..streaming import events as S
-from .extracts import envelopes
-from .pipeline import refresh_students, run_pipeline
+from ..streaming import health
+from ..streaming.replay import replay_rejected
+from .bronze import STUDENT_REPLAY_TABLE, STUDENT_STREAM_TABLE
+from .extracts import NOISE, envelopes
+from .pipeline import ingest_stream, refresh_students, run_pipeline
+from .silver import upsert_students
 from .testbed import kpi, kpi_rows, pupil, read_table
 from .validation import silver_checks
 
@@ -409,6 +414,57 @@ def stream_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return read_layer(spark, f"{root}/gold", "indicadores_alunos").drop(*CLOCK_COLUMNS)
 
 
+def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """ST10 in the stream: deliveries that overlap, over three runs of the query; each record is written once."""
+    events = read_table(spark, sf, "events")
+    early = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
+    root = scratch_path(spark, "stream-dedup")
+    for arrived in (events.where(early), events, events.where(~early)):
+        envelopes(arrived).write.mode("append").json(f"{root}/inbox")
+        ingest_stream(spark, f"{root}/inbox", f"{root}/bronze", "7 days")
+    return S.read_ingested(spark, f"{root}/bronze/{STUDENT_STREAM_TABLE}").drop(*CLOCK_COLUMNS)
+
+
+def stream_running_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """ST8 as state of a stream: records, rejects and their share per day of arrival, flagged."""
+    schema = read_table(spark, sf, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    root = scratch_path(spark, "stream-rate")
+    S.run_until_done(health.start_monitor(health.stamped(S.decode_events(envelopes(source))), S.is_malformed(), root, f"{root}/ckpt", stop=False))
+    return health.running_rates(spark, root).drop("data_ingestao")
+
+
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """ST6: records with noise before their base64 are rejected, then mended and replayed, twice; each is added once."""
+    root = scratch_path(spark, "stream-replay")
+    envelopes(read_table(spark, sf, "events"), damaged="2").write.json(f"{root}/inbox")
+    ingest_stream(spark, f"{root}/inbox", f"{root}/bronze")
+    for _ in range(2):
+        replay_rejected(spark, f"{root}/bronze/{STUDENT_STREAM_TABLE}", f"{root}/bronze/{STUDENT_REPLAY_TABLE}",
+                        lambda raw: F.regexp_replace(raw, f"^{NOISE}", ""))
+    return read_layer(spark, f"{root}/bronze", STUDENT_REPLAY_TABLE).drop(*CLOCK_COLUMNS, "registro_origem", "lote_replay")
+
+
+def silver_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """V6 by merging: overlapping arrivals, each into the (year, bucket) folders it touches."""
+    events = read_table(spark, sf, "events")
+    root = scratch_path(spark, "silver-merged")
+    for kinds in (("view", "click"), ("purchase", "error", "view"), ("signup", "click", "error")):
+        good, _ = S.split_rejects(S.decode_events(envelopes(events.where(F.col("event_type").isin(*kinds)))))
+        upsert_students(S.to_student_event(good), root, BATCH_DAY)
+    return read_layer(spark, root, "Ts_aluno").select("nu_ano_avaliacao", "sg_uf", "id_aluno", "tp_dependencia", "co_municipio", "no_municipio",
+                                                      "in_presenca_lp", "vl_proficiencia_lp", "in_alfabetizado")
+
+
+def replaced_years(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: a whole table, then two of its years replaced (one by fewer rows, one by none), then rows added to one."""
+    k, root = kpi(spark, sf), scratch_path(spark, "replaced-years")
+    write_layer(k, root, "kpi", ["ano"])
+    write_layer(k.where("ano = 1997 and regiao = 'ASIA'"), root, "kpi", ["ano"], replace=[1997, 1998])
+    write_layer(k.where("ano = 1998 and regiao = 'EUROPE'"), root, "kpi", ["ano"], mode="append")
+    return read_layer(spark, root, "kpi").select(*k.columns)
+
+
 # --- B1-B2, V1-V6, G1-G9 on extracts of the shared tables ------------------------------------------
 
 GOLD_TABLES = ["panorama_alfabetizacao", "evolucao_proficiencia", "ranking_municipios", "indicadores_alunos",
@@ -487,6 +543,11 @@ QUERIES = {
     "stream_metrics": stream_metrics,
     "stream_ingest": stream_ingest,
     "stream_refresh": stream_refresh,
+    "stream_dedup": stream_dedup,
+    "stream_running_rate": stream_running_rate,
+    "stream_replay": stream_replay,
+    "silver_merged": silver_merged,
+    "replaced_years": replaced_years,
     "roundtrip_layers": roundtrip_layers,
     "silver_quality": silver_quality,
     **{f"gold_{t}": _gold_reader(t) for t in GOLD_TABLES},

@@ -150,13 +150,20 @@ def pupil_columns() -> dict[str, Column]:
 FAULT_BASE64, FAULT_JSON = "0", "1"
 
 
-def envelopes(events: DataFrame) -> DataFrame:
-    """Wire records for ``events`` (column ``data``), with the data-derived faults above."""
+NOISE = "%%"
+
+
+def envelopes(events: DataFrame, damaged: str | None = None) -> DataFrame:
+    """Wire records for ``events`` (column ``data``), with the data-derived faults above.
+
+    Records whose key k is ``damaged`` arrive with ``NOISE`` before their base64.
+    """
     from ..streaming.events import envelope_data
     k = F.get_json_object("props", "$.k")
+    whole = envelope_data(pupil_columns())
     return events.select(F.when(k == FAULT_BASE64, F.lit("%%not-base64%%"))
                          .when(k == FAULT_JSON, F.base64(F.encode(F.lit("{bad json"), "UTF-8")))
-                         .otherwise(envelope_data(pupil_columns())).alias("data"))
+                         .when(k == F.lit(damaged), F.concat(F.lit(NOISE), whole)).otherwise(whole).alias("data"))
 
 
 def pupil_extract(spark: SparkSession, sf: str) -> DataFrame:

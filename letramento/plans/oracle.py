@@ -600,5 +600,13 @@ SQL["ordered_year"] = KPI + """
 SELECT ano, uf, rede, taxa FROM kpi WHERE ano = 1996 ORDER BY taxa DESC, uf, rede"""
 SQL["stream_refresh"] = SQL["gold_indicadores_alunos"].replace(
     "FROM s_students WHERE ", "FROM s_students WHERE id_aluno IN (SELECT event_id FROM pev WHERE coalesce(k, '') NOT IN ('0', '1')) AND ")
+SQL["stream_dedup"] = STUDENT_RECORD
+SQL["stream_running_rate"] = SQL["stream_metrics"]
+SQL["stream_replay"] = STUDENT_RECORD.replace("'stream_kinesis'", "'quarentena'").replace("coalesce(k, '') NOT IN ('0', '1')", "k = '2'")
+SQL["silver_merged"] = SILVER + """
+SELECT nu_ano_avaliacao, sg_uf, id_aluno, tp_dependencia, co_municipio, no_municipio, in_presenca_lp, vl_proficiencia_lp, in_alfabetizado
+FROM s_students_ok WHERE id_aluno IN (SELECT event_id FROM pev WHERE coalesce(k, '') NOT IN ('0', '1'))"""
+SQL["replaced_years"] = KPI + """
+SELECT * FROM kpi WHERE ano NOT IN (1997, 1998) OR (ano = 1997 AND regiao = 'ASIA') OR (ano = 1998 AND regiao = 'EUROPE')"""
 
 SQL = {k: (v if v.lstrip().upper().startswith(("WITH", "SELECT")) else "WITH " + v) for k, v in SQL.items()}

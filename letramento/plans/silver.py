@@ -90,8 +90,8 @@ def silver_avaliacao_municipio(df: DataFrame, audit: Observation | None = None)
 STUDENT_TABLE, STUDENT_KEYS = "Ts_aluno", ["nu_ano_avaliacao", "id_aluno"]
 #: Pupils lie in folders by year and by a hash of the pupil: the unit that a refresh reads and replaces.
 STUDENT_PARTITIONS, BUCKET, ORIGIN = ["nu_ano_avaliacao", "balde"], "balde", "_origem"
-#: Setting with the number of hash folders of a year, read when the table is written whole, and its default.
-BUCKETS_SETTING, BUCKETS = "letramento.silver.buckets", 64
+#: Setting with the number of hash folders of a year, read when the table is made; by default that of the shuffle partitions.
+BUCKETS_SETTING = "letramento.silver.buckets"
 LINEAGE = [n for n, _ in schemas.STUDENT_LINEAGE_FIELDS]
 
 
@@ -120,6 +120,10 @@ def silver_students(df: DataFrame, batch_day: str, audit: Observation | None = N
     return C.stamp_layer(C.drop_lineage(keep_latest(clean_students(df, batch_day, audit))), "silver")
 
 
+def new_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_SETTING, spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def bucket_of(buckets: int) -> Column:
     return F.pmod(F.xxhash64("id_aluno"), F.lit(buckets)).cast("int")
 
@@ -167,7 +171,7 @@ def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str,
     if students is None:
         return None
     audit = Observation("audit_Ts_aluno")
-    buckets = int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
+    buckets = new_buckets(spark)
     stored = stored_students(keep_latest(clean_students(students, batch_day, audit)), buckets)
     n = _write_counted(stored, silver_root, STUDENT_TABLE, STUDENT_PARTITIONS, {"buckets": buckets, "replay": replay.number if replay else 0})
     if audit_rows is not None:
@@ -184,7 +188,7 @@ def upsert_students(arrived: DataFrame, silver_root: str, batch_day: str, notes:
     """
     spark, path = arrived.sparkSession, f"{silver_root.rstrip('/')}/{STUDENT_TABLE}"
     base = current_version(spark, path)
-    buckets = base.notes["buckets"] if base else int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
+    buckets = base.notes["buckets"] if base else new_buckets(spark)
     clean = clean_students(arrived, batch_day).persist()
     try:
         touched = {(str(y), str(b)) for y, b in clean.select(STUDENT_KEYS[0], bucket_of(buckets)).distinct().collect()}  # years x buckets at most

@@ -10,7 +10,8 @@ SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"]
 # these run a pipeline or a stream when called; their plans are plain file reads
-SIDE_EFFECTS = {"stream_ingest", "stream_refresh", "roundtrip_layers", "silver_quality"}
+SIDE_EFFECTS = {"stream_ingest", "stream_refresh", "stream_dedup", "stream_running_rate", "stream_replay", "silver_merged", "replaced_years",
+                "roundtrip_layers", "silver_quality"}
 
 
 def plan_of(df) -> str:

@@ -55,10 +55,12 @@ def test_merging_in_any_order_equals_a_whole_recompute(spark, tmp_root, seed):
 
 
 def test_a_refresh_reads_and_replaces_only_touched_folders(spark, tmp_root, monkeypatch):
+    spark.conf.set(V.BUCKETS_SETTING, "64")
     path = f"{tmp_root}/silver/Ts_aluno"
     V.upsert_students(records(spark, [(y, i, 1, 500.0, "2026-12-01", "01:00:00") for y in (2023, 2024) for i in range(3000)]), f"{tmp_root}/silver", DAY)
+    spark.conf.unset(V.BUCKETS_SETTING)  # a table keeps the number it was made with
     before = current_version(spark, path)
-    assert len(before.folders) == 2 * V.BUCKETS
+    assert len(before.folders) == 2 * 64
     read = []
     real = V.read_version
 
@@ -68,7 +70,7 @@ def test_a_refresh_reads_and_replaces_only_touched_folders(spark, tmp_root, monk
         return df
 
     monkeypatch.setattr(V, "read_version", watched)
-    one = spark.range(3000).where(F.pmod(F.xxhash64("id"), F.lit(V.BUCKETS)) == 7).collect()
+    one = spark.range(3000).where(F.pmod(F.xxhash64("id"), F.lit(64)) == 7).collect()
     folders = V.upsert_students(records(spark, [(2024, r.id, 2, 800.0, "2026-12-02", "01:00:00") for r in one]), f"{tmp_root}/silver", DAY)
     after = current_version(spark, path)
     assert folders == 1 and after.changed_since(before) == {"nu_ano_avaliacao=2024/balde=7"}
