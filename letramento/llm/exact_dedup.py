@@ -37,10 +37,10 @@ def normalised(col) -> F.Column:
 def _content_sorted(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     norm = normalised(F.col(f"`{text_col}`"))
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), norm.alias("norm"),
-                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col],
+                       *([F.struct(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("cols"),
                                    F.when(F.col(f"`{text_col}`").isNull(), F.lit(0))
-                                   .when(F.col(f"`{text_col}`") == norm, F.lit(1)).otherwise(F.lit(2)).alias("__kind"),
-                                   F.when(F.col(f"`{text_col}`") != norm, F.col(f"`{text_col}`")).alias("__raw"))
+                                   .when(F.col(f"`{text_col}`") == norm, F.lit(1)).otherwise(F.lit(2)).alias("kind"),
+                                   F.when(F.col(f"`{text_col}`") != norm, F.col(f"`{text_col}`")).alias("raw"))
                           .alias("row")] if carry else []))
     key = [F.substring(F.encode("norm", "utf-8"), 1, PREFIX_BYTES).alias("prefix"), F.unhex(F.sha2("norm", 256)).alias("sha")]
     keyed = slim.select("*", *key)
@@ -126,5 +126,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                            f"`row` {fields['row']}"), "content-sort-rows", "zstd")  # whole texts: the denser codec pays
     later = _stitched(marked).where("part > head").select("part", "run")
     kept = marked.where("edge_text is null").join(later, ["part", "run"], "left_anti")
-    text = F.when(F.col("row.__kind") == 1, F.col("norm")).when(F.col("row.__kind") == 2, F.col("row.__raw"))
-    return kept.select(*[(text if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    text = F.when(F.col("row.kind") == 1, F.col("norm")).when(F.col("row.kind") == 2, F.col("row.raw"))
+    return kept.select(*[(text if c == text_col else F.col(f"row.cols.`{c}`")).alias(c) for c in docs.columns])

@@ -146,10 +146,10 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, int] | None = None, s
     docs = docs.drop(*added)
     void = [f.name for f in docs.schema if isinstance(f.dataType, T.NullType)]  # Parquet has no such type: put back at the end
     stored = docs.drop(*void)
-    full = T.StructType([*stored.schema.fields, T.StructField("__source", T.StringType()),
-                         T.StructField("__part", T.LongType()), T.StructField("__local", T.LongType())])
-    ranked = materialize(docs.withColumn("__source", F.col(f"`{source_col}`").cast("string")).drop(*void)
-                         .mapInArrow(_local_ranks("__source"), full), "mix-rows", "zstd")  # whole texts: the denser codec pays
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in stored.columns]).alias("row"),  # no column of docs can clash in there
+                         F.col(f"`{source_col}`").cast("string").alias("__source"))
+    full = T.StructType([*packed.schema.fields, T.StructField("__part", T.LongType()), T.StructField("__local", T.LongType())])
+    ranked = materialize(packed.mapInArrow(_local_ranks("__source"), full), "mix-rows", "zstd")  # whole texts: the denser codec pays
     counts = materialize(ranked.groupBy("__source", "__part").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     totals = {r[0]: r[1] for r in counts.groupBy("__source").agg(F.sum("n")).limit(MOST_SOURCES + 1).collect()}
     if len(totals) > MOST_SOURCES:
@@ -178,6 +178,6 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, int] | None = None, s
     total = sum(rows)
     parts = max(1, min(total // ROWS_PER_PARTITION + 1, 100_000), int(spark.conf.get("spark.sql.shuffle.partitions")))
     placed = ranked.withColumn("__mix", places("__source", F.col("__before") + F.col("__local")))
-    out = placed.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__mix.{c}").alias(c) for c in added])
+    out = placed.select(*[F.lit(None).alias(c) if c in void else F.col(f"row.`{c}`") for c in docs.columns], *[F.col(f"__mix.{c}").alias(c) for c in added])
     return out.repartitionById(parts, (F.col("mix_position") * parts / F.lit(max(1, total))).cast("int")) \
         .sortWithinPartitions("mix_position")

@@ -21,7 +21,9 @@ from letramento.llm.common import materialize, read_table
 from letramento.llm.queries import op8_mix, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
-CLASHES = ("id", "t", "norm", "row", "part", "run", "fp", "print", "keys", "bucket", "block", "out", "rank", "at", "vec", "mix_slot", "__kept")
+CLASHES = ("id", "t", "norm", "row", "part", "run", "fp", "print", "keys", "bucket", "block", "out", "rank", "at", "vec", "mix_slot", "__kept",
+           "__source", "__part", "__local", "__before", "__s", "__p", "__mix", "__kind", "__raw", "__drop", "__id", "cols", "kind", "raw", "gone",
+           "picked", "landmark", "turn", "s", "h", "y", "fp", "node", "root")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i % 977}" for i in range(30_000))
 ODD = [(1, "a b c d", "en", "s1", 7), (2, "a  b\tc d", "en", "s1", 8), (3, None, None, None, None), (4, "", "fr", "s2", 0),
