@@ -1,12 +1,12 @@
 """Ordered operators within groups: W1-W4 and O1-O4.
 
 A plain ``Window.partitionBy(group)`` sends a whole group to one task, so a group
-holding a third of the table would run in one task. Here a large group is cut into
-value slices that run in parallel; a small table with one row per (group, slice)
-carries what earlier slices contribute (row offsets, the last value). Slices are a
-pure function of the row and of exact group statistics (count, min, max), so any
-recomputation after a lost executor assigns every row to the same slice again.
-The results equal the plain window functions.
+holding a third of the table would run in one task. Here rows are cut into slices of
+about equally many rows, at sampled keys of whatever type the order columns have
+(``slices``); windows run per (group, slice), and an array with one entry per slice
+carries what earlier slices contribute (row offsets, the last value). Input of no more
+rows than one slice holds (counted when the operator is called) takes the plain window.
+The results are equal either way.
 """
 
 from __future__ import annotations
@@ -15,73 +15,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.numeric import round_half_up
+from .slices import packed, slice_count, with_carried, with_offsets, with_slices
 
 _SLICE = "_slice"
 _GROUP = "_g"
-SLICE_ROWS_CONF = "letramento.window.sliceRows"
-DEFAULT_SLICE_ROWS = 1_000_000
-
-
-def _order_expr(c: str, descending: bool) -> Column:
-    # Same null placement as Spark's window defaults: asc nulls first, desc nulls last.
-    return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
-
-
-def _as_number(df: DataFrame, c: str) -> Column | None:
-    t = df.schema[c].dataType
-    if isinstance(t, T.NumericType):
-        return F.col(c).cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(F.col(c)).cast("double")
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    return None
-
-
-def _with_slices(df: DataFrame, group: Sequence[str], order_col: str, descending: bool,
-                 slice_rows: int | None = None) -> DataFrame:
-    """Add ``_g`` (the group columns packed in a struct) and ``_slice``.
-
-    A group with n rows gets ceil(n / slice_rows) equal-width value slices (at most
-    ``spark.sql.shuffle.partitions``), numbered in the order direction; equal values
-    share a slice, so ties never straddle two slices. Smaller groups are one slice.
-    Struct equality treats null fields as equal, so null group keys stay together.
-    """
-    spark = df.sparkSession
-    rows = slice_rows or int(spark.conf.get(SLICE_ROWS_CONF, str(DEFAULT_SLICE_ROWS)))
-    cap = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    keyed = df.withColumn(_GROUP, F.struct(*[F.col(c) for c in group]))
-    v = _as_number(df, order_col)
-    if v is None or cap == 1:
-        return keyed.withColumn(_SLICE, F.lit(0))
-    # exact and order-independent, so identical on every recomputation
-    aggs = [F.count(F.lit(1)).alias("_gn"), F.min(v).alias("_lo"), F.max(v).alias("_hi")]
-    if group:
-        tagged = keyed.join(keyed.groupBy(_GROUP).agg(*aggs), _GROUP)
-    else:  # one group: its statistics are a scalar subquery, no join
-        one = keyed.select(F.struct(*aggs)).scalar()
-        tagged = keyed.withColumns({c: one.getField(c) for c in ("_gn", "_lo", "_hi")})
-    k = F.least(F.ceil(F.col("_gn") / F.lit(rows)), F.lit(cap)).cast("int")
-    frac = F.try_divide(v - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    pos = F.least(F.floor(frac * k), k - 1).cast("int")
-    pos = (k - 1 - pos) if descending else pos
-    null_slice = F.lit(cap) if descending else F.lit(-1)
-    sl = (F.when((k <= 1) | (F.col("_hi") == F.col("_lo")), F.lit(0))
-          .when(v.isNull(), null_slice).otherwise(pos))
-    return tagged.withColumn(_SLICE, sl.cast("int")).drop("_gn", "_lo", "_hi")
-
-
-def _slice_offsets(sliced: DataFrame, weight: Column) -> DataFrame:
-    """Per (group, slice): the weight of earlier slices of the group and the group total."""
-    per_slice = sliced.groupBy(_GROUP, _SLICE).agg(F.sum(weight).alias("_slice_n"))
-    ahead = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return (per_slice.withColumn("_offset", F.coalesce(F.sum("_slice_n").over(ahead), F.lit(0)))
-            .withColumn("_total", F.sum("_slice_n").over(Window.partitionBy(_GROUP)))
-            .drop("_slice_n"))
 
 
 def value_positions(df: DataFrame, group: Sequence[str], order_col: str,
@@ -90,18 +30,24 @@ def value_positions(df: DataFrame, group: Sequence[str], order_col: str,
 
     Returns ``group + [order_col, _cnt, _before, _total]``: ``_cnt`` rows carry the
     value, ``_before`` rows sort strictly ahead of it, ``_total`` rows are in the group.
-    Duplicates collapse in a partial aggregate before any shuffle, so even a value
-    shared by a third of the table is a single row here.
+    Nulls sort first, or last if ``descending``, as in Spark's windows. Duplicates collapse
+    in a partial aggregate before any shuffle, so even a value shared by a third of the
+    table is a single row here, and slices are of equally many distinct values.
     """
     group = list(group)
-    order = [_order_expr(order_col, descending)]
+    rows, slices = slice_count(df, slice_rows)
     counts = df.groupBy(*group, order_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    sliced = _with_slices(counts, group, order_col, descending, slice_rows)
-    local = Window.partitionBy(_GROUP, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    sliced = sliced.withColumn("_local", F.coalesce(F.sum("_cnt").over(local), F.lit(0)))
-    out = sliced.join(_slice_offsets(sliced, F.col("_cnt")), [_GROUP, _SLICE])
-    return (out.withColumn("_before", F.col("_offset") + F.col("_local"))
-            .select(*group, order_col, "_cnt", "_before", "_total"))
+    sliced = with_slices(counts, [*group, order_col], _SLICE, rows, slices, F.col("_cnt") > 0).withColumn(_GROUP, packed(group))
+    if slices > 1:
+        sliced = with_offsets(sliced, _GROUP, _SLICE, "_cnt", "_before", "_total")
+    else:
+        sliced = sliced.withColumns({"_before": F.lit(0), "_total": F.lit(None).cast("bigint")})
+    here = Window.partitionBy(_GROUP, _SLICE)
+    ahead = here.orderBy(F.col(order_col).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    out = sliced.select("*", F.coalesce(F.sum("_cnt").over(ahead), F.lit(0)).alias("_ahead"), F.sum("_cnt").over(here).alias("_here"))
+    out = out.select(*group, order_col, "_cnt", (F.col("_before") + F.col("_ahead")).alias("_before"),
+                     F.coalesce("_total", "_here").alias("_total"))
+    return out.withColumn("_before", F.col("_total") - F.col("_cnt") - F.col("_before")) if descending else out
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order_col: str, descending: bool = True,
@@ -110,11 +56,19 @@ def rank_within(df: DataFrame, partition: Sequence[str], order_col: str, descend
     """W1 + W2: ``rank()`` and ``round(percent_rank() * 100)`` within ``partition``.
 
     Ties share a rank and leave gaps; percentile 0 is the first row in the order
-    (the best, for a descending order). Ranks are computed on the distinct values
-    (``value_positions``) and joined back on (group, value); a hot key there is one
+    (the best, for a descending order). Input of one slice takes the plain window; beyond, ranks
+    are computed on the distinct values (``value_positions``) and joined back on (group, value); a hot key there is one
     row on the rank side, which adaptive execution splits as a skewed join.
     """
     partition = list(partition)
+    if slice_count(df, slice_rows)[1] == 1:
+        group = Window.partitionBy(*partition)
+        order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
+        out = df.select("*", F.rank().over(group.orderBy(order)).alias(rank_col))
+        if not percentile_col:
+            return out
+        share = F.try_divide(F.col(rank_col) - 1, F.count(F.lit(1)).over(group) - 1)
+        return out.withColumn(percentile_col, round_half_up(F.coalesce(share, F.lit(0.0)) * 100, percentile_scale))
     pos = value_positions(df, partition, order_col, descending, slice_rows)
     key = F.struct(*[F.col(c) for c in partition], F.col(order_col))
     pr = F.when(F.col("_total") > 1, F.col("_before") / (F.col("_total") - 1)).otherwise(F.lit(0.0))
@@ -129,22 +83,21 @@ def lag_within(df: DataFrame, partition: Sequence[str], order_cols: Sequence[str
     """Value of the previous row in ``order_cols`` order within ``partition``.
 
     ``order_cols`` must be unique within a partition (as (state, network, year) is).
-    The first row of a group gets null. Large groups are sliced on the first order
-    column; each slice starts from the last value of the previous non-empty slice.
+    The first row of a group gets null. The first row that a group has in a slice takes
+    the value of the last row of the slice before.
     """
     partition, order_cols = list(partition), list(order_cols)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    sliced = _with_slices(df, partition, order_cols[0], False, slice_rows)
+    names = [*partition, *order_cols]
+    rows, slices = slice_count(df, slice_rows)
+    if slices == 1:
+        return df.withColumn(out_col, F.lag(value_col, 1).over(Window.partitionBy(*partition).orderBy(*order)))
+    sliced = with_slices(df, names, _SLICE, rows, slices).withColumn(_GROUP, packed(partition))
     w = Window.partitionBy(_GROUP, _SLICE).orderBy(*order)
-    sliced = (sliced.withColumn(out_col, F.lag(value_col, 1).over(w))
-              .withColumn("_head", F.row_number().over(w) == 1))
-    key = F.struct(*[F.col(c) for c in order_cols])
-    tails = sliced.groupBy(_GROUP, _SLICE).agg(F.max_by(F.col(value_col), key).alias("_tail"))
-    carry = F.lag("_tail", 1).over(Window.partitionBy(_GROUP).orderBy(_SLICE))
-    tails = tails.select(_GROUP, _SLICE, carry.alias("_carry"))
-    out = sliced.join(tails, [_GROUP, _SLICE])
-    return (out.withColumn(out_col, F.when(F.col("_head"), F.col("_carry")).otherwise(F.col(out_col)))
-            .drop("_head", "_carry", _SLICE, _GROUP))
+    sliced = with_carried(sliced, _GROUP, _SLICE, packed(names), value_col, "_carry")
+    out = sliced.select("*", F.lag(value_col, 1).over(w).alias("_lag"), (F.row_number().over(w) == 1).alias("_head"))
+    return (out.withColumn(out_col, F.when(F.col("_head"), F.col("_carry")).otherwise(F.col("_lag")))
+            .drop("_lag", "_head", "_carry", _SLICE, _GROUP))
 
 
 def first_last(df: DataFrame, group: Sequence[str], order_col: str, cols: Sequence[str],
