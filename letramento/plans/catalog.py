@@ -4,7 +4,8 @@ Each query takes (spark, sf_dir) and returns a DataFrame without running an acti
 except ``stream_ingest``, ``stream_refresh``, ``stream_dedup``, ``stream_running_rate``,
 ``stream_replay``, ``silver_merged`` and ``replaced_years``, which run their streams or
 writes to completion first, and the ``gold_*``, ``roundtrip_layers`` and ``silver_quality`` queries, which read
-one run of all layers per session and input folder. The SQL twin of every query lives
+one run of all layers per session and input folder. Rankings, lags and quantiles count their input first
+(W1-W3, A8, A9). The SQL twin of every query lives
 in ``oracle.py``.
 """
 
@@ -39,6 +40,8 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 # Padded, mixed-case network names used to exercise canonicalisation.
 RAW_NETWORKS = [" publica", "PÚBLICA ", "Municipal", " ESTADUAL", "federal ", "Privada", "  Outra  "]
 BATCH_DAY = "2026-07-09"
+#: Rows a slice in the queries that show sliced operators: the tables of every size take as many slices as there are shuffle partitions.
+SMALL_SLICE = 20
 
 
 # --- C1-C5, C12, A5 ------------------------------------------------------------------
@@ -80,6 +83,37 @@ def rank_within_group(spark: SparkSession, sf: str) -> DataFrame:
     return W.rank_within(k, ["ano", "regiao", "rede"], "taxa", descending=True)
 
 
+def rank_by_text(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 + W2 in slices, by a text column: events of a type in the order of their properties, many of them equal."""
+    e = read_table(spark, sf, "events").select("event_id", "event_type", "props")
+    return W.rank_within(e, ["event_type"], "props", descending=False, slice_rows=SMALL_SLICE)
+
+
+def lag_by_text(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 in slices, all rows in one group, in the order of a text and a number."""
+    e = read_table(spark, sf, "events").select("event_id", "props", "value")
+    return W.lag_within(e, [], ["props", "event_id"], "value", "valor_anterior", slice_rows=SMALL_SLICE)
+
+
+def sliced_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 + A9 in slices: events by type."""
+    return A.describe(read_table(spark, sf, "events"), "value", ["event_type"], slice_rows=SMALL_SLICE)
+
+
+def merged_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """A sketch per type and day, merged per type; the exact rank of each quantile is within 2 % of the rows of the wanted one."""
+    e = read_table(spark, sf, "events").select("event_type", F.to_date("ts").alias("dia"), "value")
+    daily = A.quantile_sketches(e, "value", ["event_type", "dia"])
+    probs = {"q25": 0.25, "mediana": 0.5, "q95": 0.95}
+    found = A.sketch_quantiles(A.merge_sketches(daily, ["event_type"]), list(probs.values()), list(probs))
+    placed = e.join(found, "event_type")  # one row per type on this side
+    # a value that occurs often holds a range of ranks: the wanted one may lie anywhere in it
+    ranks = placed.groupBy("event_type", "n").agg(*[F.struct(F.count_if(F.col("value") < F.col(q)).alias("lo"),
+                                                             F.count_if(F.col("value") <= F.col(q)).alias("hi")).alias(q) for q in probs])
+    return ranks.select("event_type", "n", *[((F.col(f"{q}.lo") <= (p + 0.02) * F.col("n")) & (F.col(f"{q}.hi") >= (p - 0.02) * F.col("n")))
+                                             .alias(f"{q}_no_limite") for q, p in probs.items()])
+
+
 def _trend(spark: SparkSession, sf: str) -> DataFrame:
     t = C.require_keys(kpi(spark, sf), ["taxa"]).select("ano", "uf", "rede", "taxa", "meta")
     t = W.lag_within(t, ["uf", "rede"], ["ano"], "taxa", "taxa_ano_anterior")
@@ -501,6 +535,10 @@ QUERIES = {
     "criticality_counts": criticality_counts,
     "rate_band": rate_band,
     "rank_within_group": rank_within_group,
+    "rank_by_text": rank_by_text,
+    "lag_by_text": lag_by_text,
+    "sliced_quantiles": sliced_quantiles,
+    "merged_sketches": merged_sketches,
     "yearly_trend": yearly_trend,
     "top_changes": top_changes,
     "regressions": regressions,

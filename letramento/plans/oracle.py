@@ -201,6 +201,18 @@ SELECT ano, regiao, rede, uf, taxa,
        CAST(rank() OVER (PARTITION BY ano, regiao, rede ORDER BY taxa DESC) AS INTEGER) AS ranking,
        {R("percent_rank() OVER (PARTITION BY ano, regiao, rede ORDER BY taxa DESC) * 100", 2)} AS percentil
 FROM kpi WHERE taxa IS NOT NULL""",
+    "rank_by_text": f"""
+SELECT event_id, event_type, props, CAST(rank() OVER w AS INTEGER) AS ranking, {R("percent_rank() OVER w * 100", 2)} AS percentil
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY props NULLS FIRST)""",
+    "lag_by_text": """
+SELECT event_id, props, "value", lag("value") OVER (ORDER BY props NULLS FIRST, event_id NULLS FIRST) AS valor_anterior FROM events""",
+    "sliced_quantiles": f"""
+SELECT event_type, count("value") AS n, {R('avg("value")', 6)} AS media, {R('stddev_samp("value")', 6)} AS desvio_padrao,
+       {R('min("value")', 6)} AS minimo, {R('max("value")', 6)} AS maximo, {R('quantile_cont("value", 0.25)', 6)} AS q1,
+       {R('quantile_cont("value", 0.5)', 6)} AS mediana, {R('quantile_cont("value", 0.75)', 6)} AS q3
+FROM events GROUP BY event_type""",
+    "merged_sketches": """
+SELECT event_type, count("value") AS n, TRUE AS q25_no_limite, TRUE AS mediana_no_limite, TRUE AS q95_no_limite FROM events GROUP BY event_type""",
     "yearly_trend": TREND + "\nSELECT * FROM trend",
     "top_changes": TREND + """
 SELECT ano, uf, rede, variacao_anual, vai_atingir_2030 FROM trend WHERE variacao_anual IS NOT NULL

@@ -93,3 +93,25 @@ def test_empty_table(spark):
     df = _table(spark, "text").where("false")
     assert W.rank_within(df, ["g"], "v").count() == 0 and W.lag_within(df, ["g"], ["v"], "i", "p").count() == 0
     assert with_slices(df, ["g", "v"], "s", 0, 8).count() == 0
+
+
+def test_sketches_of_days_merge_to_the_sketch_of_all(spark):
+    values = np.random.default_rng(5).normal(size=20000)
+    df = spark.createDataFrame([("a" if i % 4 else "b", i % 7, float(v)) for i, v in enumerate(values)], "g string, dia int, v double")
+    stored = A.quantile_sketches(df.unionByName(spark.createDataFrame([("c", 0, None)], df.schema)), "v", ["g", "dia"])
+    for kept in ([0, 1, 2, 3, 4, 5, 6], [0, 2, 5]):  # all days, and some of them taken away
+        merged = A.merge_sketches(stored.where(F.col("dia").isin(kept)), ["g"])
+        got = {r.g: r for r in A.sketch_quantiles(merged, [0.1, 0.5, 0.9]).collect()}
+        assert got["c"].n == 0 and got["c"].q50 is None
+        for g in "ab":
+            own = np.array([v for i, v in enumerate(values) if (i % 4 == 0) == (g == "b") and i % 7 in kept])
+            assert got[g].n == len(own)
+            assert all(abs((own <= got[g][f"q{int(100 * p)}"]).mean() - p) < 0.02 for p in (0.1, 0.5, 0.9))
+
+
+def test_describe_reads_its_input_once(spark):
+    df = _table(spark, "skewed")
+    once = A.describe(df, "v", ["g"])
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Join" not in plan and "Union" not in plan
+    assert _rows(once) == _rows(A.describe(df, "v", ["g"], slice_rows=300))
