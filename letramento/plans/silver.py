@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dims
 from ..operators import clean as C
+from ..operators.quality import reject_reasons
 from ..sources import schemas
-from ..sources.io import folder_exists, read_optional, read_students, write_layer
+from ..sources.io import folder_exists, read_layer, read_optional, read_students, write_layer
 from ..sources.versions import Version, current_version, partition_values, read_version
 from ..streaming.replay import replayed_since
 from .bronze import STUDENT_BATCH_TABLE, STUDENT_REPLAY_TABLE, STUDENT_STREAM_TABLE
@@ -25,6 +26,10 @@ from .concurrency import DEFAULT_WORKERS, run_all
 
 ORDER = ["_timestamp_ingestao"]
 AUDIT_TABLE = "_auditoria"
+#: Folder of the discarded rows, one table per silver table, partitioned by the rule they fail first.
+DISCARDS, PASSED = "_descartes", "ok"
+RULES = ["chave_nula", "fora_do_intervalo"]
+STUDENT_RULES = ["chave_nula", "fora_do_dominio", "fora_do_intervalo"]
 
 
 def _any_null(cols: list[str]) -> Column:
@@ -34,57 +39,51 @@ def _any_null(cols: list[str]) -> Column:
     return cond
 
 
-def _observe_rejects(df: DataFrame, rules: list[tuple[str, Column]], audit: Observation | None) -> DataFrame:
-    """Q8: count rows read and rows failing each rule first (in rule order), on the
-    pass that writes the table; the filters above do not move below this point."""
-    if audit is None:
-        return df
-    metrics, earlier = [F.count(F.lit(1)).alias("lidos")], F.lit(False)
-    for name, failing in rules:
-        metrics.append(F.count_if(~earlier & failing).alias(name))
-        earlier = earlier | failing
-    return df.observe(audit, *metrics)
+def _rejected(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+    """Q8: the rows that fail a rule, with the first one they fail (in rule order) as ``motivo``."""
+    return reject_reasons(df, rules, PASSED).where(F.col("motivo") != PASSED)
 
 
 def _finish(df: DataFrame, keys: list[str], rate: str = "taxa_alfabetizacao", lo: float = 0, hi: float = 100,
-            audit: Observation | None = None) -> DataFrame:
+            rejected: bool = False) -> DataFrame:
     required = [k for k in keys if k != "serie"]
-    df = _observe_rejects(df, [("chave_nula", _any_null(required)),
-                               ("fora_do_intervalo", F.col(rate).isNotNull() & ~F.col(rate).between(lo, hi))], audit)
+    if rejected:
+        failing = [_any_null(required), F.col(rate).isNotNull() & ~F.col(rate).between(lo, hi)]
+        return _rejected(df, list(zip(RULES, failing)))
     df = C.require_keys(df, required)
     df = C.in_range(df, rate, lo, hi)
     df = C.dedup(df, keys, [c for c in ORDER if c in df.columns])
     return C.stamp_layer(C.drop_lineage(df), "silver")
 
 
-def silver_meta_brasil(df: DataFrame, audit: Observation | None = None) -> DataFrame:
+def silver_meta_brasil(df: DataFrame, rejected: bool = False) -> DataFrame:
     df = C.cast_prefix(C.cast_columns(df, schemas.META_TYPES), "meta_alfabetizacao_")
     df = C.canonicalise_by_name(df, "rede", dims.REDE_BY_NAME)
-    return _finish(df, ["ano", "rede"], audit=audit)
+    return _finish(df, ["ano", "rede"], rejected=rejected)
 
 
-def silver_meta_uf(df: DataFrame, audit: Observation | None = None) -> DataFrame:
+def silver_meta_uf(df: DataFrame, rejected: bool = False) -> DataFrame:
     df = C.cast_prefix(C.cast_columns(df, schemas.META_TYPES), "meta_alfabetizacao_")
     df = C.canonicalise_by_name(C.normalise_code(df, "sigla_uf"), "rede", dims.REDE_BY_NAME)
-    return _finish(df, ["ano", "sigla_uf", "rede"], audit=audit)
+    return _finish(df, ["ano", "sigla_uf", "rede"], rejected=rejected)
 
 
-def silver_meta_municipio(df: DataFrame, audit: Observation | None = None) -> DataFrame:
+def silver_meta_municipio(df: DataFrame, rejected: bool = False) -> DataFrame:
     df = C.cast_prefix(C.cast_columns(df, schemas.META_MUNICIPIO_TYPES), "meta_alfabetizacao_")
     df = C.canonicalise_by_name(df, "rede", dims.REDE_BY_NAME)
-    return _finish(df, ["ano", "id_municipio", "rede"], audit=audit)
+    return _finish(df, ["ano", "id_municipio", "rede"], rejected=rejected)
 
 
-def silver_avaliacao_uf(df: DataFrame, audit: Observation | None = None) -> DataFrame:
+def silver_avaliacao_uf(df: DataFrame, rejected: bool = False) -> DataFrame:
     df = C.cast_family(C.cast_columns(df, schemas.AVALIACAO_TYPES), "proporcao_aluno_nivel_", range(9))
     df = C.canonicalise_by_code(C.normalise_code(df, "sigla_uf"), "rede", dims.REDE_BY_CODE)
-    return _finish(df, ["ano", "sigla_uf", "serie", "rede"], audit=audit)
+    return _finish(df, ["ano", "sigla_uf", "serie", "rede"], rejected=rejected)
 
 
-def silver_avaliacao_municipio(df: DataFrame, audit: Observation | None = None) -> DataFrame:
+def silver_avaliacao_municipio(df: DataFrame, rejected: bool = False) -> DataFrame:
     df = C.cast_family(C.cast_columns(df, schemas.AVALIACAO_MUNICIPIO_TYPES), "proporcao_aluno_nivel_", range(9))
     df = C.canonicalise_by_code(df, "rede", dims.REDE_BY_CODE)
-    return _finish(df, ["ano", "id_municipio", "serie", "rede"], audit=audit)
+    return _finish(df, ["ano", "id_municipio", "serie", "rede"], rejected=rejected)
 
 
 STUDENT_TABLE, STUDENT_KEYS = "Ts_aluno", ["nu_ano_avaliacao", "id_aluno"]
@@ -95,16 +94,16 @@ BUCKETS_SETTING = "letramento.silver.buckets"
 LINEAGE = [n for n, _ in schemas.STUDENT_LINEAGE_FIELDS]
 
 
-def clean_students(df: DataFrame, batch_day: str, audit: Observation | None = None) -> DataFrame:
-    """V6 up to the dedup: typed, normalised pupils with their keys and within range, lineage kept."""
+def clean_students(df: DataFrame, batch_day: str, rejected: bool = False) -> DataFrame:
+    """V6 up to the dedup: typed, normalised pupils with their keys and within range, lineage kept (``rejected``: those that fail, with their reason)."""
     df = C.cast_columns(df, schemas.STUDENT_TYPES)
     df = C.normalise_code(df, "sg_uf")
     df = C.assign_ingest_day(df, batch_day)
     score = F.col("vl_proficiencia_lp")
-    df = _observe_rejects(df, [
-        ("chave_nula", _any_null(["nu_ano_avaliacao", "id_aluno", "co_uf"])),
-        ("fora_do_dominio", ~F.coalesce(F.col("tp_dependencia").isin(1, 2, 3, 4), F.lit(False))),
-        ("fora_do_intervalo", score.isNotNull() & ~score.between(400, 1000))], audit)
+    if rejected:
+        failing = [_any_null(["nu_ano_avaliacao", "id_aluno", "co_uf"]), ~F.coalesce(F.col("tp_dependencia").isin(1, 2, 3, 4), F.lit(False)),
+                   score.isNotNull() & ~score.between(400, 1000)]
+        return _rejected(df, list(zip(STUDENT_RULES, failing)))
     df = C.require_keys(df, ["nu_ano_avaliacao", "id_aluno", "co_uf"])
     df = C.in_set(df, "tp_dependencia", [1, 2, 3, 4])
     return C.in_range(df, "vl_proficiencia_lp", 400, 1000)
@@ -115,9 +114,9 @@ def keep_latest(clean: DataFrame) -> DataFrame:
     return C.dedup(clean.select(*schemas.STUDENT.fieldNames()), STUDENT_KEYS, ORDER)
 
 
-def silver_students(df: DataFrame, batch_day: str, audit: Observation | None = None) -> DataFrame:
+def silver_students(df: DataFrame, batch_day: str) -> DataFrame:
     """V6: batch and stream pupils; range filters first, then one row per (year, pupil)."""
-    return C.stamp_layer(C.drop_lineage(keep_latest(clean_students(df, batch_day, audit))), "silver")
+    return C.stamp_layer(C.drop_lineage(keep_latest(clean_students(df, batch_day))), "silver")
 
 
 def new_buckets(spark: SparkSession) -> int:
@@ -148,19 +147,29 @@ SILVER_TABLES = {
 }
 
 
-def _audit_rows(table: str, audit: Observation, written: int) -> list[tuple[str, str, int]]:
-    m = audit.get
-    rejected = {k: int(v) for k, v in m.items() if k != "lidos"}
-    rows = [(table, "lidos", int(m["lidos"]))]
-    rows += [(table, k, v) for k, v in rejected.items()]
-    rows += [(table, "duplicata", int(m["lidos"]) - sum(rejected.values()) - written), (table, "gravados", written)]
-    return rows
+def write_discards(rejected: DataFrame, silver_root: str, table: str, rules: list[str]) -> dict[str, int]:
+    """Q8: store the discarded rows by reason; rows per reason, counted in the committed files."""
+    root = f"{silver_root.rstrip('/')}/{DISCARDS}"
+    write_layer(rejected, root, table, ["motivo"])
+    found = {r["motivo"]: r["count"] for r in read_layer(rejected.sparkSession, root, table, rejected.schema).groupBy("motivo").count().collect()}
+    return {rule: found.get(rule, 0) for rule in rules}
+
+
+def audit_rows_of(source: DataFrame, rejected: DataFrame, silver_root: str, table: str, rules: list[str], written: int) -> list[tuple[str, str, int]]:
+    """Q8: rows read, discarded by reason, duplicate and written of one table.
+
+    Every number is a count over stored rows (bronze files, committed discards, committed
+    silver), which a task that runs twice cannot change; ``source`` is the bronze commit that
+    the silver rows came from. Discards are a second read of it, and store only the rows that fail.
+    """
+    read, dropped = source.count(), write_discards(rejected, silver_root, table, rules)
+    return [(table, "lidos", read), *[(table, rule, n) for rule, n in dropped.items()],
+            (table, "duplicata", read - sum(dropped.values()) - written), (table, "gravados", written)]
 
 
 def _write_counted(df: DataFrame, silver_root: str, table: str, partition_by: list[str], notes: dict | None = None) -> int:
-    obs = Observation(f"silver_{table}")
-    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), silver_root, table, partition_by, notes=notes)
-    return int(obs.get["rows"])
+    write_layer(df, silver_root, table, partition_by, notes=notes)
+    return read_layer(df.sparkSession, silver_root, table, df.schema).count()
 
 
 def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str, batch_day: str,
@@ -170,12 +179,11 @@ def run_silver_students(spark: SparkSession, bronze_root: str, silver_root: str,
     students = read_students(spark, [f"{bronze_root.rstrip('/')}/{t}" for t in tables])
     if students is None:
         return None
-    audit = Observation("audit_Ts_aluno")
     buckets = new_buckets(spark)
-    stored = stored_students(keep_latest(clean_students(students, batch_day, audit)), buckets)
+    stored = stored_students(keep_latest(clean_students(students, batch_day)), buckets)
     n = _write_counted(stored, silver_root, STUDENT_TABLE, STUDENT_PARTITIONS, {"buckets": buckets, "replay": replay.number if replay else 0})
     if audit_rows is not None:
-        audit_rows += _audit_rows(STUDENT_TABLE, audit, n)
+        audit_rows += audit_rows_of(students, clean_students(students, batch_day, rejected=True), silver_root, STUDENT_TABLE, STUDENT_RULES, n)
     return n
 
 
@@ -245,15 +253,16 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, batch_da
     """V1-V6 (tables concurrently; bronze tables that do not exist are skipped), plus
     the discard audit ``_auditoria`` (rows read, dropped per rule, duplicates, written)."""
     present = {t: df for t in SILVER_TABLES if (df := read_optional(spark, bronze_root, t)) is not None}
-    audits = {table: Observation(f"audit_{table}") for table in present}
-    jobs = {table: (lambda table=table, df=df: _write_counted(SILVER_TABLES[table](df, audits[table]),
-                                                             silver_root, table, ["ano"]))
-            for table, df in present.items()}
-    student_audit: list = []
-    jobs["Ts_aluno"] = lambda: run_silver_students(spark, bronze_root, silver_root, batch_day, student_audit)
+    audit_rows: list[tuple[str, str, int]] = []
+
+    def build(table: str, df: DataFrame) -> int:
+        written = _write_counted(SILVER_TABLES[table](df), silver_root, table, ["ano"])
+        audit_rows.extend(audit_rows_of(df, SILVER_TABLES[table](df, rejected=True), silver_root, table, RULES, written))
+        return written
+
+    jobs = {table: (lambda table=table, df=df: build(table, df)) for table, df in present.items()}
+    jobs["Ts_aluno"] = lambda: run_silver_students(spark, bronze_root, silver_root, batch_day, audit_rows)
     counts = {k: v for k, v in run_all(jobs, workers).items() if v is not None}
-    audit_rows = [row for table in present for row in _audit_rows(table, audits[table], counts[table])]
-    audit_rows += student_audit
     # one row per (table, reason): bounded by the number of tables and rules
     audit_df = spark.createDataFrame(audit_rows, "tabela string, motivo string, registros long")
     write_layer(audit_df.coalesce(1), silver_root, AUDIT_TABLE)
