@@ -2,8 +2,8 @@
 
 All are ``groupBy().agg()`` with built-in aggregates, so Spark runs a partial
 aggregate in every map task before the shuffle: a hot key costs one row per task.
-Exact quantiles use value positions (see ``windows.value_positions``) instead of
-``percentile``, which would gather every distinct value of a group in one task.
+Exact quantiles use value positions (see ``windows.value_positions``); ``percentile``, which
+gathers every distinct value of a group in one task, only where all rows fit one slice (A8).
 """
 
 from __future__ import annotations
