@@ -31,8 +31,8 @@ def _wavg(value: str | Column, weight: str | None) -> Column:
 
 def exact_mean(score: str) -> Column:
     """Mean through a decimal sum (nine places): the same whatever the order of the rows, so a tie rounds one way."""
-    v = F.col(score)
-    return F.try_divide(F.sum(v.try_cast("decimal(28,9)")).cast("double"), F.count(v))
+    v = F.col(score).try_cast("decimal(28,9)")  # a value that does not fit (NaN, huge) counts neither above nor below the line
+    return F.try_divide(F.sum(v).cast("double"), F.count(v))
 
 
 def student_indicators(df: DataFrame, keys: Sequence[str], *, present: str = "in_presenca_lp",
@@ -44,20 +44,51 @@ def student_indicators(df: DataFrame, keys: Sequence[str], *, present: str = "in
     With ``weight`` (e.g. the pupil sample weight) the mean score and the rate are
     weighted; the counts stay plain counts.
     """
+    if weight is None:
+        return indicators_of(indicator_states(df, keys, present=present, literate=literate, score=score), keys,
+                             with_minmax=with_minmax, scale=scale)
+    w = F.coalesce(F.col(weight), F.lit(0.0))
     aggs = [F.count(F.lit(1)).alias("total_alunos_avaliados"),
-            F.sum(literate).cast("bigint").alias("total_alfabetizados"),
-            (_wavg(score, weight) if weight is not None else exact_mean(score)).alias("media_proficiencia")]
-    if weight is not None:
-        w = F.coalesce(F.col(weight), F.lit(0.0))
-        aggs.append(F.try_divide(F.sum(F.coalesce(F.col(literate), F.lit(0)) * w), F.sum(w)).alias("_wrate"))
+            F.sum(literate).cast("bigint").alias("total_alfabetizados"), _wavg(score, weight).alias("media_proficiencia"),
+            F.try_divide(F.sum(F.coalesce(F.col(literate), F.lit(0)) * w), F.sum(w)).alias("_wrate")]
     if with_minmax:
         aggs += [F.min(score).alias("min_proficiencia"), F.max(score).alias("max_proficiencia")]
     out = df.where(F.col(present) == 1).groupBy(*keys).agg(*aggs)
-    rate = (round_half_up(F.col("_wrate") * 100, scale) if weight is not None
-            else percent("total_alfabetizados", "total_alunos_avaliados", scale))
-    out = out.withColumn("taxa_alfabetizacao", rate).withColumn("media_proficiencia",
-                                                                round_half_up("media_proficiencia", scale))
-    return out.drop("_wrate") if weight is not None else out
+    return (out.withColumn("taxa_alfabetizacao", round_half_up(F.col("_wrate") * 100, scale))
+            .withColumn("media_proficiencia", round_half_up("media_proficiencia", scale)).drop("_wrate"))
+
+
+#: How the columns of a state merge. Counts and decimal sums do so exactly, whatever the order.
+STATE_MERGES = {"total_alunos_avaliados": F.sum, "total_alfabetizados": F.sum, "soma": F.sum, "com_nota": F.sum,
+                "min_proficiencia": F.min, "max_proficiencia": F.max}
+
+
+def indicator_states(df: DataFrame, keys: Sequence[str], *, present: str = "in_presenca_lp", literate: str = "in_alfabetizado",
+                     score: str = "vl_proficiencia_lp") -> DataFrame:
+    """A1/A2 as partial aggregates to store: counts, the score's decimal sum and number, least and greatest score per key.
+
+    States of disjoint rows merge (``merge_states``) to the state of all of them. Least and
+    greatest cannot be subtracted, so rows are taken back by replacing the states of the
+    unit they came in (a day, a folder): let ``keys`` hold it.
+    """
+    v = F.col(score).try_cast("decimal(28,9)")
+    return df.where(F.col(present) == 1).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_alunos_avaliados"), F.sum(literate).cast("bigint").alias("total_alfabetizados"),
+        F.sum(v).alias("soma"), F.count(v).alias("com_nota"), F.min(score).alias("min_proficiencia"), F.max(score).alias("max_proficiencia"))
+
+
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """States by ``keys``, some or all of those that ``states`` has."""
+    return states.groupBy(*keys).agg(*[merge(c).alias(c) for c, merge in STATE_MERGES.items()])
+
+
+def indicators_of(states: DataFrame, keys: Sequence[str], with_minmax: bool = True, scale: int = 2) -> DataFrame:
+    """The indicators of ``student_indicators`` from one state per key."""
+    mean = F.try_divide(F.col("soma").cast("double"), F.col("com_nota"))
+    return states.select(
+        *keys, "total_alunos_avaliados", "total_alfabetizados", round_half_up(mean, scale).alias("media_proficiencia"),
+        *(["min_proficiencia", "max_proficiencia"] if with_minmax else []),
+        percent("total_alfabetizados", "total_alunos_avaliados", scale).alias("taxa_alfabetizacao"))
 
 
 def flag_literacy(df: DataFrame, score: str, out: str = "in_alfabetizado", cutoff: float = 743) -> DataFrame:

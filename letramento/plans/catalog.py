@@ -2,7 +2,7 @@
 
 Each query takes (spark, sf_dir) and returns a DataFrame without running an action
 except ``stream_ingest``, ``stream_refresh``, ``stream_dedup``, ``stream_running_rate``,
-``stream_replay``, ``silver_merged`` and ``replaced_years``, which run their streams or
+``stream_replay``, ``silver_merged``, ``merged_states`` and ``replaced_years``, which run their streams or
 writes to completion first, and the ``gold_*``, ``roundtrip_layers`` and ``silver_quality`` queries, which read
 one run of all layers per session and input folder. Rankings, lags and quantiles count their input first
 (W1-W3, A8, A9). The SQL twin of every query lives
@@ -168,6 +168,22 @@ def student_indicators_fine(spark: SparkSession, sf: str) -> DataFrame:
                                 present="presente", literate="flag", score="score", with_minmax=False)
 
 
+def merged_states(spark: SparkSession, sf: str) -> DataFrame:
+    """G4 from states stored per day: some kinds of rows, then late days and days delivered again whole, whose states are replaced."""
+    e = read_table(spark, sf, "events").select(F.col("event_id").alias("id_aluno"), F.to_date("ts").alias("dia"))
+    rows = pupil(spark, sf).join(e, "id_aluno")
+    keys, root = ["ano", "co_uf", "rede"], scratch_path(spark, "merged-states")
+
+    def load(arrived: DataFrame, days=None) -> None:
+        states = A.indicator_states(arrived, [*keys, "dia"], present="presente", literate="flag", score="score")
+        write_layer(states, root, "estados", ["dia"], replace=days)
+
+    load(rows.where("day(dia) <= 20 and rede in ('view', 'click')"))
+    again = rows.where("day(dia) > 15")
+    load(again, [r.dia for r in again.select("dia").distinct().collect()])  # one value per day of the calendar
+    return A.indicators_of(A.merge_states(read_layer(spark, root, "estados"), keys), keys)
+
+
 def indicator_rollup(spark: SparkSession, sf: str) -> DataFrame:
     out = A.rollup_indicators(_indicators_uf(spark, sf), ["co_uf"])
     return out.withColumn("media_prof", round_half_up("media_prof", 6))
@@ -547,6 +563,7 @@ QUERIES = {
     "ordered_year": ordered_year,
     "student_indicators_uf": student_indicators_uf,
     "student_indicators_fine": student_indicators_fine,
+    "merged_states": merged_states,
     "indicator_rollup": indicator_rollup,
     "totals": totals,
     "regional_inequality": regional_inequality,

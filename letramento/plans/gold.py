@@ -5,6 +5,7 @@ reads silver, builds every table whose inputs exist and writes it partitioned.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,10 @@ from ..operators import aggregates as A
 from ..operators import clean as C
 from ..operators import windows as W
 from ..sources.io import read_optional, write_layer
-from ..sources.versions import commit_numbers, current_version, partition_values, read_commit
+from ..sources.versions import Version, commit_numbers, current_version, partition_values, read_commit, read_version
 from ..sources.schemas import LEVEL_COLUMNS, TARGET_COLUMNS
 from .concurrency import DEFAULT_WORKERS, run_all
+from .silver import BUCKET, STUDENT_PARTITIONS, STUDENT_TABLE
 
 T, M30, M26 = "taxa_alfabetizacao", "meta_alfabetizacao_2030", "meta_alfabetizacao_2026"
 PANORAMA_COLUMNS = ["ano", "rede", T, *TARGET_COLUMNS, "percentual_participacao"]
@@ -51,15 +53,25 @@ def ranking(avaliacao_municipio: DataFrame) -> DataFrame:
     return C.stamp_layer(df, "gold")
 
 
+UF_KEYS = ["nu_ano_avaliacao", "sg_uf", "tp_dependencia"]
+MUNICIPALITY_KEYS = ["nu_ano_avaliacao", "sg_uf", "co_municipio", "no_municipio", "tp_dependencia"]
+
+
 def indicadores_alunos(students: DataFrame) -> DataFrame:
     """Pupil indicators by (year, state, network)."""
-    return C.stamp_layer(A.student_indicators(students, ["nu_ano_avaliacao", "sg_uf", "tp_dependencia"]), "gold")
+    return C.stamp_layer(A.student_indicators(students, UF_KEYS), "gold")
 
 
 def indicadores_alunos_municipio(students: DataFrame) -> DataFrame:
     """Pupil indicators by municipality."""
-    keys = ["nu_ano_avaliacao", "sg_uf", "co_municipio", "no_municipio", "tp_dependencia"]
-    return C.stamp_layer(A.student_indicators(students, keys, with_minmax=False), "gold")
+    return C.stamp_layer(A.student_indicators(students, MUNICIPALITY_KEYS, with_minmax=False), "gold")
+
+
+def indicadores_from_states(states: DataFrame) -> dict[str, DataFrame]:
+    """G4 and G5 from stored states: the states of a municipality merge to its row, and to the row of its state."""
+    return {"indicadores_alunos": C.stamp_layer(A.indicators_of(A.merge_states(states, UF_KEYS), UF_KEYS), "gold"),
+            "indicadores_alunos_municipio": C.stamp_layer(
+                A.indicators_of(A.merge_states(states, MUNICIPALITY_KEYS), MUNICIPALITY_KEYS, with_minmax=False), "gold")}
 
 
 def features_ml(meta_municipio: DataFrame) -> DataFrame:
@@ -159,6 +171,38 @@ def build_gold(spark: SparkSession, silver_root: str, years: Sequence[int] | Non
 
 
 STUDENT_GOLD = {"indicadores_alunos", "indicadores_alunos_municipio"}
+#: States of the pupil indicators (``aggregates.indicator_states``), one folder for each folder of silver pupils.
+STATES_TABLE = "_estados_alunos"
+
+
+def _in_years(version: Version, years: Sequence[int] | None) -> Version:
+    if years is None:
+        return version
+    wanted = {str(y) for y in years}
+    return replace(version, folders={f: p for f, p in version.folders.items() if partition_values(f)["nu_ano_avaliacao"] in wanted})
+
+
+def refresh_states(spark: SparkSession, silver_root: str, gold_root: str) -> Version | None:
+    """Bring the stored states up to silver pupils; their commit, None if there are no pupils.
+
+    Only silver folders whose files differ from those the states were made of are read, and
+    their states replaced. What came late, was replaced or went away is thereby taken back
+    and counted anew, exactly. All folders are read where there are no states yet, or where
+    the silver commit they were made of has been removed.
+    """
+    path, states = f"{silver_root.rstrip('/')}/{STUDENT_TABLE}", f"{gold_root.rstrip('/')}/{STATES_TABLE}"
+    now, last = current_version(spark, path), current_version(spark, states)
+    if now is None:
+        return None
+    known = last is not None and last.notes["silver"] in commit_numbers(spark, path)
+    changed = now.changed_since(read_commit(spark, path, last.notes["silver"]) if known else None)
+    if known and not changed:
+        return last
+    rows = read_version(spark, path, replace(now, folders={f: p for f, p in now.folders.items() if f in changed}))
+    write_layer(A.indicator_states(rows, [*MUNICIPALITY_KEYS, BUCKET]), gold_root, STATES_TABLE, STUDENT_PARTITIONS, base=last if known else None,
+                replace=[tuple(partition_values(f)[c] for c in STUDENT_PARTITIONS) for f in sorted(changed)] if known else None,
+                notes={"silver": now.number})
+    return current_version(spark, states)
 
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[str] | None = None,
@@ -168,11 +212,15 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[st
     With ``years``, only those year partitions are recomputed and replaced (a year that
     has no rows any more ends up empty); the other years of each table stay as they are.
     The pupil tables' commits note up to which commit of silver ``Ts_aluno`` they hold
-    everything: the present one when all years are built, else ``built_from``, else as before.
+    everything. They are merged from the stored states when all years are built or
+    ``built_from`` names that commit, and else, for single years, read from silver.
     """
-    if years is None:
-        version = current_version(spark, f"{silver_root.rstrip('/')}/Ts_aluno")
-        built_from = version.number if version else None
+    tables = {n: df for n, df in build_gold(spark, silver_root, years).items() if only is None or n in only}
+    if built_from is not None or (years is None and STUDENT_GOLD & tables.keys()):
+        states = refresh_states(spark, silver_root, gold_root)
+        built_from = states.notes["silver"] if built_from is None else built_from
+        stored = indicadores_from_states(read_version(spark, f"{gold_root.rstrip('/')}/{STATES_TABLE}", _in_years(states, years)))
+        tables.update({n: df for n, df in stored.items() if only is None or n in only})
 
     def notes(name: str) -> dict:
         if name not in STUDENT_GOLD:
@@ -192,7 +240,6 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, only: set[st
             write_layer(df, gold_root, name, parts, replace=years, notes=notes(name))
         return name
 
-    tables = {n: df for n, df in build_gold(spark, silver_root, years).items() if only is None or n in only}
     return list(run_all({n: (lambda n=n, df=df: write(n, df)) for n, df in tables.items()}, workers).values())
 
 
@@ -217,7 +264,11 @@ def stale_years(spark: SparkSession, silver_root: str, gold_root: str) -> tuple[
 
 
 def refresh_gold_students(spark: SparkSession, silver_root: str, gold_root: str) -> list[str]:
-    """ST11: the pupil gold tables brought up to silver; only years that changed are read and replaced."""
+    """ST11, G4, G5: the pupil gold tables brought up to silver.
+
+    Pupils are read from the silver folders that changed, to renew their states; the
+    changed years of the tables are then merged from states.
+    """
     years, number = stale_years(spark, silver_root, gold_root)
     if years == []:
         return []

@@ -618,6 +618,7 @@ SQL["stream_replay"] = STUDENT_RECORD.replace("'stream_kinesis'", "'quarentena'"
 SQL["silver_merged"] = SILVER + """
 SELECT nu_ano_avaliacao, sg_uf, id_aluno, tp_dependencia, co_municipio, no_municipio, in_presenca_lp, vl_proficiencia_lp, in_alfabetizado
 FROM s_students_ok WHERE id_aluno IN (SELECT event_id FROM pev WHERE coalesce(k, '') NOT IN ('0', '1'))"""
+SQL["merged_states"] = SQL["student_indicators_uf"].replace("FROM events)", "FROM events WHERE day(ts) > 15 OR event_type IN ('view', 'click'))")
 SQL["replaced_years"] = KPI + """
 SELECT * FROM kpi WHERE ano NOT IN (1997, 1998) OR (ano = 1997 AND regiao = 'ASIA') OR (ano = 1998 AND regiao = 'EUROPE')"""
 
