@@ -9,7 +9,10 @@ less than one sequence.
 
 Partitions pack on their own: nothing is shuffled, a long document or a hot source
 never meets in one task, and a lost task is simply run again. Identifiers of sequences
-are the partition (high bits) and a counter (low 33 bits).
+are the partition (high bits) and a counter (low 33 bits). With ``order`` (``file_order``
+for rows that were written in order) they are the place of the block's first document
+and a counter, so that sequences follow that order from block to block, however Spark
+deals the files to tasks; blocks then end where the order breaks off.
 
 Defined results: null or empty text is the single id 0; repeated rows are packed each;
 a null identifier is kept; an empty table gives an empty result.
@@ -18,6 +21,7 @@ a null identifier is kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -25,7 +29,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letramento.llm.common import blocks, column, short_batches, tidied
@@ -36,6 +41,9 @@ END_ID = 0
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 BLOCK_TOKENS = 1 << 19
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: With ``order``, a sequence's identifier: file (20 bits), first row of the block (22), counter (21); anything larger is refused.
+FILE_BITS, ROW_BITS, COUNT_BITS = 20, 22, 21
+_PART = re.compile(r"part-(\d+)-[^/]*$")
 _LONG_SPACE = re.compile(r"\s{256}")
 
 
@@ -96,21 +104,48 @@ def pack_block(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int,
     return out
 
 
-def _pack(path: str, ranks_path: str | None, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _runs(docs: Iterator[tuple], ordered: bool) -> Iterator[Iterator[tuple]]:
+    """Stretches of documents (id, ids, file, row) of one file in ascending order; one stretch of all if there is no order."""
+    if not ordered:
+        yield docs
+        return
+    number, last = 0, None
+
+    def stretch(d):
+        nonlocal number, last
+        if last is not None and (d[2] != last[0] or d[3] <= last[1]):
+            number += 1
+        last = d[2], d[3]
+        return number
+
+    for _, run in itertools.groupby(docs, stretch):
+        yield run
+
+
+def ordered_base(file: int, row: int, sequences: int) -> int:
+    """First identifier of a block's sequences, in the order of (file, row)."""
+    if file >> FILE_BITS or row >> ROW_BITS or sequences >> COUNT_BITS:
+        raise ValueError(f"file {file}, row {row}, {sequences} sequences: too large for an ordered identifier; write smaller or fewer files")
+    return ((file << ROW_BITS) + row) << COUNT_BITS
+
+
+def _pack(path: str, ranks_path: str | None, capacity: int, ordered: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, base = TextTokenizer(path, ranks_path), TaskContext.get().partitionId() << 33
         end = np.array([END_ID], "<u4").tobytes()
 
         def encoded():
             for b in batches:
-                for i, t in zip(column(b, "id"), column(b, "t")):
-                    yield i, tokenizer.encode(t or "") + end
+                for i, t, *place in zip(column(b, "id"), column(b, "t"), *[column(b, c) for c in ("file", "at") if ordered]):
+                    yield i, tokenizer.encode(t or "") + end, *place
 
-        for block in blocks(encoded(), lambda d: len(d[1]) // 4, BLOCK_TOKENS):
-            lengths = [len(ids) // 4 for _, ids in block]
+        for block in itertools.chain.from_iterable(blocks(r, lambda d: len(d[1]) // 4, BLOCK_TOKENS) for r in _runs(encoded(), ordered)):
+            lengths = [len(d[1]) // 4 for d in block]
             pieces = pack_block(lengths, capacity)
             crc = [zlib.crc32(memoryview(block[i][1])[4 * s:4 * (s + n)]) for i, s, n, _, _ in pieces]
             doc, start, length, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
+            if ordered:
+                base = ordered_base(block[0][2], block[0][3], int(seq.max()) + 1)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array([block[i][0] for i in doc], pa.int64()), "start": start, "length": length,
                 "ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": np.array(lengths, np.int64)[doc],
@@ -120,9 +155,32 @@ def _pack(path: str, ranks_path: str | None, capacity: int) -> Callable[[Iterato
     return run
 
 
+def file_order(docs: DataFrame) -> tuple[Column, Column] | None:
+    """(number of the file, row in it) for rows read from the files of one ordered write; None if they do not come from such files.
+
+    Spark names the files it writes by partition. The names come from the listing that the
+    scan holds anyway; no row is read.
+    """
+    found = [_PART.search(f) for f in docs.inputFiles()]
+    if not found or None in found or len({int(m[1]) for m in found}) < len(found):
+        return None
+    try:
+        meta = docs.metadataColumn("_metadata")
+        place = F.regexp_extract(meta["file_name"], _PART.pattern, 1).cast("long"), meta["row_index"]
+        docs.select(*place).schema  # resolved here: rows of a plan above the scan have no place
+    except AnalysisException:
+        return None
+    return place
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                   capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+                   capacity: int = CAPACITY, ranks_path: str | None = None, order: tuple[Column, Column] | None = None) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``order``: two whole numbers per row, not null, that tell all rows apart and ascend
+    within a partition's stretches; ``sequence_id`` then ascends with them from block to block.
+    """
     short_batches(docs.sparkSession)
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t")) \
-        .mapInArrow(tidied(_pack(tokenizer_path, ranks_path, capacity)), SCHEMA)
+    place = () if order is None else (order[0].cast("long").alias("file"), order[1].cast("long").alias("at"))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"), *place) \
+        .mapInArrow(tidied(_pack(tokenizer_path, ranks_path, capacity, order is not None)), SCHEMA)
