@@ -1,16 +1,18 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A lexicon transducer rewrites the words of a clause as symbols (insult, threat, target,
-negation, reported speech, other). Over the symbols run four small transducers, composed
-into one automaton whose state is the tuple of theirs:
+negation, reported speech, other). A second one reads them from the end and marks the
+insults that a target follows. Over the result run four small transducers, composed into
+one automaton whose state is the tuple of theirs:
 
-* target: an insult or threat in a clause that addresses someone weighs more;
+* target: an insult with a target before or after it in its clause weighs more, once;
 * threat: a threat counts only with a target after it;
 * negation: reaches over the next ``REACH`` words and takes most of the weight;
 * reported speech: what follows a verb of saying in its clause keeps half of the weight.
 
-A document's evidence is the sum of its clauses' weights; a logistic curve fitted on a
-bounded sample of labelled rows (``labelled.FIT_ROWS``) makes it a score. The labels add
+A document's evidence is the sum of its clauses' weights; a logistic curve over its
+logarithm, fitted on a bounded sample of labelled rows (``labelled.FIT_ROWS``), makes it
+a score, so that much evidence still ranks above less. The labels add
 word stems to the insults: beginnings of ``STEMS`` letters that mark toxic but hardly any
 other labelled documents, so that inflected and joined words of any language match.
 Labels, lang, source and identifiers are never inputs of a score.
@@ -43,6 +45,7 @@ TARGETS = "you your yours yourself u he she they them him her his their it this
 NEGATIONS = "not no never neither nor isn't aren't wasn't don't doesn't didn't won't without".split()
 REPORTS = "said says say told tells wrote writes quoted quotes called calls reported reportedly claimed claims alleged".split()
 INSULT, THREAT, TARGET, NEGATION, REPORT = "I", "H", "T", "N", "R"
+AIMED_INSULT = "A"
 OTHER = "o"
 REACH = 3
 PLAIN, AIMED, THREATENED = 1.0, 1.5, 1.5
@@ -52,16 +55,29 @@ STEMS = range(4, 11)
 LEAST_TOXIC, TOXIC_SHARE, MOST_STEMS = 6, 0.7, 4000
 KNOWN_WORDS = 400_000
 #: Slope and intercept of the curve where labels cannot fit one: one plain insult scores 0.82.
-DEFAULT_CURVE = (4.0, -2.5)
+DEFAULT_CURVE = (5.77, -2.5)
 
 _CLAUSE = re.compile(r"[.!?;:\n\r]+|\b(?:but|although|however)\b")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
 
+def mark_aimed(symbols: list[str]) -> list[str]:
+    """The transducer that reads from the end: an insult becomes an aimed one if a target follows in the clause."""
+    out, followed = list(symbols), False
+    for k in range(len(out) - 1, -1, -1):
+        if out[k] == TARGET:
+            followed = True
+        elif followed and out[k] == INSULT:
+            out[k] = AIMED_INSULT
+    return out
+
+
 def target_transducer(state, symbol):
-    """Remembers that the clause addresses someone; an aimed insult weighs more."""
+    """Remembers that the clause addresses someone; weighs insults that a target comes before or (marked) after."""
     state = state or symbol == TARGET
-    return state, (AIMED if state else PLAIN) if symbol == INSULT else 1.0
+    if symbol == AIMED_INSULT:
+        return state, AIMED
+    return state, (AIMED if state else PLAIN) if symbol == INSULT else 0.0
 
 
 def threat_transducer(state, symbol):
@@ -91,7 +107,7 @@ def step(state: tuple, symbol: str) -> tuple[tuple, float]:
     threat, threatened = threat_transducer(state[1], symbol)
     negation, negated = negation_transducer(state[2], symbol)
     report, reported = report_transducer(state[3], symbol)
-    weight = (insult if symbol == INSULT else threatened) * negated * reported
+    weight = (insult + threatened) * negated * reported  # no symbol has both
     return (aim, threat, negation, report), weight
 
 
@@ -133,13 +149,10 @@ class Grammar:
     def clause_weight(self, tagged: list[tuple[str, float]]) -> float:
         """Weight of one clause of (symbol, strength)."""
         state, total = START, 0.0
-        for symbol, strength in tagged:
+        for symbol, (_, strength) in zip(mark_aimed([s for s, _ in tagged]), tagged):
             state, weight = self._step(state, symbol)
             if weight:
-                total += weight * (strength if symbol == INSULT else 1.0)
-        # A target after the first insult aims it too: the target transducer read from the end.
-        if total and state[0] and next((s for s, _ in tagged if s in (TARGET, INSULT)), OTHER) == INSULT:
-            total *= AIMED / PLAIN
+                total += weight * (1.0 if symbol == TARGET else strength)  # a threat weighs where its target ends it
         return total
 
     def evidence(self, text: str | None) -> float:
@@ -153,14 +166,14 @@ class Grammar:
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         a, b = self.curve
-        return 1 / (1 + np.exp(-(a * np.minimum(evidence, 50) + b)))
+        return 1 / (1 + np.exp(-(a * np.log1p(evidence) + b)))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Ridge-penalised logistic regression by Newton steps; the slope is kept positive."""
+    """Ridge-penalised logistic regression on the logarithm of the evidence by Newton steps; the slope is kept positive."""
     if not len(y) or y.min() == y.max():
         return DEFAULT_CURVE
-    d, w = np.stack([np.minimum(x, 50), np.ones(len(x))], 1), np.zeros(2)
+    d, w = np.stack([np.log1p(x), np.ones(len(x))], 1), np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-d @ w))
         w = w + np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d + np.diag([0.05, 0.05]), d.T @ (y - p) - 0.05 * w)

@@ -309,7 +309,37 @@ def test_toxicity_grammar():
     assert g.evidence(None) == g.evidence("") == 0
 
 
-def test_toxicity_scores_and_odd_rows(docs, odd, none, labels):
+def rules_weight(tagged):
+    """Weight of a clause by the four rules, each looked up directly in the whole clause."""
+    total, symbols = 0.0, [s for s, _ in tagged]
+    for k, (symbol, strength) in enumerate(tagged):
+        before = symbols[:k]
+        scale = (0.3 if "N" in symbols[max(0, k - 3):k] else 1.0) * (0.5 if "R" in before else 1.0)
+        if symbol == "I":
+            total += scale * strength * (1.5 if "T" in symbols else 1.0)
+        elif symbol == "T":
+            since = before[max((j + 1 for j, s in enumerate(before) if s == "T"), default=0):]
+            total += scale * 1.5 * ("H" in since)
+    return total
+
+
+def test_toxicity_automaton_equals_direct_rules():
+    rng, g = np.random.default_rng(5), toxicity.Grammar()
+    for n in list(range(9)) * 400:
+        tagged = [(s, float(rng.choice([0.25, 1.0])) if s == "I" else 1.0) for s in rng.choice(list("IHTNRo"), n)]
+        assert g.clause_weight(tagged) == pytest.approx(rules_weight(tagged)), tagged
+    assert g.evidence("idiot you idiot") == 3.0
+    assert g.evidence("idiot, i will hurt you") == g.evidence("i will hurt you, idiot") == 3.0
+    scores = g.score(np.array([0, 1, 49, 50, 51, 200, 400], float))
+    assert (np.diff(scores) > 0).all() and scores[1] > 0.8 > 0.1 > scores[0]
+
+
+def test_toxicity_scores_and_odd_rows(spark, docs, odd, none, labels):
+    large = "/root/testdata/sf0.1"  # 144 toxic rows are held out here, 18 at sf0.01
+    held = toxicity.score_toxicity(read_table(spark, large, "documents"), read_table(spark, large, "labels")).where("held_out") \
+        .join(read_table(spark, large, "labels"), "doc_id").select("predicted", "toxic").collect()
+    assert sum(r.predicted == r.toxic for r in held) >= 0.9 * len(held) > 100
+    assert sum(r.predicted for r in held if r.toxic) >= 0.8 * sum(r.toxic for r in held) > 0
     got = toxicity.score_toxicity(docs, labels).join(labels, "doc_id")
     assert got.where("predicted = toxic").count() >= 0.9 * got.count()
     assert got.where("score < 0 or score > 1").count() == 0
@@ -446,6 +476,36 @@ def test_packing_round_trip(docs, odd, none):
     assert packing.pack_documents(none, tokenizer_path()).count() == 0
 
 
+def test_packing_follows_the_order_of_files(spark, none, monkeypatch):
+    """Files of unlike size, which Spark deals to tasks largest first, and several of them to one task."""
+    rows = [(i, " ".join(["word"] * ((7 * i) % 90 + 5 * (i // 100))), i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, at long").repartitionById(10, F.expr("cast(at div 100 as int)")).sortWithinPartitions("at")
+    docs = materialize(df, "test-ordered").select("doc_id", "text")
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 2000)
+    pieces = packing.pack_documents(docs, tokenizer_path(), order=packing.file_order(docs)).collect()
+    first, last, sums = {}, {}, collections.Counter()
+    for p in pieces:
+        block = p.sequence_id >> packing.COUNT_BITS
+        first[block], last[block] = min(first.get(block, p.doc_id), p.doc_id), max(last.get(block, p.doc_id), p.doc_id)
+        sums[p.doc_id] += p.length
+    order = sorted(first)
+    assert len(order) > 10 and len(sums) == 1000
+    assert all(last[a] < first[b] for a, b in zip(order, order[1:]))  # sequences of a later block hold later documents only
+    spans = collections.defaultdict(list)
+    for p in pieces:
+        spans[p.sequence_id].append((p.offset, p.length))
+    for s in spans.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    assert packing.file_order(docs.groupBy("doc_id").agg(F.max("text").alias("text"))) is None
+    assert packing.file_order(spark.createDataFrame([(1, "a")], "doc_id long, text string")) is None
+    with pytest.raises(ValueError):
+        packing.ordered_base(1, 1 << packing.ROW_BITS, 1)
+
+
 def test_packing_cuts_only_what_no_open_sequence_holds():
     rng = np.random.default_rng(4)
     for _ in range(20):

@@ -4,7 +4,7 @@ import re
 
 import corpus_pipeline
 import __spark_entry__ as E
-from letramento.llm import simhash
+from letramento.llm import mixing, packing, simhash
 from letramento.llm.common import materialize, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -31,6 +31,13 @@ def test_stages_take_effect(spark):
     assert not any(a < b and (prints[a] ^ prints[b]).bit_count() <= 3 for a in kept for b in kept)
     assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, near.collect()))
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept
+    # the sequences follow the mix: the blocks' first documents ascend in it
+    place = {r.doc_id: r.mix_position for r in mixing.mix_sources(near).select("doc_id", "mix_position").collect()}
+    blocks = {}
+    for p in packed.collect():
+        blocks.setdefault(p.sequence_id >> packing.COUNT_BITS, set()).add(place[p.doc_id])
+    spans = [(min(b), max(b)) for _, b in sorted(blocks.items())]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
 def test_all_operators_are_registered():
