@@ -42,10 +42,10 @@ STUDENT_STREAM_TABLE = "Ts_aluno_stream"
 STUDENT_REPLAY_TABLE = "Ts_aluno_replay"
 
 
-def _write_counted(df: DataFrame, root: str, table: str, partition_by) -> int:
+def _write_counted(df: DataFrame, root: str, table: str, partition_by, rebalance: bool = True) -> int:
     obs = Observation(table)
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_layer(counted, root, table, partition_by)
+    write_layer(counted, root, table, partition_by, rebalance=rebalance)
     return int(obs.get["rows"])
 
 
@@ -80,7 +80,8 @@ def ingest_students(spark: SparkSession, raw_path: str, bronze_root: str, sep: s
     """
     df = type_students(read_raw_csv(spark, raw_path, schemas.STUDENT_RAW, sep))
     df = stamp_day(stamp_lineage(df, BATCH_SOURCE, raw_path.rstrip("/").rsplit("/", 1)[-1]))
-    return _write_counted(df, bronze_root, STUDENT_BATCH_TABLE, ["data_ingestao"])
+    # one load has one ingestion day: every task writes one file as it is, nothing is shuffled
+    return _write_counted(df, bronze_root, STUDENT_BATCH_TABLE, ["data_ingestao"], rebalance=False)
 
 
 def run_bronze(spark: SparkSession, raw_files: dict[str, str], bronze_root: str,

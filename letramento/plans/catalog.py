@@ -28,7 +28,7 @@ from ..streaming import health
 from ..streaming.replay import replay_rejected
 from .bronze import STUDENT_REPLAY_TABLE, STUDENT_STREAM_TABLE
 from .extracts import NOISE, envelopes
-from .pipeline import ingest_stream, refresh_students, run_pipeline
+from .pipeline import ingest_stream, refresh_students, run_pipeline, write_inbox
 from .silver import upsert_students
 from .testbed import kpi, kpi_rows, pupil, read_table
 from .validation import silver_checks
@@ -459,7 +459,7 @@ def stream_refresh(spark: SparkSession, sf: str) -> DataFrame:
     early = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
     root = scratch_path(spark, "stream-refresh")
     for arrived in (events.where(early), events):
-        envelopes(arrived).write.mode("append").json(f"{root}/inbox")
+        write_inbox(envelopes(arrived), f"{root}/inbox")
         refresh_students(spark, f"{root}/inbox", root, BATCH_DAY)
     return read_layer(spark, f"{root}/gold", "indicadores_alunos").drop(*CLOCK_COLUMNS)
 
@@ -470,7 +470,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     early = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
     root = scratch_path(spark, "stream-dedup")
     for arrived in (events.where(early), events, events.where(~early)):
-        envelopes(arrived).write.mode("append").json(f"{root}/inbox")
+        write_inbox(envelopes(arrived), f"{root}/inbox")
         ingest_stream(spark, f"{root}/inbox", f"{root}/bronze", "7 days")
     return S.read_ingested(spark, f"{root}/bronze/{STUDENT_STREAM_TABLE}").drop(*CLOCK_COLUMNS)
 
@@ -487,7 +487,7 @@ def stream_running_rate(spark: SparkSession, sf: str) -> DataFrame:
 def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
     """ST6: records with noise before their base64 are rejected, then mended and replayed, twice; each is added once."""
     root = scratch_path(spark, "stream-replay")
-    envelopes(read_table(spark, sf, "events"), damaged="2").write.json(f"{root}/inbox")
+    write_inbox(envelopes(read_table(spark, sf, "events"), damaged="2"), f"{root}/inbox")
     ingest_stream(spark, f"{root}/inbox", f"{root}/bronze")
     for _ in range(2):
         replay_rejected(spark, f"{root}/bronze/{STUDENT_STREAM_TABLE}", f"{root}/bronze/{STUDENT_REPLAY_TABLE}",

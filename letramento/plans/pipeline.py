@@ -9,7 +9,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 
 from ..session import scratch_path
 from ..streaming.events import read_envelope_stream, run_until_done, start_ingest
@@ -26,12 +26,25 @@ _RUNS: dict[tuple[str, str], str] = {}
 _LOCK = threading.Lock()
 
 
+#: Text layers are written compressed. A compressed file is read by one task, so a file holds a bounded number of records.
+TEXT_CODEC, TEXT_RECORDS = "lz4", 25_000
+
+
+def _text_writer(df: DataFrame, mode: str) -> DataFrameWriter:
+    return df.write.mode(mode).option("compression", TEXT_CODEC).option("maxRecordsPerFile", TEXT_RECORDS)
+
+
+def write_inbox(records: DataFrame, inbox: str) -> None:
+    """Add wire records to the inbox of the stream, as JSON lines."""
+    _text_writer(records, "append").json(inbox)
+
+
 def write_raw(extracts: dict[str, DataFrame], raw_root: str) -> dict[str, str]:
-    """Write the extracts as headed CSV (the raw layer), tables concurrently."""
+    """Write the extracts as headed, compressed CSV (the raw layer), tables concurrently."""
     def write(table: str, df: DataFrame) -> str:
         path = f"{raw_root}/{table}"
         sep = ";" if table == "Ts_aluno" else ","
-        df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+        _text_writer(df, "overwrite").option("header", True).option("sep", sep).csv(path)
         return path
     return run_all({t: (lambda t=t, df=df: write(t, df)) for t, df in extracts.items()})
 
@@ -58,7 +71,7 @@ def _run(spark: SparkSession, sf: str, with_stream: bool) -> str:
     bronze = f"{root}/bronze"
     run_bronze(spark, raw, bronze)
     if with_stream:
-        envelopes(read_table(spark, sf, "events")).write.mode("overwrite").json(f"{root}/inbox")
+        write_inbox(envelopes(read_table(spark, sf, "events")), f"{root}/inbox")
         ingest_stream(spark, f"{root}/inbox", bronze)
     run_silver(spark, bronze, f"{root}/silver", BATCH_DAY)
     run_gold(spark, f"{root}/silver", f"{root}/gold")

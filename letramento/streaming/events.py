@@ -16,8 +16,10 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
 from ..functions.numeric import safe_double, safe_int, safe_string
 from ..operators.clean import stamp_day, stamp_lineage
+from ..session import compiled_methods
 from ..sources import schemas
 from ..sources.io import folder_exists
+from ..sources.versions import CODEC
 from .redelivery import drop_redelivered
 
 STREAM_SOURCE = "kinesis_streaming"
@@ -175,13 +177,14 @@ def start_ingest(envelopes: DataFrame, path: str, checkpoint: str | None = None,
     records = ingest_records(envelopes)
     if horizon:
         records = drop_redelivered(records, horizon, keep=F.col("estado") == STATE_REJECTED)
-    writer = (records.writeStream.format("parquet").option("path", path)
+    writer = (records.writeStream.format("parquet").option("path", path).option("compression", CODEC)
               .option("checkpointLocation", checkpoint).partitionBy("estado", "data_ingestao").outputMode("append"))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    with compiled_methods(spark):  # the stream keeps the session's settings of this moment
+        return writer.start()
 
 
 def run_until_done(queries: StreamingQuery | Sequence[StreamingQuery]) -> None:
